@@ -188,4 +188,5 @@ def append_id(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarr
 
 
 def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+    made = [x.cast(f.type) if isinstance(x := columns[f.name], pa.Array) else pa.array(x, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(made, schema=schema)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import packing, token_counts, token_files
+from . import chat, decontaminate, packing, token_counts, token_files
 
 
 def _vocabulary(name: str) -> str:
@@ -30,6 +30,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "'</s>[INST] ok [/INST]'"
+    extra = spark.sql(f"SELECT -1L conv_id, 0L turn, 'user' role, {said} text UNION ALL SELECT -1L, 1L, 'assistant', {said}")
+    return chat.read_conversations(chat.format_conversations(talks.unionByName(extra)))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     uri = new_path(spark, "token-files")
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -38,10 +45,18 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, coverage=0.05)
+    items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated", "longest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import chat, decontaminate, packing, token_counts, token_files
+from . import chat, decontaminate, ngram_join, packing, token_counts, token_files
 
 
 def _vocabulary(name: str) -> str:
@@ -45,6 +45,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(_table(spark, sf_dir, "documents"), ngram_join.Similarity(grams=4, percent=85))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, coverage=0.05)
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import chat, decontaminate, ngram_join, packing, token_counts, token_files
+from . import chat, decontaminate, ngram_join, packing, substring_dedup, token_counts, token_files
 
 
 def _vocabulary(name: str) -> str:
@@ -21,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.removal_report(_table(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=1024)
 
@@ -56,6 +61,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_chat_formatting": op6_chat_formatting,

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import chat, decontaminate, ngram_join, packing, substring_dedup, token_counts, token_files
+from . import chat, decontaminate, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -26,6 +26,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", "evidence", "evidence_cosine")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprints.edit_report(_table(spark, sf_dir, "documents"), buckets)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=1024)
 
@@ -62,6 +73,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_toxicity": op2_toxicity,
+    "op3_fingerprints": op3_fingerprints,
     "op4_token_counts": op4_token_counts,
     "op5_packing": op5_packing,
     "op6_chat_formatting": op6_chat_formatting,

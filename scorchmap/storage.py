@@ -25,6 +25,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it again: later steps neither recompute it nor depend on an executor's disk."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # Spark deletes shuffle files that nothing refers to any more when the driver collects garbage
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .encoding import as_batch
-from .ngram_join import Similarity, _Links, link_sets, prefixes, whole_sets
+from .ngram_join import Similarity, link_sets, prefixes, with_components
 from .textops import by_bytes, gram_starts, hash_spans, mix, ngram_hashes, ranges, text_bytes, word_spans
 
 SHINGLE, PERMUTATIONS = 5, 256
@@ -190,7 +190,5 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> Data
     shared = keys.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     # a band says nothing of places in a set: positions that every filter lets pass
     found = materialize(keys.join(shared, "token").withColumns({"pos": F.lit(0), "before": F.lit(0)}), "buckets")
-    whole = materialize(whole_sets(docs.join(found.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), SHINGLE), "whole")
-    labels = link_sets(found, _Links(whole, ones.select("id", "bins"), how))
-    out = sets.select("doc_id", "n", "low", "high").join(named, ["low", "high", "n"], "left").join(labels, "id", "left")
-    return out.select("doc_id", F.coalesce("component", "id", "doc_id").alias("component_id"))
+    labels = link_sets(found, docs, ones.select("id", "bins"), how)
+    return with_components(sets, named, labels).select("doc_id", "component_id")

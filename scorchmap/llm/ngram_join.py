@@ -144,45 +144,59 @@ def _side(rows: DataFrame, name: str) -> DataFrame:
 class _Links:
     """Verified pairs so far."""
 
-    def __init__(self, sets: DataFrame, bins: DataFrame, how: Similarity):
-        self.sets, self.bins, self.how = sets, bins, how
+    def __init__(self, bins: DataFrame, how: Similarity):
+        self.bins, self.how = bins, how
+        self.sets: DataFrame | None = None
         self.seen: DataFrame | None = None
         self.links: DataFrame | None = None
 
-    def add(self, pairs: DataFrame) -> None:
-        """pairs: a_id, b_id, a_n, b_n, repeats allowed. Each new one is verified."""
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """pairs: a_id, b_id, a_n, b_n, repeats allowed -> a, b, sizes: each new pair that the suffix filter lets pass."""
         pairs = pairs.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"), (F.col("a_n") + F.col("b_n")).alias("sizes")).distinct()
         if self.seen is not None:
             pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        pairs = pairs.withColumn("need", F.ceil(self.how.percent * F.col("sizes") / (100 + self.how.percent) - 1e-9))
         for side in "ab":
             pairs = pairs.join(self.bins.select(F.col("id").alias(side), F.col("bins").alias(f"{side}_bins")), side)
         suffix = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-        pairs = materialize(pairs.where(suffix >= F.col("need")).select("a", "b", "sizes"), "pairs")
+        need = F.ceil(self.how.percent * F.col("sizes") / (100 + self.how.percent) - 1e-9)
+        pairs = materialize(pairs.where(suffix >= need).select("a", "b", "sizes"), "pairs")
         self.seen = pairs.select("a", "b") if self.seen is None else self.seen.unionByName(pairs.select("a", "b"))
-        both = pairs
+        return pairs
+
+    def verify(self, pairs: DataFrame) -> None:
         for side in "ab":
-            both = both.join(self.sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
+            pairs = pairs.join(self.sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
         common = F.size(F.array_intersect("a_grams", "b_grams"))
-        new = materialize(both.where(100 * common >= self.how.percent * (F.col("sizes") - common)).select("a", "b"), "links")
+        new = materialize(pairs.where(100 * common >= self.how.percent * (F.col("sizes") - common)).select("a", "b"), "links")
         self.links = new if self.links is None else self.links.unionByName(new)
 
 
-#: Pivot rounds go on while more pairs than so many for each row would be left to enumerate, and so many rounds at most.
-_PAIRS_A_ROW, _ROUNDS = 4, 5
-
-
-def link_sets(rows: DataFrame, links: _Links) -> DataFrame:
-    """rows: token, id, n, pos, before, weight of sets in buckets of at least two. Returns (id, component), see connected_components."""
-    how, labels = links.how, None
+#: Buckets of so many sets at most are enumerated at once; larger ones go through pivot rounds first, while more pairs than so many for
+#: each row would be left to enumerate, and so many rounds at most.
+_SMALL, _PAIRS_A_ROW, _ROUNDS = 8, 8, 4
+
+
+def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity) -> DataFrame:
+    """rows: token, id, n, pos, before, weight of sets in buckets of at least two, and the texts of their ids.
+
+    Returns (id, component), see connected_components.
+    """
+    links = _Links(bins, how)
+    bucket = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("n").alias("least"))
+    # a set that is too far from the shortest one of its bucket is too far from all
+    rows = rows.join(bucket, "token").where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least")
+    rows = materialize(rows.withColumn("label", F.col("id")), "buckets")
+    small, large = rows.where(F.col("size") <= _SMALL), rows.where(F.col("size") > _SMALL)
+    first = links.likely(_side(small, "a").join(_side(small, "b"), "token").where((F.col("a_id") < F.col("b_id")) & _fit(how)))
+    some = large.select("id").unionByName(first.select(F.col("a").alias("id"))).unionByName(first.select(F.col("b").alias("id"))).distinct()
+    links.sets = materialize(whole_sets(docs.join(some.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), how.grams), "whole")
+    links.verify(first)
+    labels = connected_components(links.links)
+    large = large.drop("label")
     for turn in range(_ROUNDS + 1):
-        now = rows.withColumn("label", F.col("id"))
-        if labels is not None:
-            now = rows.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("n").alias("a"), F.max("n").alias("b")).where("x != y").select("token", "a")
-        # a set that is too far from the shortest one of its bucket is too far from all
-        now = now.join(mixed, "token").where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "a")).drop("a")
-        now = materialize(now, "buckets")
+        now = large.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+        mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("token")
+        now = materialize(now.join(mixed, "token"), "buckets")
         each = now.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"), F.sum("c").alias("c"))
         left, size = each.agg(F.sum(F.col("p").cast("double")) / 2, F.sum("c")).first()
         if not left:
@@ -194,27 +208,27 @@ def link_sets(rows: DataFrame, links: _Links) -> DataFrame:
             order = F.struct("weight", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
             other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "label"), order).alias("p")).select("token", "p.*"), "b")
         pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how))
-        if last:
-            pairs = pairs.where("a_id < b_id")
-        links.add(pairs)
+        links.verify(links.likely(pairs.where("a_id < b_id") if last else pairs))
         labels = connected_components(links.links)
         if last:
             break
-    return labels if labels is not None else rows.select("id", F.col("id").alias("component")).limit(0)
+    return labels
 
 
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links) for each row of docs(doc_id, text)."""
+    docs = docs.select("doc_id", "text")
     sets = materialize(prefixes(docs, how), "sets")
-    named = sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id"))
-    named = materialize(named, "named")
+    named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
     ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    tokens = ones.select("id", "n", "weight", F.posexplode("prefix").alias("pos", "token"))
+    tokens = ones.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     rows = tokens.join(shared, "token").withColumn("before", F.row_number().over(Window.partitionBy("id").orderBy("pos")) - 1)
-    rows = materialize(rows, "buckets")
-    some = rows.select(F.col("id").alias("doc_id")).distinct()
-    whole = materialize(whole_sets(docs.select("doc_id", "text").join(some, "doc_id", "left_semi"), how.grams), "whole")
-    labels = link_sets(rows, _Links(whole, ones.select("id", "bins"), how))
+    rows = materialize(rows.join(ones.select("id", "weight"), "id"), "buckets")
+    labels = link_sets(rows, docs, ones.select("id", "bins"), how)
+    return with_components(sets, named, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def with_components(sets: DataFrame, named: DataFrame, labels: DataFrame) -> DataFrame:
     out = sets.select("doc_id", "n", "low", "high").join(named, ["low", "high", "n"], "left").join(labels, "id", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "n", F.coalesce("component", "id", "doc_id").alias("component_id"))

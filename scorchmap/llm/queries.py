@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import chat, decontaminate, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
+from . import brown_lm, chat, decontaminate, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -61,6 +61,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model, counts = brown_lm.train(docs.where(~brown_lm.held_out()))
+    return brown_lm.score(docs, model, counts).select("doc_id", brown_lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_components(_table(spark, sf_dir, "documents"), ngram_join.Similarity(grams=4, percent=85))
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_token_files": op7_token_files,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }

@@ -26,7 +26,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
     spark.sparkContext._jvm.System.gc()  # Spark deletes shuffle files that nothing refers to any more when the driver collects garbage
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() wrote, once nothing will read them."""
+    for df in tables:
+        remove(df.sparkSession, df._written_to)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -7,11 +7,13 @@ smaller doc_id; windows are judged on the input.
    anchor only one document has are ruled out.
 2. Confirmation. The remaining windows are counted by hash; those of at least two documents recur, and the first document
    owns them. Runs of windows with one owner are passages, cut out of the owner's text.
-3. Automata. Passages are dealt over shards of about SHARD_WORDS words. Each shard's passages, cut into tiles of half a window,
-   are compiled into one Aho-Corasick automaton whose letters are words; every window of a passage holds a whole tile.
-4. Location. Each candidate document is streamed through the automata of the shards whose passages have an anchor of it. Where a
-   tile occurs, the windows around it are looked up among the shard's confirmed ones. A shard that many documents need is copied,
-   and they are dealt over the copies.
+3. Automata. Windows are dealt over shards by their anchor: anchors go with the first document that has them, so that alike
+   passages meet, and the anchors of a document whose passages are everywhere are parted again. Each shard's passages, cut
+   into tiles of half a window, are compiled into one Aho-Corasick automaton whose letters are words; every window of a
+   passage holds a whole tile. A shard has about SHARD_WORDS words.
+4. Location. Each candidate document is streamed through the automata of its anchors' shards. Where a tile occurs, the windows
+   around it are looked up among the shard's confirmed ones. A shard that many documents need is copied, and they are dealt
+   over the copies.
 
 Documents with a null or empty text, or fewer words than a window, lose nothing. Rows with a null doc_id neither own nor lose
 anything; rows that share a doc_id are compared with smaller ids only, and spans found in any of them hold for that id. An
@@ -28,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..storage import materialize
+from ..storage import materialize, release
 from .encoding import as_batch
 from .textops import by_bytes, gram_starts, hash_spans, ngram_hashes, ranges, signed, text_bytes, unsigned, word_spans
 
 ANCHOR = 10
 SHARD_WORDS = 400_000
-#: Text that one copy of a shard's automaton streams.
-_COPY_BYTES = 16 << 20
+#: Words for each anchor, about; anchor occurrences for which a first document's anchors stay together; those that one copy streams.
+_WORDS_AN_ANCHOR, _TOGETHER, _COPY = 20, 1 << 18, 1 << 17
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -85,21 +87,18 @@ def _anchor_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, doc_id long")
 
 
-def _candidate_windows(column: pa.Array, known: pa.Array, window: int) -> tuple:
-    """Words etc., all window hashes, and the starts of windows whose anchor is one of their document's known ones."""
-    words, first, buf, starts, ends = _words(column)
-    at, place, grams = anchors(words, first, window)
-    if not len(at):
-        return words, first, buf, starts, ends, np.zeros(0, np.uint64), at
-    chosen, which = np.unique(place, return_inverse=True)
-    doc = np.searchsorted(first, chosen, "right") - 1
-    cut = known.offsets.to_numpy()
-    values = unsigned(known.values.to_numpy(zero_copy_only=False))
-    good = np.zeros(len(chosen), bool)
+def _known_anchors(anchor: np.ndarray, doc: np.ndarray, known: pa.Array) -> np.ndarray:
+    """For each anchor of each document, its index in that document's list of known ones (flat), or -1. known: lists of structs."""
+    cut, values = known.offsets.to_numpy(), unsigned(known.values.field("anchor").to_numpy(zero_copy_only=False))
+    out = np.full(len(anchor), -1)
+    bounds = np.searchsorted(doc, np.arange(len(known) + 1))
     for d in np.unique(doc).tolist():
-        k = slice(*np.searchsorted(doc, [d, d + 1]))
-        good[k] = np.isin(grams[chosen[k]], values[cut[d] : cut[d + 1]])
-    return words, first, buf, starts, ends, ngram_hashes(words, window), at[good[which]]
+        mine = values[cut[d] : cut[d + 1]]
+        order = np.argsort(mine)
+        x = anchor[bounds[d] : bounds[d + 1]]
+        place = order[np.minimum(np.searchsorted(mine, x, sorter=order), len(mine) - 1)]
+        out[bounds[d] : bounds[d + 1]] = np.where(mine[place] == x, place + cut[d], -1)
+    return out
 
 
 def _window_rows(candidates: DataFrame, window: int) -> DataFrame:
@@ -107,7 +106,11 @@ def _window_rows(candidates: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            _, first, _, _, _, hashes, at = _candidate_windows(batch.column(1), batch.column(2), window)
+            words, first, *_ = _words(batch.column(1))
+            at, place, grams = anchors(words, first, window)
+            chosen, which = np.unique(place, return_inverse=True)
+            good = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(2)) >= 0
+            hashes, at = ngram_hashes(words, window), at[good[which]]
             doc = np.searchsorted(first, at, "right") - 1
             yield as_batch({"hash": signed(hashes[at]), "doc_id": batch.column(0).take(pa.array(doc))}, schema)
 
@@ -123,27 +126,32 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _passages(owners: DataFrame, window: int) -> DataFrame:
-    """owners: doc_id, text, hashes (of the windows it owns) -> owner, text, n_words, anchors of each passage."""
-    schema = pa.schema([("owner", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("anchors", pa.list_(pa.int64()))])
+    """owners: doc_id, text, anchors, hashes (of the windows it owns) -> owner, shard, copies, text of each passage."""
+    schema = pa.schema([("owner", pa.int64()), ("shard", pa.int64()), ("copies", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             words, first, buf, starts, ends = _words(batch.column(1))
             at, place, grams = anchors(words, first, window)
             hashes, data = ngram_hashes(words, window), buf.tobytes()
+            chosen, which = np.unique(place, return_inverse=True)
+            known = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(2))[which]
+            values = batch.column(2).values
+            shard, copies = (values.field(f).to_numpy(zero_copy_only=False) for f in ("shard", "copies"))
             out: dict[str, list] = {f.name: [] for f in schema}
-            for d, (owner, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), strict=True)):
+            for d, (owner, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3), strict=True)):
                 k = slice(*np.searchsorted(at, [first[d], first[d + 1]]))
-                mine = np.flatnonzero(np.isin(hashes[at[k]], unsigned(own.values.to_numpy(zero_copy_only=False)))) + k.start
-                for a, b in zip(*(x.tolist() for x in _runs(mine)), strict=True):
-                    low, high = int(at[a]), int(at[b]) + window
-                    out["owner"].append(owner)
-                    out["text"].append(data[starts[low] : ends[high - 1]].decode())
-                    out["n_words"].append(high - low)
-                    out["anchors"].append(signed(grams[np.unique(place[a : b + 1])]))
+                mine = np.flatnonzero(np.isin(hashes[at[k]], unsigned(own.values.to_numpy(zero_copy_only=False))) & (known[k] >= 0)) + k.start
+                for s in np.unique(shard[known[mine]]).tolist():
+                    here = mine[shard[known[mine]] == s]
+                    for a, b in zip(*(x.tolist() for x in _runs(here)), strict=True):
+                        out["owner"].append(owner)
+                        out["shard"].append(s)
+                        out["copies"].append(int(copies[known[here[0]]]))
+                        out["text"].append(data[starts[at[a]] : ends[at[b] + window - 1]].decode())
             yield as_batch(out, schema)
 
-    return owners.mapInArrow(run, "owner long, text string, n_words long, anchors array<long>")
+    return owners.mapInArrow(run, "owner long, shard long, copies long, text string")
 
 
 class PhraseAutomaton:
@@ -201,16 +209,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _locate(passages: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
     """doc_id, spans for documents with repeated passages; a document comes once for each shard."""
-    total = passages.agg(F.sum("n_words")).first()[0] or 0
-    n = max(1, -(-total // SHARD_WORDS))
-    passages = passages.withColumn("shard", F.pmod(F.xxhash64("owner"), F.lit(n)).cast("long"))
-    keys = passages.select("shard", F.explode("anchors").alias("anchor")).distinct()
-    routes = candidates.select("doc_id", F.explode("anchors").alias("anchor")).join(keys, "anchor").select("doc_id", "shard").distinct()
-    routed = candidates.select("doc_id", "text").join(routes, "doc_id")
-    copies = routes.join(candidates.select("doc_id", F.octet_length("text").alias("size")), "doc_id").groupBy("shard").agg(F.ceil(F.sum("size") / _COPY_BYTES).cast("long").alias("copies"))
-    copies = materialize(copies, "copies")
-    named = passages.join(copies, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), "text")
-    texts = routed.join(copies, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "copies").alias("copy"), F.lit(1).alias("kind"), "doc_id", "text")
+    named = passages.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), "text")
+    places = F.array_distinct(F.transform("anchors", lambda a: F.struct(a["shard"].alias("shard"), a["copies"].alias("copies"))))
+    texts = candidates.select("doc_id", "text", F.inline(places)).select("shard", F.pmod(F.xxhash64("doc_id"), "copies").alias("copy"), F.lit(1).alias("kind"), "doc_id", "text")
     rows = named.unionByName(texts).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind", "doc_id")
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
 
@@ -242,16 +243,30 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     """doc_id, spans: the word spans [a, b) of docs(doc_id, text) that are covered by windows of smaller doc_ids, for documents that have any."""
     docs = docs.select("doc_id", "text").where("doc_id is not null")
     pairs = materialize(_anchor_rows(docs, window), "anchors")
-    shared = pairs.groupBy("anchor").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).where("x < y").select("anchor")
-    known = pairs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # bounded by the document
+    shared = materialize(_placed(pairs), "shared")
+    known = pairs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "shard", "copies")).alias("anchors"))  # bounded by the document
     candidates = materialize(docs.join(known, "doc_id"), "candidates")
+    release(pairs, shared)
     recurring = _window_rows(candidates, window).groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("y")).where("doc_id < y")
     owned = recurring.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))  # bounded by the document
-    passages = materialize(_passages(candidates.select("doc_id", "text").join(owned, "doc_id"), window), "passages")
+    passages = materialize(_passages(candidates.join(owned, "doc_id"), window), "passages")
     found = materialize(_locate(passages, candidates, window), "spans")
+    release(candidates, passages)
     return found.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def _placed(pairs: DataFrame) -> DataFrame:
+    """anchor, shard, copies of the anchors that at least two documents have."""
+    shared = pairs.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("times")).where("first < last")
+    shared = materialize(shared.drop("last"), "shared")
+    shards = max(1, -(-shared.count() * _WORDS_AN_ANCHOR // SHARD_WORDS))
+    parts = shared.groupBy("first").agg(F.floor(F.sum("times") / _TOGETHER + 1).alias("parts"))
+    shard = F.pmod(F.xxhash64("first", F.pmod(F.xxhash64("anchor"), "parts")), F.lit(shards)).cast("long")
+    dealt = shared.join(parts, "first").select("anchor", "times", shard.alias("shard"))
+    copies = dealt.groupBy("shard").agg(F.floor(F.sum("times") / _COPY + 1).cast("long").alias("copies"))
+    return dealt.join(copies, "shard").select("anchor", "shard", "copies")
+
+
 def kept_words(text: str | None, spans: list[tuple[int, int]]) -> tuple[int, int, str]:
     """Words, removed words, and the kept ones joined by a space."""
     buf, at = text_bytes(pa.array([text], pa.string()))

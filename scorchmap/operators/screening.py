@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scenes import date_parts
@@ -93,6 +93,24 @@ def model_table(defaults: DataFrame, exceptions: DataFrame) -> DataFrame:
     return both.withColumn("_last", last).where("_last = 1").select("key", "model")
 
 
+#: The stacks (paths, rows) that have a model, the usual model, and the stacks with another one.
+MODEL_PATHS, MODEL_ROWS, USUAL_MODEL = (10, 48), (26, 43), "gbt_mountain_west_model.xml"
+OTHER_MODELS = {
+    "gbt_east_model.xml": ["015035", "015041", "015042", "016031", "018038", "024029", "024039", "025040", "026040", "026041", "026042"],
+    "gbt_gp_west_model.xml": ["032032", "033030"],
+    "gbt_arid_west_model.xml": ["035035", "036035", "037038", "039034", "042036", "043035", "044033", "044034"],
+}
+
+
+def default_models(spark: SparkSession) -> DataFrame:
+    """key, model of all stacks that have a model."""
+    paths = spark.range(MODEL_PATHS[0], MODEL_PATHS[1] + 1).select(F.col("id").alias("path"))
+    stacks = paths.select("path", F.explode(F.sequence(F.lit(MODEL_ROWS[0]), F.lit(MODEL_ROWS[1]))).alias("row"))
+    usual = stacks.select(F.format_string("%03d%03d", "path", "row").alias("key"), F.lit(USUAL_MODEL).alias("model"))
+    other = spark.createDataFrame([(k, m) for m, keys in OTHER_MODELS.items() for k in keys], "key string, model string")
+    return model_table(usual, other)
+
+
 def lookup_models(scenes: DataFrame, models: DataFrame, required: bool = False) -> DataFrame:
     """Adds model by the key pppRRR; 'invalid' where there is none, which is an error if models are required."""
     key = F.format_string("%03d%03d", "path", "row")

@@ -189,6 +189,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> Data
     keys = docs.mapInArrow(run, "id long, token array<long>").select("id", F.explode("token").alias("token")).join(ones.select("id", "n", "weight"), "id")
     shared = keys.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     # a band says nothing of places in a set: positions that every filter lets pass
-    found = materialize(keys.join(shared, "token").withColumns({"pos": F.lit(0), "before": F.lit(0)}), "buckets")
+    found = materialize(keys.join(shared, "token").withColumns({"pos": F.lit(0), "before": F.lit(0), "heads": F.array().cast("array<long>")}), "buckets")
     labels = link_sets(found, docs, ones.select("id", "bins"), how)
     return with_components(sets, named, labels).select("doc_id", "component_id")

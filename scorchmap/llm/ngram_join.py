@@ -1,8 +1,8 @@
 """Set-similarity join of documents on word n-grams, and its components.
 
-Documents become sets of n-gram hashes. By one order of all n-grams (rare first: frequent ones, found by counting within
-chunks, come last by their count, all others by hash) a set's prefix is so long that two sets of enough Jaccard similarity
-share an n-gram in their prefixes. Sets are joined on prefix n-grams, and pairs go through
+Documents become sets of n-gram hashes. By one order of all n-grams (rare first: those found in many documents of a chunk come
+last, by their count; the others go by how rare their words are, then by hash) a set's prefix is so long that two sets of
+enough Jaccard similarity share an n-gram in their prefixes. Sets are joined on prefix n-grams, and pairs go through
 
 * the length filter: sizes must be close enough,
 * the positional filter: what comes before and after a shared n-gram in both sets bounds their overlap,
@@ -33,10 +33,12 @@ from .encoding import as_batch
 from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
 BINS = 64
-#: Most frequent n-grams that are broadcast; the others are ordered by hash. It changes the speed, never the result.
-MAX_FREQUENT = 1 << 18
+#: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
+MAX_FREQUENT, MAX_WORDS = 1 << 18, 1 << 16
 #: An n-gram is counted as frequent if it is in so many documents of a chunk of so many n-grams.
 _CHUNK_GRAMS, _CHUNK_DOCS = 1 << 22, 4
+#: A word is counted if it is so often in a chunk; how rare it is, is kept in sixteenths of a bit.
+_CHUNK_WORDS, _RAREST = 32, 20 * 16
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("weight", pa.float64()), ("bins", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))])
 
@@ -56,66 +58,99 @@ class Similarity:
         return F.ceil(self.percent * (F.col(a) + F.col(b)) / (100 + self.percent) - 1e-9)
 
 
-def gram_sets(column: pa.Array, grams: int) -> list[np.ndarray]:
-    """Each document's distinct n-gram hashes, sorted; fewer words make one n-gram."""
+@dataclass
+class Frequencies:
+    """Hashes (sorted) and document counts of frequent n-grams; hashes (sorted) and rareness of frequent words."""
+
+    grams: np.ndarray
+    counts: np.ndarray
+    words: np.ndarray
+    rareness: np.ndarray
+
+
+def _looked_up(x: np.ndarray, known: np.ndarray, value: np.ndarray, other: int) -> np.ndarray:
+    if not len(known):
+        return np.full(len(x), other)
+    at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+    return np.where(known[at] == x, value[at], other)
+
+
+def gram_sets(column: pa.Array, grams: int, seen: list[np.ndarray] | None = None, frequencies: Frequencies | None = None) -> list:
+    """Each document's distinct n-gram hashes, sorted; fewer words make one n-gram. Hashes of words are added to seen.
+
+    With frequencies: pairs of a set and its n-grams' places in the order of all n-grams (count, then rareness; equal ones by hash).
+    """
     buf, at = text_bytes(column)
     starts, ends, first = word_spans(buf, at)
     words = hash_spans(lower_ascii(buf), starts, ends)
+    if seen is not None:
+        seen.append(words)
     whole = ngram_hashes(words, grams)
+    if frequencies is not None:
+        rare = np.concatenate([[0], np.cumsum(_looked_up(words, frequencies.words, frequencies.rareness, _RAREST))])
+        order = (_looked_up(whole, frequencies.grams, frequencies.counts, 0) << 16) - (rare[grams:] - rare[:-grams])[: len(whole)] if len(whole) else np.zeros(0, np.int64)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         n = b - a
-        out.append(np.unique(whole[a : b - grams + 1]) if n >= grams else mix(ngram_hashes(words[a:b], n) + np.uint64(n)) if n else whole[:0])
+        if n >= grams:
+            s, one = np.unique(whole[a : b - grams + 1], return_index=True)
+            place = order[a : b - grams + 1][one] if frequencies is not None else None
+        else:
+            s = mix(ngram_hashes(words[a:b], n) + np.uint64(n)) if n else whole[:0]
+            place = np.zeros(len(s), np.int64)
+        out.append(s if frequencies is None else (s, place))
     return out
 
 
-def frequent_grams(docs: DataFrame, grams: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of n-grams that are in many documents."""
-    schema = pa.schema([("gram", pa.int64()), ("docs", pa.int64())])
+def frequencies(docs: DataFrame, grams: int) -> Frequencies:
+    """What is frequent, from counts within chunks of all documents."""
+    schema = pa.schema([("word", pa.bool_()), ("hash", pa.int64()), ("n", pa.int64())])
 
-    def count(sets: list[np.ndarray]) -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate(sets), return_counts=True)
-        return as_batch({"gram": signed(found[n >= _CHUNK_DOCS]), "docs": n[n >= _CHUNK_DOCS]}, schema)
+    def count(parts: list[np.ndarray], word: bool, least: int) -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(parts), return_counts=True)
+        keep = n >= least
+        return as_batch({"word": np.full(int(keep.sum()), word), "hash": signed(found[keep]), "n": n[keep]}, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, words, size = [], [], 0
         for batch in by_bytes(batches):
-            held += gram_sets(batch.column(0), grams)
+            held += gram_sets(batch.column(0), grams, words)
             size += sum(map(len, held[-batch.num_rows :]))
             if size >= _CHUNK_GRAMS:
-                yield count(held)
-                held, size = [], 0
+                yield count(held, False, _CHUNK_DOCS)
+                yield count(words, True, _CHUNK_WORDS)
+                held, words, size = [], [], 0
         if held:
-            yield count(held)
+            yield count(held, False, _CHUNK_DOCS)
+            yield count(words, True, _CHUNK_WORDS)
 
-    rows = docs.select("text").mapInArrow(run, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
-    top = rows.orderBy(F.desc("docs"), "gram").limit(MAX_FREQUENT).toArrow()
-    gram, n = unsigned(top.column(0).to_numpy()), top.column(1).to_numpy()
-    order = np.argsort(gram)
-    return gram[order], n[order]
+    rows = materialize(docs.select("text").mapInArrow(run, "word boolean, hash long, n long").groupBy("word", "hash").agg(F.sum("n").alias("n")), "frequent")
+    found = []
+    for word, most in ((False, MAX_FREQUENT), (True, MAX_WORDS)):
+        top = rows.where(F.col("word") == word).orderBy(F.desc("n"), "hash").limit(most).select("hash", "n").toArrow()
+        hashes, n = unsigned(top.column(0).to_numpy()), top.column(1).to_numpy()
+        order = np.argsort(hashes)
+        found += [hashes[order], n[order]]
+    total = max(1, int(found[3].sum()))
+    rareness = np.minimum(np.round(-16 * np.log2(found[3] / total)), _RAREST).astype(np.int64)
+    return Frequencies(found[0], found[1], found[2], rareness)
 
 
 def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
     """doc_id, n (set size), low and high (128 bits that name the set), weight (how frequent its n-grams are), bins, prefix."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_grams(docs, how.grams))  # at most MAX_FREQUENT entries
+    sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs, how.grams))  # at most MAX_FREQUENT and MAX_WORDS entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = sent.value
         for batch in by_bytes(batches):
-            sets = gram_sets(batch.column(1), how.grams)
-            low, high, weight, bins, prefix = [], [], [], [], []
-            for s in sets:
+            sets, low, high, weight, bins, prefix = [], [], [], [], [], []
+            for s, place in gram_sets(batch.column(1), how.grams, frequencies=sent.value):
                 m = mix(s)
+                sets.append(s)
                 low.append(m.sum(dtype=np.uint64))
                 high.append(mix(m + np.uint64(1)).sum(dtype=np.uint64))
-                count = np.zeros(len(s), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    same = known[at] == s
-                    count[same] = counts[at[same]]
-                weight.append(float(np.log1p(count).mean()) if len(s) else 0.0)
+                weight.append(float(np.log1p(np.maximum(place, 0) >> 16).mean()) if len(s) else 0.0)
                 bins.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.int32))
-                prefix.append(signed(s[np.argsort(count, kind="stable")[: how.prefix(len(s))]] if len(s) else s))
+                prefix.append(signed(s[np.argsort(place, kind="stable")[: how.prefix(len(s))]] if len(s) else s))
             yield as_batch({"doc_id": batch.column(0), "n": np.array([len(s) for s in sets]), "low": signed(np.array(low, np.uint64)), "high": signed(np.array(high, np.uint64)), "weight": weight, "bins": bins, "prefix": prefix}, _SETS)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, weight double, bins array<int>, prefix array<long>")
@@ -138,7 +173,13 @@ def _fit(how: Similarity):
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "pos", "before", "label")))
+    return rows.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "pos", "before", "heads", "label")))
+
+
+def _not_sooner():
+    """A pair that shares several n-grams is made at the first of them, as far as the first HEADS of each set tell."""
+    heads = [F.slice(F.col(f"{p}_heads"), 1, F.least(F.col(f"{p}_before"), F.size(f"{p}_heads"))) for p in "ab"]
+    return ~F.coalesce(F.arrays_overlap(*heads), F.lit(False))
 
 
 class _Links:
@@ -174,6 +215,15 @@ class _Links:
 #: Buckets of so many sets at most are enumerated at once; larger ones go through pivot rounds first, while more pairs than so many for
 #: each row would be left to enumerate, and so many rounds at most.
 _SMALL, _PAIRS_A_ROW, _ROUNDS = 8, 8, 4
+HEADS = 6
+
+
+def _with_heads(rows: DataFrame) -> DataFrame:
+    """Adds before (shared n-grams of the set that come sooner) and heads (its first HEADS ones)."""
+    line = Window.partitionBy("id").orderBy("pos", "token")
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = [F.nth_value("token", k + 1).over(whole) for k in range(HEADS)]
+    return rows.withColumns({"before": F.row_number().over(line) - 1, "heads": F.array_compact(F.array(*first))})
 
 
 def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity) -> DataFrame:
@@ -187,7 +237,7 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
     rows = rows.join(bucket, "token").where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least")
     rows = materialize(rows.withColumn("label", F.col("id")), "buckets")
     small, large = rows.where(F.col("size") <= _SMALL), rows.where(F.col("size") > _SMALL)
-    first = links.likely(_side(small, "a").join(_side(small, "b"), "token").where((F.col("a_id") < F.col("b_id")) & _fit(how)))
+    first = links.likely(_side(small, "a").join(_side(small, "b"), "token").where((F.col("a_id") < F.col("b_id")) & _fit(how) & _not_sooner()))
     some = large.select("id").unionByName(first.select(F.col("a").alias("id"))).unionByName(first.select(F.col("b").alias("id"))).distinct()
     links.sets = materialize(whole_sets(docs.join(some.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), how.grams), "whole")
     links.verify(first)
@@ -206,9 +256,9 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
             other = _side(now, "b")
         else:
             order = F.struct("weight", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
-            other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "label"), order).alias("p")).select("token", "p.*"), "b")
+            other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "heads", "label"), order).alias("p")).select("token", "p.*"), "b")
         pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how))
-        links.verify(links.likely(pairs.where("a_id < b_id") if last else pairs))
+        links.verify(links.likely(pairs.where((F.col("a_id") < F.col("b_id")) & _not_sooner()) if last else pairs))
         labels = connected_components(links.links)
         if last:
             break
@@ -222,9 +272,8 @@ def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> Da
     named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
     ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
     tokens = ones.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    rows = tokens.join(shared, "token").withColumn("before", F.row_number().over(Window.partitionBy("id").orderBy("pos")) - 1)
-    rows = materialize(rows.join(ones.select("id", "weight"), "id"), "buckets")
+    shared = materialize(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "shared")
+    rows = materialize(_with_heads(tokens.join(shared, "token").join(ones.select("id", "weight"), "id")), "buckets")
     labels = link_sets(rows, docs, ones.select("id", "bins"), how)
     return with_components(sets, named, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 

@@ -49,10 +49,11 @@ def pack_block(lengths: np.ndarray, loss_from: np.ndarray, limits: Limits) -> li
     done: list[list[tuple[int, int, int]]] = []
     whole = _longest(0, 0, limits.tokens, limits.loss_tokens)
     start = np.zeros(len(lengths), np.int64)
+    rests: list[list[tuple[int, int, int]]] = []
     for d in np.flatnonzero(lengths >= whole).tolist():
         at, size = 0, int(lengths[d])
         while size - at >= (n := _longest(at, int(loss_from[d]), limits.tokens, limits.loss_tokens)):
-            done.append([(d, at, n)])
+            (done if n == limits.tokens else rests).append([(d, at, n)])
             at += n
         start[d] = at
     doc = np.flatnonzero(lengths - start > 0)
@@ -62,7 +63,6 @@ def pack_block(lengths: np.ndarray, loss_from: np.ndarray, limits: Limits) -> li
     loss = loss_in(at, size, mark)
     alive = np.ones(len(doc), bool)
     waiting, step = len(doc), 0
-    rests: list[tuple[int, int, int]] = []
     while waiting:
         tokens, segments, lossy, bin_ = limits.tokens, limits.segments, limits.loss_tokens, []
         while waiting and tokens and segments:

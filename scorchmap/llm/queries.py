@@ -74,7 +74,7 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13, coverage=0.05)
     items = F.sha2(F.array_join("items", ",").cast("binary"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated", "longest")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -90,4 +90,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN, _ALNUM = r"'[^\x20\x09-\x0D]+'", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+_OP1 = f"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_PLAIN}) AS w FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS p FROM d WHERE len(w) >= 50) x),
+own AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, q FROM (SELECT win.doc_id, unnest(generate_series(p, p + 49)) AS q FROM win JOIN own ON win.h = own.h WHERE first < win.doc_id) x),
+word AS (SELECT doc_id, unnest(w) AS t, unnest(generate_series(1, len(w))) AS q FROM d),
+kept AS (SELECT word.doc_id, count(gone.q) AS n, string_agg(t, ' ' ORDER BY word.q) FILTER (gone.q IS NULL) AS s FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.q = gone.q GROUP BY word.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+_ESCAPED = r"regexp_replace(coalesce({}, ''), '([<\[])(\\*(?:/?INST\]|/?s>))', '\1\\\2', 'g')"
+_OP6 = f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(13 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+_OP9 = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_PLAIN}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS p FROM d WHERE len(w) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT f.b, r.root FROM r JOIN f ON r.id = f.a WHERE r.root < f.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE r.id = d.doc_id) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id"""
+
+_OP10 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(13, len(w)) AS k FROM (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark) x WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT item, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM i) x),
+grams AS (SELECT doc_id, p, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d JOIN (SELECT DISTINCT k FROM win) l ON len(w) >= k) x),
+hit AS (SELECT doc_id, p, grams.k, item FROM grams JOIN win ON grams.k = win.k AND grams.g = win.g),
+word AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM hit) x GROUP BY doc_id),
+item AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hit) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(item.n, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(word.n, 0) > 0 AND 20 * coalesce(word.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN item ON d.doc_id = item.doc_id"""
+
+#: The others rest on tokenizers, trained models or hash permutations, which SQL cannot express.
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": _OP1,
+    "op6_chat_formatting": _OP6,
+    "op9_ngram_jaccard_join": _OP9,
+    "op10_decontamination": _OP10,
+}

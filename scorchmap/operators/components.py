@@ -6,10 +6,10 @@ that no neighbourhood is gathered anywhere. Rounds end when the edges stop chang
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -25,20 +25,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The edges in the shared folder, with their number and a digest, both taken while they are written."""
+    seen = Observation()
+    out = materialize(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")), "components")
+    return out, (seen.get["n"], seen.get["x"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """edges(a, b) of any orderable integer ids -> (id, component): the least id reachable, for all ids that are not the least themselves.
+    """edges(a, b) of any orderable ids -> (id, component): the least id reachable, for all ids that are not the least themselves.
 
     Loops and repeated edges are ignored; an empty table gives an empty one.
     """
-    edges = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "components")
-    state = _state(edges)
+    edges, state = _written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     while state[0]:
-        edges = materialize(_small_star(_large_star(edges)), "components")
-        before, state = state, _state(edges)
-        if before == state:
+        old, before = edges, state
+        edges, state = _written(_small_star(_large_star(old)))
+        release(old)
+        if state == before:
             break
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))

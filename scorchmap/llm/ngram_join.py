@@ -213,8 +213,8 @@ class _Links:
 
 
 #: Buckets of so many sets at most are enumerated at once; larger ones go through pivot rounds first, while more pairs than so many for
-#: each row would be left to enumerate, and so many rounds at most.
-_SMALL, _PAIRS_A_ROW, _ROUNDS = 8, 8, 4
+#: each row would be left to enumerate and a round halves them, and so many rounds at most.
+_SMALL, _PAIRS_A_ROW, _ROUNDS = 8, 8, 6
 HEADS = 6
 
 
@@ -241,17 +241,19 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
     some = large.select("id").unionByName(first.select(F.col("a").alias("id"))).unionByName(first.select(F.col("b").alias("id"))).distinct()
     links.sets = materialize(whole_sets(docs.join(some.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), how.grams), "whole")
     links.verify(first)
-    labels = connected_components(links.links)
-    large = large.drop("label")
+    now, before = large, None
     for turn in range(_ROUNDS + 1):
-        now = large.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+        if turn:
+            now = now.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+        # labels only merge: a bucket with one label needs no more pairs
         mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("token")
         now = materialize(now.join(mixed, "token"), "buckets")
         each = now.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"), F.sum("c").alias("c"))
         left, size = each.agg(F.sum(F.col("p").cast("double")) / 2, F.sum("c")).first()
         if not left:
             break
-        last = turn == _ROUNDS or left <= _PAIRS_A_ROW * size
+        last = turn == _ROUNDS or left <= _PAIRS_A_ROW * size or (before is not None and left > before / 2)
+        before = left
         if last:
             other = _side(now, "b")
         else:
@@ -259,10 +261,10 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
             other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "heads", "label"), order).alias("p")).select("token", "p.*"), "b")
         pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how))
         links.verify(links.likely(pairs.where((F.col("a_id") < F.col("b_id")) & _not_sooner()) if last else pairs))
-        labels = connected_components(links.links)
         if last:
             break
-    return labels
+        labels = connected_components(links.links)
+    return connected_components(links.links)
 
 
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:

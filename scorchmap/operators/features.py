@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.indices import feature_index
-from ..settings import BANDS, FILL, INDICES, MEASURES, PIXEL, SEASONS
+from ..settings import BANDS, FILL, INDICES, MEASURES, SEASONS, pixel_keys
 
 SEASONAL = tuple(f"{s}_{m}" for s in SEASONS for m in MEASURES)
 MAXIMA = tuple(f"max_{i}" for i in INDICES)
@@ -23,9 +23,10 @@ def previous_year(looks: DataFrame, wide: DataFrame, maxima: DataFrame, check_ye
         have = maxima.select("path", "row", (F.col("year") + 1).alias("year")).distinct()
         if looks.select("path", "row", "year").distinct().join(have, ["path", "row", "year"], "left_anti").limit(1).count():
             raise ValueError("scenes of a year without annual maxima in the year before")
-    means = wide.select(*PIXEL, (F.col("season_year") + 1).alias("year"), *SEASONAL)
-    best = maxima.select(*PIXEL, (F.col("year") + 1).alias("year"), *(F.col(i).alias(f"max_{i}") for i in INDICES))
-    out = looks.join(means, [*PIXEL, "year"], "left").join(best, [*PIXEL, "year"], "left")
+    keys = [*pixel_keys(looks.columns), "year"]
+    means = wide.select(*keys[:-1], (F.col("season_year") + 1).alias("year"), *SEASONAL)
+    best = maxima.select(*keys[:-1], (F.col("year") + 1).alias("year"), *(F.col(i).alias(f"max_{i}") for i in INDICES))
+    out = looks.join(means, keys, "left").join(best, keys, "left")
     return out.withColumns({c: F.coalesce(c, F.lit(FILL).cast("short")) for c in (*SEASONAL, *MAXIMA)})
 
 

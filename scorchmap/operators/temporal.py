@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.indices import stored_index
 from ..functions.scenes import season, season_year
-from ..settings import FILL, INDICES, MEASURES, PIXEL, SEASONS
+from ..settings import FILL, INDICES, MEASURES, PIXEL, SEASONS, pixel_keys
 
 
 def with_indices(obs: DataFrame) -> DataFrame:
@@ -21,9 +21,10 @@ def seasonal_means(looks: DataFrame, years: tuple[int, int]) -> DataFrame:
     Means are rounded, and fill without a good look. Season-years outside the years given are not produced. One aggregation.
     """
     good = F.col("qa") >= 0
-    rows = looks.select(*PIXEL, season_year().alias("season_year"), season().alias("season"), "qa", *MEASURES).where(F.col("season_year").between(*years))
+    keys = pixel_keys(looks.columns)
+    rows = looks.select(*keys, season_year().alias("season_year"), season().alias("season"), "qa", *MEASURES).where(F.col("season_year").between(*years))
     means = [F.coalesce(F.round(F.avg(F.when(good, F.col(m).cast("double")))), F.lit(float(FILL))).cast("short").alias(m) for m in MEASURES]
-    return rows.groupBy(*PIXEL, "season_year", "season").agg(F.least(F.count_if(good), F.lit(255)).cast("int").alias("good_looks"), *means)
+    return rows.groupBy(*keys, "season_year", "season").agg(F.least(F.count_if(good), F.lit(255)).cast("int").alias("good_looks"), *means)
 
 
 def seasonal_dense(seasonal: DataFrame, pixels: DataFrame, years: tuple[int, int]) -> DataFrame:
@@ -36,10 +37,10 @@ def seasonal_dense(seasonal: DataFrame, pixels: DataFrame, years: tuple[int, int
 
 def annual_max(looks: DataFrame) -> DataFrame:
     """The greatest stored value of each index in a calendar year; bad looks take part as fill."""
-    return looks.groupBy(*PIXEL, "year").agg(*(F.max(i).alias(i) for i in INDICES))
+    return looks.groupBy(*pixel_keys(looks.columns), "year").agg(*(F.max(i).alias(i) for i in INDICES))
 
 
 def seasonal_wide(seasonal: DataFrame) -> DataFrame:
     """One row for each pixel and season-year with the columns winter_b3 .. fall_nbr2 (null where a season has no look)."""
     wide = [F.max(F.when(F.col("season") == s, F.col(m))).alias(f"{s}_{m}") for s in SEASONS for m in MEASURES]
-    return seasonal.groupBy(*PIXEL, "season_year").agg(*wide)
+    return seasonal.groupBy(*pixel_keys(seasonal.columns), "season_year").agg(*wide)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.grid import tile
@@ -14,37 +15,50 @@ from ..operators.features import features, previous_year
 from ..operators.regions import burn_class, grown_runs
 from ..operators.screening import year_window
 from ..operators.temporal import annual_max, seasonal_means, seasonal_wide, with_indices
-from ..settings import RegionOptions
+from ..settings import INDICES, RegionOptions
 from ..storage import materialize
 
 
 def co_locate(looks: DataFrame, side: int = 256) -> DataFrame:
     """Shuffles looks once by stack and tile; later groupings and joins by pixel then need no shuffle of their own.
 
-    Joins take this up with spark.sql.requireAllClusterKeysForCoPartition=false.
+    Joins take this up with spark.sql.requireAllClusterKeysForCoPartition=false, see kept_in_place().
     """
     return looks.select("*", *tile(side)).repartition("path", "row", "tile_y", "tile_x")
 
 
-def featured_looks(looks: DataFrame, years: tuple[int, int] | None = None) -> DataFrame:
-    """Looks after the first year with their 50 features. looks: obs columns and qa."""
+@contextmanager
+def kept_in_place(spark: SparkSession) -> Iterator[None]:
+    """Within it, joins on a pixel use a partitioning by its stack and tile."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def featured_looks(looks: DataFrame, years: tuple[int, int] | None = None, tile_side: int | None = None) -> DataFrame:
+    """Looks after the first year with their 50 features. looks: obs columns and qa. tile_side: deals them by tile first."""
     first, last = year_window(looks) if years is None else years
-    stored = with_indices(looks)
+    stored = with_indices(looks if tile_side is None else co_locate(looks, tile_side))
     wide = seasonal_wide(seasonal_means(stored, (first - 1, last)))
-    joined = previous_year(looks.where(F.col("year").between(first, last)), wide, annual_max(stored))
-    return features(joined)
+    own = stored.drop(*INDICES).where(F.col("year").between(first, last))
+    return features(previous_year(own, wide, annual_max(stored)))
 
 
-def burned_pipeline(looks: DataFrame, probability: Column | Callable[[DataFrame], DataFrame], options: RegionOptions = RegionOptions(), scene: str = "scene_id") -> DataFrame:
+def burned_pipeline(looks: DataFrame, probability: Column | Callable[[DataFrame], DataFrame], options: RegionOptions = RegionOptions(), scene: str = "scene_id", tile_side: int = 256) -> DataFrame:
     """Yearly burn products of looks (obs columns and qa).
 
     probability: a column of the featured looks between 0 and 1, or a function that adds burn_prob to them. scene: the column by
     which regions are formed.
     """
-    featured = featured_looks(looks)
+    featured = featured_looks(looks, tile_side=tile_side)
     scored = probability(featured) if callable(probability) else featured.withColumn("burn_prob", product_code(probability))
     keep = ["scene_id", *([scene] if scene != "scene_id" else []), "path", "row", "year", "julian", "y", "x", "burn_prob"]
-    burn = materialize(scored.select(*keep), "burn")
+    with kept_in_place(looks.sparkSession):
+        burn = materialize(scored.select(*keep), "burn")
     one = burn.withColumn("scene", F.col(scene))
     classed = burn_class(one, grown_runs(one.select("scene", "y", "x", "burn_prob"), options))
     return annual_burn(classed)

@@ -486,5 +486,5 @@ burn AS (SELECT s.path, s.row, s.y, s.x, s.year, s.julian, s.scene_id, s.burn_pr
 @registered(_PIPE)
 def pipeline_annual_burn(spark: SparkSession, d: str) -> DataFrame:
     half = (F.col("year") * 10 + F.floor((F.col("month") - 1) / 6)).cast("int")
-    looks = _looks(spark, d).withColumn("half_year", half)
-    return pipeline.burned_pipeline(looks, trees.tree_probability(ENSEMBLE), RegionOptions(80, 2, 70), scene="half_year")
+    looks = materialize(_looks(spark, d).withColumn("half_year", half), "looks")
+    return pipeline.burned_pipeline(looks, trees.tree_probability(ENSEMBLE), RegionOptions(80, 2, 70), scene="half_year", tile_side=16)

@@ -13,9 +13,16 @@ INDICES = ("ndvi", "ndmi", "nbr", "nbr2")
 MEASURES = ("b3", "b4", "b5", "b7", *INDICES)
 BANDS = ("b1", "b2", "b3", "b4", "b5", "b7")
 PIXEL = ("path", "row", "y", "x")
+#: Columns that a table has once it is dealt by tile; grouping and joining by them too keeps it where it is.
+TILE = ("tile_y", "tile_x")
 FIRST_MISSION_YEAR = 1984
 
 
+def pixel_keys(columns: list[str]) -> list[str]:
+    """The columns that name a pixel, with its tile where a table has it."""
+    return [*PIXEL, *(c for c in TILE if c in columns)]
+
+
 @dataclass(frozen=True)
 class ScreenOptions:
     exclude_l1g: bool = True

@@ -5,15 +5,16 @@ smaller doc_id; windows are judged on the input.
 
 1. Candidates. Every window picks its least n-gram of ANCHOR words (its anchor), so equal windows have equal anchors. Windows whose
    anchor only one document has are ruled out.
-2. Confirmation. The remaining windows are counted by hash; those of at least two documents recur, and the first document
-   owns them. Runs of windows with one owner are passages, cut out of the owner's text.
+2. Passages. The first document with an anchor owns its windows that pick it: no smaller document can have them. Runs of such
+   windows are passages.
 3. Automata. Windows are dealt over shards by their anchor: anchors go with the first document that has them, so that alike
    passages meet, and the anchors of a document whose passages are everywhere are parted again. Each shard's passages, cut
    into tiles of half a window, are compiled into one Aho-Corasick automaton whose letters are words; every window of a
    passage holds a whole tile. A shard has about SHARD_WORDS words.
-4. Location. Each candidate document is streamed through the automata of its anchors' shards. Where a tile occurs, the windows
-   around it are looked up among the shard's confirmed ones. A shard that many documents need is copied, and they are dealt
-   over the copies.
+4. Location. Each other document is streamed through the automata of its anchors' shards. Where a tile occurs, the windows
+   around it are looked up among the shard's. A shard that many documents need is copied, and they are dealt over the copies.
+5. The rest. Windows with a shared anchor that its first document does not have go another round among themselves: they are
+   counted by hash, those of at least two documents are confirmed and owned by the first of them, and located like the others.
 
 Documents with a null or empty text, or fewer words than a window, lose nothing. Rows with a null doc_id neither own nor lose
 anything; rows that share a doc_id are compared with smaller ids only, and spans found in any of them hold for that id. An
@@ -106,10 +107,10 @@ def _window_rows(candidates: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            words, first, *_ = _words(batch.column(1))
+            words, first, *_ = _words(batch.column(2))
             at, place, grams = anchors(words, first, window)
             chosen, which = np.unique(place, return_inverse=True)
-            good = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(2)) >= 0
+            good = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(3)) >= 0
             hashes, at = ngram_hashes(words, window), at[good[which]]
             doc = np.searchsorted(first, at, "right") - 1
             yield as_batch({"hash": signed(hashes[at]), "doc_id": batch.column(0).take(pa.array(doc))}, schema)
@@ -125,33 +126,42 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[np.concatenate([[0], new])], x[np.concatenate([new - 1, [len(x) - 1]])]
 
 
-def _passages(owners: DataFrame, window: int) -> DataFrame:
-    """owners: doc_id, text, anchors, hashes (of the windows it owns) -> owner, shard, copies, text of each passage."""
+def _passages(candidates: DataFrame, window: int) -> DataFrame:
+    """owner, shard, copies, text of passages: runs of windows in one shard that their document owns.
+
+    candidates: doc_id, start, text, anchors and, where counts have said it, hashes of the windows that it owns; else it owns
+    those whose anchor it has first.
+    """
     schema = pa.schema([("owner", pa.int64()), ("shard", pa.int64()), ("copies", pa.int64()), ("text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            words, first, buf, starts, ends = _words(batch.column(1))
+            words, first, buf, starts, ends = _words(batch.column(2))
             at, place, grams = anchors(words, first, window)
             hashes, data = ngram_hashes(words, window), buf.tobytes()
             chosen, which = np.unique(place, return_inverse=True)
-            known = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(2))[which]
-            values = batch.column(2).values
-            shard, copies = (values.field(f).to_numpy(zero_copy_only=False) for f in ("shard", "copies"))
+            known = _known_anchors(grams[chosen], np.searchsorted(first, chosen, "right") - 1, batch.column(3))[which]
+            values = batch.column(3).values
+            shard, copies, own = (values.field(f).to_numpy(zero_copy_only=False) for f in ("shard", "copies", "own"))
             out: dict[str, list] = {f.name: [] for f in schema}
-            for d, (owner, own) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3), strict=True)):
+            for d, owner in enumerate(batch.column(0).to_pylist()):
                 k = slice(*np.searchsorted(at, [first[d], first[d + 1]]))
-                mine = np.flatnonzero(np.isin(hashes[at[k]], unsigned(own.values.to_numpy(zero_copy_only=False))) & (known[k] >= 0)) + k.start
+                if batch.num_columns > 4:
+                    mine = np.isin(hashes[at[k]], unsigned(batch.column(4)[d].values.to_numpy(zero_copy_only=False))) & (known[k] >= 0)
+                else:
+                    mine = (known[k] >= 0) & own[known[k]]
+                mine = np.flatnonzero(mine) + k.start
                 for s in np.unique(shard[known[mine]]).tolist():
                     here = mine[shard[known[mine]] == s]
-                    for a, b in zip(*(x.tolist() for x in _runs(here)), strict=True):
+                    low, high = _runs(at[here])
+                    for a, b in zip(low.tolist(), high.tolist(), strict=True):
                         out["owner"].append(owner)
                         out["shard"].append(s)
                         out["copies"].append(int(copies[known[here[0]]]))
-                        out["text"].append(data[starts[at[a]] : ends[at[b] + window - 1]].decode())
+                        out["text"].append(data[starts[a] : ends[b + window - 1]].decode())
             yield as_batch(out, schema)
 
-    return owners.mapInArrow(run, "owner long, shard long, copies long, text string")
+    return candidates.mapInArrow(run, "owner long, shard long, copies long, text string")
 
 
 class PhraseAutomaton:
@@ -162,7 +172,8 @@ class PhraseAutomaton:
 
         self.window, self.tile = window, window // 2
         words, first, *_ = _words(texts)
-        at = gram_starts(first, window)
+        at, place, grams = anchors(words, first, window)
+        self.anchors = np.unique(grams[place])
         hashes, owner = ngram_hashes(words, window)[at], owners[np.searchsorted(first, at, "right") - 1]
         order = np.lexsort((owner, hashes))
         self.hashes, self.owners = hashes[order], owner[order]
@@ -178,23 +189,30 @@ class PhraseAutomaton:
         """One character for each word; that different words may share one costs time only, as windows are looked up whole."""
         return (words % np.uint64(0xF0000) + np.uint64(0x10000)).astype("<u4").tobytes().decode("utf-32-le")
 
-    def covered(self, doc_ids: np.ndarray, texts: pa.Array) -> list[list[tuple[int, int]]]:
-        """For each document, the word spans covered by windows that a smaller doc_id owns."""
-        words, first, *_ = _words(texts)
-        hashes, letters = ngram_hashes(words, self.window), self.letters(words)
-        out = []
-        for d, a, b in zip(doc_ids.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+    def covered(self, doc_ids: np.ndarray, starts: np.ndarray, texts: pa.Array) -> tuple[list[list[tuple[int, int]]], list[list[tuple[int, str]]]]:
+        """For each document (from word start on), the word spans covered by windows that a smaller doc_id owns, and the stretches
+        (first word, text) of windows with an anchor of the shard that the shard does not have."""
+        words, first, buf, word_starts, word_ends = _words(texts)
+        hashes, letters, data = ngram_hashes(words, self.window), self.letters(words), buf.tobytes()
+        windows, place, grams = anchors(words, first, self.window)
+        shared = np.isin(grams[place], self.anchors)
+        spans, rest = [], []
+        for d, begin, a, b in zip(doc_ids.tolist(), starts.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
             ends = np.array([e for e, _ in self.automaton.iter(letters[a:b])], np.int64) + a + 1
             near = np.zeros(b - a + 2, np.int64)  # windows that hold a tile: from tile end - window to tile start
             np.add.at(near, np.maximum(ends - self.window, a) - a, 1)
             np.add.at(near, ends - self.tile - a + 1, -1)
             at = np.flatnonzero(np.cumsum(near)[: max(0, b - a - self.window + 1)]) + a
-            place = np.searchsorted(self.hashes, hashes[at])
-            found = place < len(self.hashes)
-            found[found] = (self.hashes[place[found]] == hashes[at[found]]) & (self.owners[place[found]] < d)
-            low, high = _runs(at[found] - a)
-            out.append(merged(list(zip(low.tolist(), (high + self.window).tolist(), strict=True))))
-        return out
+            slot = np.searchsorted(self.hashes, hashes[at])
+            found = slot < len(self.hashes)
+            found[found] = self.hashes[slot[found]] == hashes[at[found]]
+            known = at[found]
+            low, high = _runs(known[self.owners[slot[found]] < d] - a + begin)
+            spans.append(merged(list(zip(low.tolist(), (high + self.window).tolist(), strict=True))))
+            k = slice(*np.searchsorted(windows, [a, b]))
+            low, high = _runs(np.setdiff1d(windows[k][shared[k]], known, assume_unique=True))
+            rest.append([(x - a + begin, data[word_starts[x] : word_ends[y + self.window - 1]].decode()) for x, y in zip(low.tolist(), high.tolist(), strict=True)])
+        return spans, rest
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -207,13 +225,15 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _locate(passages: DataFrame, candidates: DataFrame, window: int) -> DataFrame:
-    """doc_id, spans for documents with repeated passages; a document comes once for each shard."""
-    named = passages.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), "text")
-    places = F.array_distinct(F.transform("anchors", lambda a: F.struct(a["shard"].alias("shard"), a["copies"].alias("copies"))))
-    texts = candidates.select("doc_id", "text", F.inline(places)).select("shard", F.pmod(F.xxhash64("doc_id"), "copies").alias("copy"), F.lit(1).alias("kind"), "doc_id", "text")
+def _locate(passages: DataFrame, candidates: DataFrame, window: int, rest: bool) -> DataFrame:
+    """doc_id, spans, rest (stretches of windows that no passage has) of documents that have any; a document comes once for each shard."""
+    named = passages.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), F.col("owner").alias("doc_id"), F.lit(0).cast("long").alias("start"), "text")
+    others = F.filter("anchors", lambda a: ~a["own"])
+    places = F.array_distinct(F.transform(others, lambda a: F.struct(a["shard"].alias("shard"), a["copies"].alias("copies"))))
+    texts = candidates.select("doc_id", "start", "text", F.inline(places)).select("shard", F.pmod(F.xxhash64("doc_id"), "copies").alias("copy"), F.lit(1).alias("kind"), "doc_id", "start", "text")
     rows = named.unionByName(texts).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "kind", "doc_id")
-    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))])
+    stretch = pa.list_(pa.struct([("start", pa.int64()), ("text", pa.string())]))
+    schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("rest", stretch)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -230,41 +250,53 @@ def _locate(passages: DataFrame, candidates: DataFrame, window: int) -> DataFram
                     continue
                 if automaton is None and held:
                     whole = pa.Table.from_batches(held).combine_chunks()
-                    automaton, held = PhraseAutomaton(whole.column(3).to_numpy(), whole.column(4), window), []
+                    automaton, held = PhraseAutomaton(whole.column(3).to_numpy(), whole.column(5), window), []
                 if automaton:
-                    spans = automaton.covered(part.column(3).to_numpy(), part.column(4))
-                    some = [k for k, s in enumerate(spans) if s]
-                    yield as_batch({"doc_id": part.column(3).take(pa.array(some, pa.int64())), "spans": [[{"a": x, "b": y} for x, y in spans[k]] for k in some]}, schema)
+                    spans, more = automaton.covered(part.column(3).to_numpy(), part.column(4).to_numpy(), part.column(5))
+                    some = [k for k in range(part.num_rows) if spans[k] or rest and more[k]]
+                    yield as_batch({"doc_id": part.column(3).take(pa.array(some, pa.int64())), "spans": [[{"a": x, "b": y} for x, y in spans[k]] for k in some], "rest": [[{"start": x, "text": t} for x, t in more[k]] if rest else [] for k in some]}, schema)
 
-    return rows.mapInArrow(run, "doc_id long, spans array<struct<a: long, b: long>>")
+    return rows.mapInArrow(run, "doc_id long, spans array<struct<a: long, b: long>>, rest array<struct<start: long, text: string>>")
 
 
-def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
-    """doc_id, spans: the word spans [a, b) of docs(doc_id, text) that are covered by windows of smaller doc_ids, for documents that have any."""
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
-    pairs = materialize(_anchor_rows(docs, window), "anchors")
+def _candidates(texts: DataFrame, window: int) -> DataFrame:
+    """doc_id, start, text, anchors of the texts (doc_id, start, text) that share anchors with other documents."""
+    pairs = materialize(_anchor_rows(texts.select("doc_id", "text"), window), "anchors")
     shared = materialize(_placed(pairs), "shared")
-    known = pairs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "shard", "copies")).alias("anchors"))  # bounded by the document
-    candidates = materialize(docs.join(known, "doc_id"), "candidates")
+    each = F.struct("anchor", "shard", "copies", (F.col("doc_id") == F.col("first")).alias("own"))
+    known = pairs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set(each).alias("anchors"))  # bounded by the document
+    out = materialize(texts.join(known, "doc_id").select("doc_id", "start", "text", "anchors"), "candidates")
     release(pairs, shared)
+    return out
+
+
+def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
+    """doc_id, spans: the word spans [a, b) of docs(doc_id, text) that are covered by windows of smaller doc_ids, for documents that have any."""
+    texts = docs.where("doc_id is not null").select("doc_id", F.lit(0).cast("long").alias("start"), "text")
+    candidates = _candidates(texts, window)
+    found = materialize(_locate(_passages(candidates, window), candidates, window, rest=True), "spans")
+    release(candidates)
+    candidates = _candidates(found.select("doc_id", F.inline("rest")), window)
     recurring = _window_rows(candidates, window).groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("y")).where("doc_id < y")
     owned = recurring.groupBy("doc_id").agg(F.collect_list("hash").alias("hashes"))  # bounded by the document
-    passages = materialize(_passages(candidates.join(owned, "doc_id"), window), "passages")
-    found = materialize(_locate(passages, candidates, window), "spans")
+    passages = materialize(_passages(candidates.join(owned, "doc_id").select("doc_id", "start", "text", "anchors", "hashes"), window), "passages")
+    everyone = candidates.withColumn("anchors", F.transform("anchors", lambda a: a.withField("own", F.lit(False))))
+    more = materialize(_locate(passages, everyone, window, rest=False), "spans")
     release(candidates, passages)
-    return found.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = found.where(F.size("spans") > 0).select("doc_id", "spans").unionByName(more.select("doc_id", "spans"))
+    return spans.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _placed(pairs: DataFrame) -> DataFrame:
-    """anchor, shard, copies of the anchors that at least two documents have."""
+    """anchor, first (document), shard, copies of the anchors that at least two documents have."""
     shared = pairs.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("times")).where("first < last")
     shared = materialize(shared.drop("last"), "shared")
     shards = max(1, -(-shared.count() * _WORDS_AN_ANCHOR // SHARD_WORDS))
     parts = shared.groupBy("first").agg(F.floor(F.sum("times") / _TOGETHER + 1).alias("parts"))
     shard = F.pmod(F.xxhash64("first", F.pmod(F.xxhash64("anchor"), "parts")), F.lit(shards)).cast("long")
-    dealt = shared.join(parts, "first").select("anchor", "times", shard.alias("shard"))
+    dealt = shared.join(parts, "first").select("anchor", "first", "times", shard.alias("shard"))
     copies = dealt.groupBy("shard").agg(F.floor(F.sum("times") / _COPY + 1).cast("long").alias("copies"))
-    return dealt.join(copies, "shard").select("anchor", "shard", "copies")
+    return dealt.join(copies, "shard").select("anchor", "first", "shard", "copies")
 
 
 def kept_words(text: str | None, spans: list[tuple[int, int]]) -> tuple[int, int, str]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .encoding import as_batch
-from .ngram_join import Similarity, link_sets, prefixes, with_components
+from .ngram_join import Similarity, bucketed, link_sets, prefixes, with_components
 from .textops import by_bytes, gram_starts, hash_spans, mix, ngram_hashes, ranges, text_bytes, word_spans
 
 SHINGLE, PERMUTATIONS = 5, 256
@@ -186,9 +186,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> Data
     sets = materialize(prefixes(docs, how).drop("prefix"), "sets")
     named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
     ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    keys = docs.mapInArrow(run, "id long, token array<long>").select("id", F.explode("token").alias("token")).join(ones.select("id", "n", "weight"), "id")
-    shared = keys.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     # a band says nothing of places in a set: positions that every filter lets pass
-    found = materialize(keys.join(shared, "token").withColumns({"pos": F.lit(0), "before": F.lit(0), "heads": F.array().cast("array<long>")}), "buckets")
+    keys = docs.mapInArrow(run, "id long, token array<long>").join(ones.select("id", F.col("n").cast("int").alias("n")), "id")
+    tokens = keys.select("id", "n", F.lit(bands).alias("size"), F.lit(0).alias("pos"), F.explode("token").alias("token"))
+    found = bucketed(tokens).withColumns({"before": F.lit(0), "heads": F.array().cast("array<long>")})
     labels = link_sets(found, docs, ones.select("id", "bins"), how)
     return with_components(sets, named, labels).select("doc_id", "component_id")

@@ -40,7 +40,7 @@ _CHUNK_GRAMS, _CHUNK_DOCS = 1 << 22, 4
 #: A word is counted if it is so often in a chunk; how rare it is, is kept in sixteenths of a bit.
 _CHUNK_WORDS, _RAREST = 32, 20 * 16
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("weight", pa.float64()), ("bins", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("bins", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))])
 
 
 @dataclass(frozen=True)
@@ -137,23 +137,22 @@ def frequencies(docs: DataFrame, grams: int) -> Frequencies:
 
 
 def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, n (set size), low and high (128 bits that name the set), weight (how frequent its n-grams are), bins, prefix."""
+    """doc_id, n (set size), low and high (128 bits that name the set), bins, prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs, how.grams))  # at most MAX_FREQUENT and MAX_WORDS entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            sets, low, high, weight, bins, prefix = [], [], [], [], [], []
+            sets, low, high, bins, prefix = [], [], [], [], []
             for s, place in gram_sets(batch.column(1), how.grams, frequencies=sent.value):
                 m = mix(s)
                 sets.append(s)
                 low.append(m.sum(dtype=np.uint64))
                 high.append(mix(m + np.uint64(1)).sum(dtype=np.uint64))
-                weight.append(float(np.log1p(np.maximum(place, 0) >> 16).mean()) if len(s) else 0.0)
                 bins.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.int32))
                 prefix.append(signed(s[np.argsort(place, kind="stable")[: how.prefix(len(s))]] if len(s) else s))
-            yield as_batch({"doc_id": batch.column(0), "n": np.array([len(s) for s in sets]), "low": signed(np.array(low, np.uint64)), "high": signed(np.array(high, np.uint64)), "weight": weight, "bins": bins, "prefix": prefix}, _SETS)
+            yield as_batch({"doc_id": batch.column(0), "n": np.array([len(s) for s in sets]), "low": signed(np.array(low, np.uint64)), "high": signed(np.array(high, np.uint64)), "bins": bins, "prefix": prefix}, _SETS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, weight double, bins array<int>, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, bins array<int>, prefix array<long>")
 
 
 def whole_sets(docs: DataFrame, grams: int) -> DataFrame:
@@ -212,36 +211,35 @@ class _Links:
         self.links = new if self.links is None else self.links.unionByName(new)
 
 
-#: Buckets of so many sets at most are enumerated at once; larger ones go through pivot rounds first, while more pairs than so many for
-#: each row would be left to enumerate and a round halves them, and so many rounds at most.
-_SMALL, _PAIRS_A_ROW, _ROUNDS = 8, 8, 6
-HEADS = 6
+#: All buckets first go through pivot rounds: while more pairs than so many for each row would be left to enumerate and a round halves
+#: them, and so many rounds at most.
+_PAIRS_A_ROW, _ROUNDS = 8, 6
+HEADS = 4
 
 
-def _with_heads(rows: DataFrame) -> DataFrame:
-    """Adds before (shared n-grams of the set that come sooner) and heads (its first HEADS ones)."""
-    line = Window.partitionBy("id").orderBy("pos", "token")
+def bucketed(tokens: DataFrame) -> DataFrame:
+    """Rows of sets in buckets of at least two. tokens: id, n, size (of the prefix), pos, token.
+
+    Adds least (the bucket's shortest set), before (shared n-grams of the set that come sooner), heads (its first HEADS ones) and
+    weight (the shared part of its prefix).
+    """
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1").drop("c")
+    rows = tokens.join(materialize(shared, "shared"), "token")
+    every = Window.partitionBy("id")
+    line = every.orderBy("pos", "token")
     whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = [F.nth_value("token", k + 1).over(whole) for k in range(HEADS)]
-    return rows.withColumns({"before": F.row_number().over(line) - 1, "heads": F.array_compact(F.array(*first))})
+    return rows.withColumns({"before": F.row_number().over(line) - 1, "heads": F.array_compact(F.array(*first)), "weight": F.count("*").over(every) / F.col("size")}).drop("size")
 
 
 def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity) -> DataFrame:
-    """rows: token, id, n, pos, before, weight of sets in buckets of at least two, and the texts of their ids.
-
-    Returns (id, component), see connected_components.
-    """
+    """rows: see bucketed(); docs: the texts of their ids. Returns (id, component), see connected_components."""
     links = _Links(bins, how)
-    bucket = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("n").alias("least"))
     # a set that is too far from the shortest one of its bucket is too far from all
-    rows = rows.join(bucket, "token").where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least")
-    rows = materialize(rows.withColumn("label", F.col("id")), "buckets")
-    small, large = rows.where(F.col("size") <= _SMALL), rows.where(F.col("size") > _SMALL)
-    first = links.likely(_side(small, "a").join(_side(small, "b"), "token").where((F.col("a_id") < F.col("b_id")) & _fit(how) & _not_sooner()))
-    some = large.select("id").unionByName(first.select(F.col("a").alias("id"))).unionByName(first.select(F.col("b").alias("id"))).distinct()
-    links.sets = materialize(whole_sets(docs.join(some.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), how.grams), "whole")
-    links.verify(first)
-    now, before = large, None
+    now = materialize(rows.where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least").withColumn("label", F.col("id")), "buckets")
+    some = now.select(F.col("id").alias("doc_id")).distinct()
+    links.sets = materialize(whole_sets(docs.join(some, "doc_id", "left_semi"), how.grams), "whole")
+    before = None
     for turn in range(_ROUNDS + 1):
         if turn:
             now = now.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
@@ -252,7 +250,7 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
         left, size = each.agg(F.sum(F.col("p").cast("double")) / 2, F.sum("c")).first()
         if not left:
             break
-        last = turn == _ROUNDS or left <= _PAIRS_A_ROW * size or (before is not None and left > before / 2)
+        last = turn and (turn == _ROUNDS or left <= _PAIRS_A_ROW * size or left > before / 2)
         before = left
         if last:
             other = _side(now, "b")
@@ -261,10 +259,10 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
             other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "heads", "label"), order).alias("p")).select("token", "p.*"), "b")
         pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how))
         links.verify(links.likely(pairs.where((F.col("a_id") < F.col("b_id")) & _not_sooner()) if last else pairs))
+        labels = connected_components(links.links)
         if last:
             break
-        labels = connected_components(links.links)
-    return connected_components(links.links)
+    return labels if links.links is not None else now.select("id", F.col("id").alias("component")).limit(0)
 
 
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
@@ -273,10 +271,8 @@ def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> Da
     sets = materialize(prefixes(docs, how), "sets")
     named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
     ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    tokens = ones.select("id", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    shared = materialize(tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token"), "shared")
-    rows = materialize(_with_heads(tokens.join(shared, "token").join(ones.select("id", "weight"), "id")), "buckets")
-    labels = link_sets(rows, docs, ones.select("id", "bins"), how)
+    tokens = ones.select("id", F.col("n").cast("int").alias("n"), F.size("prefix").alias("size"), F.posexplode("prefix").alias("pos", "token"))
+    labels = link_sets(bucketed(tokens), docs, ones.select("id", "bins"), how)
     return with_components(sets, named, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 

@@ -195,7 +195,6 @@ def test_ngram_join(docs, empty, how):
 
 
 def test_ngram_join_pivot_rounds(docs, monkeypatch):
-    monkeypatch.setattr(ngram_join, "_SMALL", 1)
     monkeypatch.setattr(ngram_join, "_PAIRS_A_ROW", 0)
     monkeypatch.setattr(ngram_join, "_ROUNDS", 2)
     want = brute_components({k: grams(t, 4) for k, t in DOCS}, 85)

@@ -257,8 +257,8 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
         else:
             order = F.struct("weight", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
             other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "heads", "label"), order).alias("p")).select("token", "p.*"), "b")
-        pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how))
-        links.verify(links.likely(pairs.where((F.col("a_id") < F.col("b_id")) & _not_sooner()) if last else pairs))
+        pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how) & _not_sooner())
+        links.verify(links.likely(pairs.where("a_id < b_id") if last else pairs))
         labels = connected_components(links.links)
         if last:
             break

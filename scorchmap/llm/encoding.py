@@ -24,7 +24,7 @@ import pyarrow as pa
 from .textops import PLAIN_WORD, hash_spans, lower_ascii, ranges, word_spans
 
 #: Most units that a worker remembers; beyond this it starts afresh.
-MAX_UNITS = 2_000_000
+MAX_UNITS = 1_000_000
 _ENCODE_AT_ONCE = 4096
 
 _LETTER = np.zeros(256, bool)

@@ -116,7 +116,7 @@ def powers_of_two(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, in
     return out
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, limits: Limits = Limits(), unit: str = "drop", loss_from: str | None = None, block_tokens: int = 1 << 22) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, limits: Limits = Limits(), unit: str = "drop", loss_from: str | None = None, block_tokens: int = 1 << 21) -> DataFrame:
     """One row for each piece: its document, place in it, sequence, offset there, loss-bearing tokens and ids (little-endian unsigned 32-bit).
 
     loss_from: a column with the first token that bears loss (else 0).

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..storage import materialize
+from ..storage import materialize, release
 from .encoding import as_batch
 from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
@@ -239,13 +239,15 @@ def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity
     now = materialize(rows.where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least").withColumn("label", F.col("id")), "buckets")
     some = now.select(F.col("id").alias("doc_id")).distinct()
     links.sets = materialize(whole_sets(docs.join(some, "doc_id", "left_semi"), how.grams), "whole")
-    before = None
+    before, table = None, now
     for turn in range(_ROUNDS + 1):
         if turn:
             now = now.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
         # labels only merge: a bucket with one label needs no more pairs
         mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("token")
-        now = materialize(now.join(mixed, "token"), "buckets")
+        old, now = table, materialize(now.join(mixed, "token"), "buckets")
+        release(old)
+        table = now
         each = now.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"), F.sum("c").alias("c"))
         left, size = each.agg(F.sum(F.col("p").cast("double")) / 2, F.sum("c")).first()
         if not left:

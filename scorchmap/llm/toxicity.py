@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine search in a block-max inverted index.
 
 The model is fitted on at most EXAMPLES_A_CLASS labelled documents of each class (those with the least hash of the doc_id);
-each stands for as many of its class as the sample leaves out. Terms are lower-case words whose share among toxic examples
+each weighs as many of its class as the sample leaves out, in votes and in the isotonic fit, but is one neighbour. Terms are lower-case words whose share among toxic examples
 differs enough from that among the others; they are weighted by 1 + log tf and idf and vectors are brought to length one.
 Equal vectors are one entry of the index. Entries are dealt into blocks of alike vectors; for each term, a block knows its
 greatest weight, so that the sum of query weight times greatest weight bounds the cosine with any of its entries. Blocks are
@@ -65,6 +65,7 @@ class Model:
     keys: np.ndarray
     ones: np.ndarray
     alls: np.ndarray
+    heads: np.ndarray
     steps: tuple[np.ndarray, np.ndarray]
 
     def vectors(self, column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -100,7 +101,7 @@ class Model:
             found, cosines = np.concatenate([found, entries[some]]), np.concatenate([cosines, c[some]])
             best = np.lexsort((self.keys[found], -cosines))
             found, cosines = found[best], cosines[best]
-            enough = np.searchsorted(np.cumsum(np.ceil(self.alls[found])), k + (skip >= 0))
+            enough = np.searchsorted(np.cumsum(self.heads[found] - (found == skip)), k)
             if enough < len(found):
                 found, cosines, least = found[: enough + 1], cosines[: enough + 1], cosines[enough]
         return found, cosines
@@ -114,7 +115,8 @@ class Model:
         own = found == skip
         ones[own] -= toxic
         alls[own] -= mass
-        top = np.minimum(alls, NEIGHBOURS) / np.maximum(alls, 1e-9)
+        heads = self.heads[found] - own
+        top = np.minimum(heads, NEIGHBOURS) / np.maximum(heads, 1)
         near = cosines * cosines
         value = float(((near * ones * top).sum() + _PRIOR * self.prior) / ((near * alls * top).sum() + _PRIOR))
         return value, int(found[0]), float(cosines[0])
@@ -160,8 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_cla
     n = {r.label: r["count"] for r in examples.groupBy("label").count().collect()}
     if len(n) < 2:
         share = float(min(n, default=0))
-        return Model(np.zeros(0, np.uint64), np.zeros(0), share, [], np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), (np.zeros(0), np.zeros(0)))
+        return Model(np.zeros(0, np.uint64), np.zeros(0), share, [], np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, np.int64), (np.zeros(0), np.zeros(0)))
     stands = {c: totals[c] / n[c] for c in (0, 1)}
+    mean = sum(totals.values()) / sum(n.values())
     counts = pa.schema([("term", pa.int64()), ("ones", pa.int64()), ("zeros", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_cla
     df = chosen.column("ones").to_numpy() * stands[1] + chosen.column("zeros").to_numpy() * stands[0]
     order = np.argsort(terms)
     total = totals[0] + totals[1]
-    model = Model(terms[order], np.log((total + 1) / (df[order] + 1)) + 1, 0.0, [], np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), (np.zeros(0), np.zeros(0)))
+    model = Model(terms[order], np.log((total + 1) / (df[order] + 1)) + 1, 0.0, [], np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0), np.zeros(0), np.zeros(0, np.int64), (np.zeros(0), np.zeros(0)))
     packed = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int64())), ("weights", pa.list_(pa.float64()))])
 
     def vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,25 +194,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_cla
             yield as_batch({"doc_id": batch.column(0), "label": batch.column(2), "terms": [t for t, _ in found], "weights": [w for _, w in found]}, packed)
 
     vectors = examples.select("doc_id", "text", "label").mapInArrow(vectorise, "doc_id long, label int, terms array<long>, weights array<double>").collect()
-    return _index(model, sorted((tuple(r.terms), tuple(r.weights), r.doc_id, r.label) for r in vectors), stands)
+    return _index(model, sorted((tuple(r.terms), tuple(r.weights), r.doc_id, r.label) for r in vectors), {c: stands[c] / mean for c in (0, 1)})
 
 
 def _index(model: Model, rows: list[tuple], stands: dict[int, float]) -> Model:
-    """rows: terms, weights, doc_id, label of each example, sorted, so that alike vectors are near each other."""
+    """rows: terms, weights, doc_id, label of each example, sorted, so that alike vectors are near each other; stands: each label's weight, 1 on average."""
     none = [r for r in rows if not r[0]]
     mass = {c: stands[c] * sum(r[3] == c for r in none) for c in (0, 1)}
     model.prior = (mass[1] + 0.5) / (mass[0] + mass[1] + 1)
     entries: dict[tuple, list] = {}
     for terms, weights, key, label in rows:
         if terms:
-            e = entries.setdefault((terms, weights), [key, 0.0, 0.0])
+            e = entries.setdefault((terms, weights), [key, 0.0, 0.0, 0])
             e[0] = min(e[0], key)
             e[1] += label * stands[label]
             e[2] += stands[label]
+            e[3] += 1
     vectors = list(entries)
     model.keys = np.array([e[0] for e in entries.values()], np.int64)
     model.ones = np.array([e[1] for e in entries.values()])
     model.alls = np.array([e[2] for e in entries.values()])
+    model.heads = np.array([e[3] for e in entries.values()], np.int64)
     model.peaks = np.zeros((len(model.terms), -(-len(vectors) // _BLOCK)))
     for b in range(model.peaks.shape[1]):
         part = vectors[b * _BLOCK : (b + 1) * _BLOCK]

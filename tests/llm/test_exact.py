@@ -345,3 +345,23 @@ def test_toxicity(spark, empty):
     few = toxicity.fit(df.drop("toxic"), labels.where("toxic = 0"))
     assert {r.score for r in toxicity.score(df, few).collect()} == {0.0}
     assert toxicity.score(empty, model).count() == 0
+
+
+def test_toxicity_counts_sampled_examples_as_neighbours():
+    import dataclasses
+
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    rows = []
+    for k in range(60):
+        w = rnd.random(8)
+        rows.append((tuple(range(8)), tuple(w / np.sqrt((w * w).sum())), k, int(k % 4 == 0)))
+    parts = {f.name: np.zeros(0) for f in dataclasses.fields(toxicity.Model)} | {"terms": np.arange(8, dtype=np.uint64), "idf": np.ones(8), "blocks": []}
+    model = toxicity._index(toxicity.Model(**parts), sorted(rows), {0: 340.0, 1: 43.0})  # as if the label table were far larger than the sample
+    for k in range(60):
+        t, w = np.arange(8), np.array(rows[k][1])
+        own = int(np.flatnonzero(model.keys == k)[0])
+        assert len(model.nearest(t, w, 15)[0]) == 15
+        left_out = model.nearest(t, w, 15, own)[0]
+        assert len(left_out) == 16 and own in left_out

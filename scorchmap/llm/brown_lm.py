@@ -5,10 +5,11 @@ P(text) is the product over its words and the end of P(class | class before) * P
 * All words of the training texts are counted in Spark. The CLUSTERED most frequent ones are assigned to CLASSES classes by
   exchange: each word in turn moves to the class that makes the class bigrams likeliest, until a round moves few words. That
   needs the bigrams among them only, at most CLUSTERED squared numbers.
-* The next EXTENDED words take the class that makes their neighbours' classes likeliest. All other words, unseen ones included,
-  share one class, and the end of a text is a class of its own.
-* Counts of at most FREQUENT words are sent to all tasks; the counts of the others come by a join on the words, so nothing that
-  is broadcast grows with the corpus. The rare words of a text are joined, not the frequent ones, so no key is hot.
+* All other words that occur ENOUGH times take the class that makes their neighbours' classes likeliest: for the next EXTENDED
+  words from counts in the driver, for those after them from counts grouped by word in Spark. Words that occur less often, unseen
+  ones included, share one class, and the end of a text is a class of its own.
+* Counts and classes of at most FREQUENT words are sent to all tasks; those of the others come by a join on the words, so nothing
+  that is broadcast grows with the corpus. The rare words of a text are joined, not the frequent ones, so no key is hot.
 
 Null text counts as empty: the end only. A null doc_id is a training row. Repeated rows count as often as they come and are
 scored each on its own; without training rows all words are unseen ones. Further columns are ignored.
@@ -25,11 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import materialize
+from ..storage import materialize, release
 from .encoding import as_batch
 from .textops import by_bytes, hash_spans, lower_ascii, ranges, signed, text_bytes, unsigned, word_spans
 
 CLASSES, CLUSTERED, EXTENDED, FREQUENT = 64, 1024, 8192, 1 << 19
+ENOUGH = 5
 PRIOR_TYPES = 0.1
 _PRIOR_MOVES = 5.0
 _CHUNK_TOKENS = 1 << 22
@@ -166,8 +168,8 @@ class Model:
         return CLASSES + 1
 
 
-def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of at most so many words, most frequent first: all those above some count."""
+def _most_frequent(counts: DataFrame, most: int) -> list[np.ndarray]:
+    """Hashes, counts and further columns of at most so many words, most frequent first: all those above some count."""
     step = F.floor(F.log("n") * 64).alias("step")  # a few thousand steps at any size
     sizes = {r.step: r.words for r in counts.groupBy(step).agg(F.count("*").alias("words")).collect()}
     least, have = 1 << 62, 0
@@ -176,13 +178,117 @@ def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray
             break
         least = n
     rows = counts.where(step >= least).toArrow()
-    word, n = unsigned(rows.column(0).to_numpy()), rows.column(1).to_numpy()
-    order = np.lexsort((word, -n))
-    return word[order], n[order]
+    word, *rest = (c.to_numpy() for c in rows.columns)
+    word = unsigned(word)
+    order = np.lexsort((word, -rest[0]))
+    return [c[order] for c in (word, *rest)]
+
+
+def _classed(texts: DataFrame, known: np.ndarray, rank: np.ndarray, group: np.ndarray, value: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """key, class of each word beside the known ones (sorted, with ranks, and the class of each rank) that occurs ENOUGH times.
+
+    value: of each class for words with these counts of the classes before and after them.
+    """
+    groups, buckets = CLASSES + 2, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = texts.sparkSession.sparkContext.broadcast((known, rank, group))
+    dealt, classed = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("codes", pa.binary())]), pa.schema([("key", pa.int64()), ("class", pa.int32())])
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in by_bytes(batches):
+            words, first = tokens(batch.column(0))
+            known, rank, group = sent.value
+            x = numbered(words, known, rank, len(group))
+            c = np.append(group, CLASSES + 1)[x]
+            own = np.flatnonzero(x == len(group))
+            held.append((words[own], (before(c, first, CLASSES)[own] * groups + np.append(c[1:], CLASSES)[own]).astype(np.uint16)))
+            size += len(own)
+            if size >= _CHUNK_TOKENS // 4:
+                yield deal(held)
+                held, size = [], 0
+        if size:
+            yield deal(held)
+
+    def deal(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, codes = (np.concatenate(x) for x in zip(*held, strict=True))
+        bucket = (keys % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        keys, codes = keys[order], codes[order]
+        names, cut = np.unique(bucket[order], return_index=True)
+        parts = list(zip(cut.tolist(), [*cut[1:].tolist(), len(keys)], strict=True))
+        return as_batch({"bucket": names, "keys": [keys[a:b].tobytes() for a, b in parts], "codes": [codes[a:b].tobytes() for a, b in parts]}, dealt)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b"".join(batch.column(1).to_pylist()), b"".join(batch.column(2).to_pylist())) for batch in batches]
+        keys, codes = np.frombuffer(b"".join(k for k, _ in held), np.uint64), np.frombuffer(b"".join(c for _, c in held), np.uint16)
+        order = np.argsort(keys)
+        keys, codes = keys[order], codes[order].astype(np.int64)
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        n = np.diff(np.append(first, len(keys)))
+        first, n = first[n >= ENOUGH], n[n >= ENOUGH]
+        for a in range(0, len(first), 4096):
+            f, m = first[a : a + 4096], n[a : a + 4096]
+            code, row = codes[ranges(f, m)], np.repeat(np.arange(len(f)), m) * groups
+            left, right = (np.bincount(row + c, minlength=len(f) * groups).reshape(-1, groups) for c in (code // groups, code % groups))
+            yield as_batch({"key": signed(keys[f]), "class": value(left, right).argmax(axis=1).astype(np.int32)}, classed)
+
+    rows = texts.select("text").mapInArrow(around, "bucket int, keys binary, codes binary").repartition(buckets, "bucket")
+    return rows.mapInArrow(assign, "key long, class int")
+
+
+_PLACED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("own", pa.float64()), ("seq", pa.binary()), ("rare", pa.list_(pa.int64()))])
+_LATER = 255
+
+
+def _placed(docs: DataFrame, words: np.ndarray, counts: np.ndarray, classes: np.ndarray, table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each text's classes, a byte each (_LATER: of a word in rare, in order), and found: key, n and class of those words that are in the table.
+
+    Also the written table that this reads. words (sorted) are sent to all tasks, with their counts and classes.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((words, np.log10(counts + PRIOR_TYPES), classes.astype(np.uint8)))  # at most FREQUENT words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_words, logs, classes = sent.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in by_bytes(batches):
+            words, first = tokens(batch.column(1))
+            place = np.minimum(np.searchsorted(known_words, words), max(0, len(known_words) - 1))
+            known = known_words[place] == words if len(known_words) else np.zeros(len(words), bool)
+            c, own = np.full(len(words), _LATER, np.uint8), np.zeros(len(words))
+            c[known], own[known] = classes[place[known]], logs[place[known]]
+            rare = np.flatnonzero(~known)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(rare, first).astype(np.int32)), pa.array(signed(words[rare])))
+            seq = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(first.astype(np.int32).tobytes()), pa.py_buffer(c.tobytes())])
+            sums = [np.add.reduceat(x, first[:-1]) for x in (known.astype(np.int64), own)]
+            yield as_batch({"row": np.arange(row, row + batch.num_rows), "doc_id": batch.column(0), "n_tokens": np.diff(first), "n_known": sums[0], "own": sums[1], "seq": seq, "rare": lists}, _PLACED)
+            row += batch.num_rows
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, own double, seq binary, rare array<long>")
+    rows = materialize(rows, "placed")
+    keys = rows.select("row", F.explode(F.array_distinct("rare")).alias("key"))
+    found = keys.join(table, "key").groupBy("row").agg(F.collect_list(F.struct("key", "n", "class")).alias("found"))
+    return rows.join(found, "row", "left").drop("row"), rows
+
+
+def _filled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of all tokens of a batch of _placed(), each text's first token, and the place and count of each looked up one."""
+    first = np.concatenate([[0], np.cumsum(batch.column("n_tokens").to_numpy())])
+    c = np.frombuffer(b"".join(batch.column("seq").to_pylist()), np.uint8).astype(np.int64)
+    at = np.flatnonzero(c == _LATER)
+    n = np.zeros(len(at), np.int64)
+    c[at] = CLASSES + 1
+    key, times, group = (x.to_numpy(zero_copy_only=False) for x in batch.column("found").flatten().flatten())
+    if len(key) and len(at):
+        rare = batch.column("rare").flatten().to_numpy()
+        key, one = np.unique(key, return_index=True)
+        place = np.minimum(np.searchsorted(key, rare), len(key) - 1)
+        same = key[place] == rare
+        n[same], c[at[same]] = times[one][place[same]], group[one][place[same]]
+    return c, first, at, n
 
 
 def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the counts of all words (key: hash, n) in a written table."""
+    """The model, and the counts and classes of all words (key: hash, n, class) in a written table."""
     sc = texts.sparkSession.sparkContext
     counts = materialize(_tallied(texts, lambda words, first: words), "word-counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -233,71 +339,69 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     near = near.reshape(m, 2, groups)
     onward = np.log((pairs + 0.5) / (pairs.sum(axis=1, keepdims=True) + 0.5 * groups))
     mass = np.log(pairs.sum(axis=0) + 1)
-    value = near[:, 1] @ onward.T[:, :CLASSES] + near[:, 0] @ onward[:, :CLASSES] - near[:, :1].sum(axis=2) * mass[:CLASSES]
-    group = np.concatenate([of[:k], value.argmax(axis=1) if m else np.zeros(0, np.int64)])
-    classes = np.full(len(words), CLASSES + 1)
-    classes[np.flatnonzero(inner)[: k + m]] = group
-    classes[~inner] = CLASSES
 
+    def value(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return right @ onward.T[:, :CLASSES] + left @ onward[:, :CLASSES] - left.sum(axis=1, keepdims=True) * mass[:CLASSES]
+
+    group = np.concatenate([of[:k], value(near[:, 0], near[:, 1]).argmax(axis=1) if m else np.zeros(0, np.int64), [CLASSES]])
+    top = texts.sparkSession.createDataFrame(pa.table({"key": signed(np.append(ranked[: k + m], END)), "class": group.astype(np.int32)}))
+    classed = top.unionByName(_classed(texts, *table(k + m), group, value))
+    written = materialize(counts.join(classed, "key", "left").select("key", "n", F.coalesce("class", F.lit(CLASSES + 1)).alias("class")), "words")
+    words, n, classes = _most_frequent(written, FREQUENT)
     order = np.argsort(words)
-    final = sc.broadcast((words[order], classes[order]))
+    words, n, classes = words[order], n[order], classes[order]
 
-    def moves(words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        c = numbered(words, *final.value, CLASSES + 1)
-        return before(c, first, CLASSES) * groups + c
+    def moves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(groups * groups, np.int64)
+        for batch in batches:
+            c, first, _, _ = _filled(batch)
+            if len(c):
+                seen += np.bincount(before(c, first, CLASSES) * groups + c, minlength=groups * groups)
+        yield as_batch({"key": np.flatnonzero(seen), "n": seen[seen > 0]}, pa.schema([("key", pa.int64()), ("n", pa.int64())]))
 
     flat = np.zeros(groups * groups)
-    rows = _tallied(texts, moves).toArrow()
+    placed, read = _placed(texts.select(F.lit(0).cast("long").alias("doc_id"), "text"), words, n, classes, written.where(F.col("class") <= CLASSES))
+    rows = placed.mapInArrow(moves, "key long, n long").groupBy("key").agg(F.sum("n")).toArrow()
     flat[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    release(read, counts)
     flat = flat.reshape(groups, groups)
     share = (flat.sum(axis=0) + 1) / (flat.sum() + groups)
     log_moves = np.log10((flat + _PRIOR_MOVES * share) / (flat.sum(axis=1, keepdims=True) + _PRIOR_MOVES))
-    in_class = np.bincount(classes, n, groups)
-    types = np.bincount(classes, minlength=groups).astype(float)
-    in_class[-1] = total[0] - in_class[:-1].sum()
-    types[-1] = total[1] - types[:-1].sum() + 1  # and one for all unseen words
-    return Model(words[order], n[order], classes[order], total[0], total[1], log_moves, np.log10(np.maximum(in_class + PRIOR_TYPES * types, 1e-9))), counts
+    in_class, types = np.zeros(groups), np.zeros(groups)
+    for r in written.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():
+        in_class[r["class"]], types[r["class"]] = r.n, r.types
+    types[-1] += 1  # for all unseen words
+    return Model(words, n, classes, total[0], total[1], log_moves, np.log10(np.maximum(in_class + PRIOR_TYPES * types, 1e-9))), written
 
 
-_SCORED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64()))])
+_SCORED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score (unigrams), score (the model's log10 probability), perplexity for each row of docs(doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most FREQUENT words
+    placed, _ = _placed(docs, model.words, model.counts, model.classes, counts)
+    all_mass = np.log10(model.n_tokens + PRIOR_TYPES * (model.n_types + 1))
+    log_moves, log_mass = model.log_moves, model.log_mass
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, row = sent.value, TaskContext.get().partitionId() << 40
-        log_counts = np.log10(m.counts + PRIOR_TYPES)
-        all_mass = np.log10(m.n_tokens + PRIOR_TYPES * (m.n_types + 1))
-        for batch in by_bytes(batches):
-            words, first = tokens(batch.column(1))
-            place = np.minimum(np.searchsorted(m.words, words), max(0, len(m.words) - 1))
-            known = m.words[place] == words if len(m.words) else np.zeros(len(words), bool)
-            c, own = np.full(len(words), m.rest), np.zeros(len(words))
-            c[known], own[known] = m.classes[place[known]], log_counts[place[known]]
-            base = own - all_mass
-            full = own + m.log_moves[before(c, first, CLASSES), c] - m.log_mass[c]
-            rare = np.flatnonzero(~known)
-            doc = np.searchsorted(rare, first).astype(np.int32)
-            sums = [np.add.reduceat(x, first[:-1]) for x in (known.astype(np.int64), base, full)]
-            lists = pa.ListArray.from_arrays(pa.array(doc), pa.array(signed(words[rare])))
-            yield as_batch({"row": np.arange(row, row + batch.num_rows), "doc_id": batch.column(0), "n_tokens": np.diff(first), "n_known": sums[0], "base_score": sums[1], "score": sums[2], "rare": lists}, _SCORED)
-            row += batch.num_rows
-
-    rows = docs.select("doc_id", "text").mapInArrow(run, "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<long>")
-    rows = materialize(rows, "scored")
-    # the counts of rare words, which are missing in both sums
-    rare = rows.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("times"))
-    own = F.log10(F.coalesce("n", F.lit(0)) + F.lit(PRIOR_TYPES)) * F.col("times")
-    rest = rare.join(counts, "key", "left").groupBy("row").agg(F.sum(own).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("seen"))
-    out = rows.drop("rare").join(rest, "row", "left").na.fill({"more": 0.0, "seen": 0})
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c, first, at, n = _filled(batch)
+            row = np.searchsorted(first, at, side="right") - 1
+            own = batch.column("own").to_numpy() + np.bincount(row, np.log10(n + PRIOR_TYPES), batch.num_rows)
+            known = batch.column("n_known").to_numpy() + np.bincount(row, n > 0, batch.num_rows).astype(np.int64)
+            full = own + np.add.reduceat(log_moves[before(c, first, CLASSES), c] - log_mass[c], first[:-1])
+            size = batch.column("n_tokens")
+            yield as_batch({"doc_id": batch.column("doc_id"), "n_tokens": size, "n_known": known, "base_score": own - size.to_numpy() * all_mass, "score": full}, _SCORED)
+
+    out = placed.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(
         "doc_id",
         "n_tokens",
-        (F.col("n_known") + F.col("seen")).alias("n_known"),
+        "n_known",
         F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.col("more")).alias("base_score"),
-        (F.col("score") + F.col("more")).alias("score"),
-        F.pow(F.lit(10.0), -(F.col("score") + F.col("more")) / F.col("n_tokens")).alias("perplexity"),
+        "base_score",
+        "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )

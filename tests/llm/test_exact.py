@@ -365,3 +365,18 @@ def test_toxicity_counts_sampled_examples_as_neighbours():
         assert len(model.nearest(t, w, 15)[0]) == 15
         left_out = model.nearest(t, w, 15, own)[0]
         assert len(left_out) == 16 and own in left_out
+
+
+def test_language_model_gives_rare_words_classes(spark, monkeypatch):
+    monkeypatch.setattr(brown_lm, "CLUSTERED", 8)
+    monkeypatch.setattr(brown_lm, "EXTENDED", 8)
+    monkeypatch.setattr(brown_lm, "FREQUENT", 40)
+    rnd = random.Random(6)
+    odd, even = ([f"{c}{k}" for k in range(60)] for c in "oe")  # in turn, also the words far beyond the first 16
+    pick = lambda words: words[min(59, int(rnd.expovariate(0.05)))]
+    docs = spark.createDataFrame([(k, " ".join(pick((odd, even)[i % 2]) for i in range(20))) for k in range(400)] + [(400, "once")], "doc_id long, text string")
+    model, counts = brown_lm.train(docs)
+    table = counts.collect()
+    assert all((r["class"] < brown_lm.CLASSES) == (r.n >= brown_lm.ENOUGH) for r in table if r.key != brown_lm.END.astype("int64"))
+    assert len(model.words) <= 40 < sum(r.n >= brown_lm.ENOUGH for r in table)
+    assert brown_lm.score(docs, model, counts).where("score > base_score").count() >= 390

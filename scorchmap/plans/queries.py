@@ -448,17 +448,20 @@ def product_catalog(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(_S + "SELECT path, row, CAST(min(ul_x) AS DOUBLE) AS min_x, CAST(max(ul_x) + 6000 AS DOUBLE) AS max_x, CAST(min(ul_y) - 4500 AS DOUBLE) AS min_y, CAST(max(ul_y) AS DOUBLE) AS max_y FROM scenes WHERE grid_origin = 'UL' GROUP BY path, row")
 def grid_bbox_map(spark: SparkSession, d: str) -> DataFrame:
-    return _bbox(spark, d).select("path", "row", "min_x", "max_x", "min_y", "max_y")
+    return _bbox(_scenes(spark, d).where("grid_origin = 'UL'")).select("path", "row", "min_x", "max_x", "min_y", "max_y")
 
 
 @registered()
 def grid_bbox(spark: SparkSession, d: str) -> DataFrame:
-    return _bbox(spark, d)
+    return _bbox(_scenes(spark, d))
 
 
-def _bbox(spark: SparkSession, d: str) -> DataFrame:
-    common = screening.max_extent(_scenes(spark, d).where("grid_origin = 'UL'"))
-    size = {"ncol": F.round((F.col("east") - F.col("west")) / 30 + 1).cast("int"), "nrow": F.round((F.col("north") - F.col("south")) / 30 + 1).cast("int"), "dx": F.lit(30.0), "dy": F.lit(30.0), "utm_zone": F.lit(13)}
+def _bbox(scenes: DataFrame) -> DataFrame:
+    """Of the grid of whole pixels that starts at the outermost west and north edges and holds all scenes of a stack."""
+    edges = screening.edge_extent(scenes)
+    east, south = F.col("west") + F.col("ncol") * F.col("dx"), F.col("north") - F.col("nrow") * F.col("dy")
+    common = edges.groupBy("path", "row").agg(F.min("west").alias("west"), F.max("north").alias("north"), F.max(east).alias("east"), F.min(south).alias("south"))
+    size = {"ncol": F.ceil((F.col("east") - F.col("west")) / 30).cast("int"), "nrow": F.ceil((F.col("north") - F.col("south")) / 30).cast("int"), "dx": F.lit(30.0), "dy": F.lit(30.0), "utm_zone": F.lit(13)}
     return annual.grid_bbox(common.withColumns(size))
 
 

@@ -148,3 +148,22 @@ def test_training_and_saving(spark, tmp_path):
     assert scored.count() == 400 and scored.where("qa < 0 and burn_prob != -9998").count() == 0
     with pytest.raises(ValueError):
         trees.train_or_load(data, options, "x")
+
+
+def test_grid_bbox_holds_all_scenes_of_both_origins(spark):
+    import math
+
+    from scorchmap.plans.queries import QUERIES, _scenes
+
+    d = "/root/testdata/sf0.001"
+    want = {}
+    for r in _scenes(spark, d).select("path", "row", "ul_x", "ul_y", "grid_origin").collect():
+        h = 15 if r.grid_origin == "CENTER" else 0
+        want.setdefault((r.path, r.row), []).append((r.ul_x - h, r.ul_y + h))
+    got = {(r.path, r.row): r for r in QUERIES["grid_bbox"](spark, d).collect()}
+    assert got.keys() == want.keys()
+    for k, corners in want.items():
+        west, north = min(x for x, _ in corners), max(y for _, y in corners)
+        east, south = max(x for x, _ in corners) + 6000, min(y for _, y in corners) - 4500
+        assert (got[k].min_x, got[k].max_y) == (west, north)
+        assert (got[k].max_x, got[k].min_y) == (west + 30 * math.ceil((east - west) / 30), north - 30 * math.ceil((north - south) / 30))

@@ -224,6 +224,14 @@ def point_scenes(spark: SparkSession, d: str) -> DataFrame:
     return placing.scenes_at(views.view(spark, d, views.POINTS, "points"), s).select("point_id", "o", "x", "y")
 
 
+@registered()
+def point_scene_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """All scenes at each point, by their bounds: how many there are, the least and the greatest id, and the pixel."""
+    s = _scenes(spark, d).select("o", F.col("ul_x").alias("west"), F.col("ul_y").alias("north"), (F.col("ul_x") + F.col("ncol") * F.col("dx")).alias("east"), (F.col("ul_y") - F.col("nrow") * F.col("dy")).alias("south"), "dx", "dy")
+    bounds = s.groupBy("west", "north", "east", "south", "dx", "dy").agg(F.count("*").alias("n_scenes"), F.min("o").alias("first_o"), F.max("o").alias("last_o"))
+    return placing.scenes_at(views.view(spark, d, views.POINTS, "points"), bounds).select("point_id", "west", "north", "n_scenes", "first_o", "last_o", "x", "y")
+
+
 _LINES = "(SELECT max(y) + 1 AS h FROM obs)"
 
 

@@ -167,3 +167,19 @@ def test_grid_bbox_holds_all_scenes_of_both_origins(spark):
         east, south = max(x for x, _ in corners) + 6000, min(y for _, y in corners) - 4500
         assert (got[k].min_x, got[k].max_y) == (west, north)
         assert (got[k].max_x, got[k].min_y) == (west + 30 * math.ceil((east - west) / 30), north - 30 * math.ceil((north - south) / 30))
+
+
+def test_point_scene_bounds_counts_every_scene(spark):
+    from scorchmap.plans import views
+    from scorchmap.plans.queries import QUERIES, _scenes
+
+    d = "/root/testdata/sf0.001"
+    scenes = [(r.o, r.ul_x, r.ul_y) for r in _scenes(spark, d).collect()]
+    assert sum(o >= 200 for o, _, _ in scenes) > 0
+    want = {}
+    for p in views.view(spark, d, views.POINTS, "points").collect():
+        for o, x, y in scenes:
+            if x < p.px < x + 6000 and y - 4500 < p.py < y:
+                want.setdefault((p.point_id, x, y, int((p.px - x) / 30), int((p.py - y) / -30)), []).append(o)
+    got = {(r.point_id, r.west, r.north, r.x, r.y): (r.n_scenes, r.first_o, r.last_o) for r in QUERIES["point_scene_bounds"](spark, d).collect()}
+    assert got == {k: (len(o), min(o), max(o)) for k, o in want.items()}

@@ -6,6 +6,7 @@ Python object is made per word. Null texts count as empty ones.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,23 +26,23 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
-def _inverse(odd: int) -> int:
-    return pow(odd, -1, 1 << 64)
-
-
-_BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15 | 1, 0xD6E8FEB86659FD93 | 1
-_BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
+_WORD_BASE = 0xD6E8FEB86659FD93
 _powers: dict[int, np.ndarray] = {}
+_BLOCK_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Longer spans are hashed one by one.
+_LONG_SPAN = 256
 
 
 def _pow(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, base, dtype=np.uint64)
+        steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         steps[0] = 1
-        have = _powers[base] = np.cumprod(steps, dtype=np.uint64)
+        have = np.cumprod(steps, dtype=np.uint64)
+        if len(have) <= CHUNK_BYTES:  # else a worker would keep what one very long text needs
+            _powers[base] = have
     return have[:n]
 
 
@@ -101,24 +102,41 @@ def word_spans(buf: np.ndarray, at: np.ndarray, member: np.ndarray = PLAIN_WORD)
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, at)
 
 
-def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span; spans must be in order and must not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    inverse = _inverse(_BYTE_BASE)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, "right")))
-        low, high = starts[i], ends[j - 1]
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[buf[low:high]] * _pow(_BYTE_BASE, high - low), out=sums[1:], dtype=np.uint64)
-        s, e = starts[i:j] - low, ends[i:j] - low
-        out[i:j] = (sums[e] - sums[s]) * _pow(inverse, high - low)[s]
-        i = j
-    return mix(out)
+def hash_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte span; other seeds give independent hashes.
+
+    A span is read in blocks of eight bytes, each of which is mixed into all bits before the next one: there are no families of
+    spans that collide by how they are built, and spans of at most seven bytes never collide with each other.
+    """
+    size = ends - starts
+    blocks = np.zeros((len(buf) + 7) // 8 * 8 + 16, np.uint8)
+    blocks[: len(buf)] = buf
+    blocks = blocks.view("<u8")
+
+    def block(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        k, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        return (blocks[k] >> shift | blocks[k + 1] << (_U(63) - shift) << _U(1)) & _BLOCK_MASK[np.minimum(n, 8)]
+
+    own = _U(_SEEDS[seed])
+    out = block(starts, size)
+    short = size < 8
+    out[short] |= size[short].astype(np.uint64) << _U(56)
+    out = mix(out ^ own)
+    out[~short] = mix(out[~short] + size[~short].astype(np.uint64) * own)
+    left = np.flatnonzero((size > 8) & (size <= _LONG_SPAN))
+    done = 8
+    while len(left):
+        out[left] = mix((out[left] ^ block(starts[left] + done, size[left] - done)) + own)
+        done += 8
+        left = left[size[left] > done]
+    for k in np.flatnonzero(size > _LONG_SPAN).tolist():
+        digest = hashlib.blake2b(buf[starts[k] : ends[k]].tobytes(), digest_size=8, key=bytes([seed])).digest()
+        out[k] = int.from_bytes(digest, "little")
+    return out
 
 
 def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of each n consecutive values; entry i is for words[i:i+n]."""
+    """A 64-bit hash of each n consecutive values (n < 1024); entry i is for words[i:i+n]."""
     if len(words) < n:
         return np.zeros(0, np.uint64)
     size = len(words)
@@ -130,7 +148,7 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
         return mix(out)
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(words * _pow(_WORD_BASE, size), out=sums[1:], dtype=np.uint64)
-    return mix((sums[n:] - sums[:-n]) * _pow(_inverse(_WORD_BASE), size - n + 1))
+    return mix((sums[n:] - sums[:-n]) * _pow(pow(_WORD_BASE, -1, 1 << 64), size - n + 1))
 
 
 def gram_starts(first: np.ndarray, n: int) -> np.ndarray:

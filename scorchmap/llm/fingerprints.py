@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .encoding import as_batch
-from .ngram_join import Similarity, bucketed, link_sets, prefixes, with_components
-from .textops import by_bytes, gram_starts, hash_spans, mix, ngram_hashes, ranges, text_bytes, word_spans
+from .ngram_join import Similarity, gram_sets, link_sets, named_sets, prefixes, set_names, with_components
+from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, ranges, signed, text_bytes, word_spans
 
 SHINGLE, PERMUTATIONS = 5, 256
 _random = np.random.default_rng(97)
@@ -168,27 +168,27 @@ def edit_report(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> DataFrame:
-    """doc_id, component_id: documents whose signatures share a band are joined in Spark, and their shingle sets' Jaccard similarity is
-    verified once for each pair. Candidates are found with the probability that `bands` gives; what is found is exact.
+    """doc_id, n_shingles, component_id: documents whose signatures (of words with A-Z folded) share a band are joined in Spark, and
+    their shingle sets' Jaccard similarity is verified once for each pair. Candidates are found with the probability that `bands`
+    gives; what is found is exact.
     """
     how = Similarity(SHINGLE, percent)
-    rows, schema = PERMUTATIONS // bands, pa.schema([("id", pa.int64()), ("token", pa.list_(pa.int64()))])
+    rows, schema = PERMUTATIONS // bands, pa.schema([("id", pa.int64()), ("low", pa.int64()), ("token", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            sig = signatures(*text_bytes(batch.column(1))).astype(np.uint64)
+            buf, at = text_bytes(batch.column(1))
+            sig = signatures(lower_ascii(buf), at).astype(np.uint64)
             key = np.zeros((len(sig), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
             for k in range(rows):
                 key = mix(key + sig[:, k::rows][:, :bands] * np.uint64(0x9E3779B97F4A7C15))
-            yield as_batch({"id": batch.column(0), "token": list(key.view(np.int64))}, schema)
+            low = set_names(gram_sets(batch.column(1), SHINGLE))
+            yield as_batch({"id": batch.column(0), "low": signed(low), "token": list(key.view(np.int64))}, schema)
 
     docs = docs.select("doc_id", "text")
-    sets = materialize(prefixes(docs, how).drop("prefix"), "sets")
-    named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
-    ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
+    sets = materialize(prefixes(docs, how).drop("prefix").withColumn("row", F.monotonically_increasing_id()), "sets")
+    named, ones = named_sets(sets)
     # a band says nothing of places in a set: positions that every filter lets pass
-    keys = docs.mapInArrow(run, "id long, token array<long>").join(ones.select("id", F.col("n").cast("int").alias("n")), "id")
-    tokens = keys.select("id", "n", F.lit(bands).alias("size"), F.lit(0).alias("pos"), F.explode("token").alias("token"))
-    found = bucketed(tokens).withColumns({"before": F.lit(0), "heads": F.array().cast("array<long>")})
-    labels = link_sets(found, docs, ones.select("id", "bins"), how)
-    return with_components(sets, named, labels).select("doc_id", "component_id")
+    keys = docs.mapInArrow(run, "id long, low long, token array<long>").dropDuplicates(["id", "low"]).join(ones.select("id", "low", F.col("n").cast("int").alias("n")), ["id", "low"])
+    tokens = keys.select("id", "low", "n", F.lit(0).alias("pos"), F.explode("token").alias("token"))
+    return with_components(sets, named, link_sets(tokens, docs, ones, how)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

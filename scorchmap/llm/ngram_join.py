@@ -5,16 +5,27 @@ last, by their count; the others go by how rare their words are, then by hash) a
 enough Jaccard similarity share an n-gram in their prefixes. Sets are joined on prefix n-grams, and pairs go through
 
 * the length filter: sizes must be close enough,
-* the positional filter: what comes before and after a shared n-gram in both sets bounds their overlap,
-* the suffix filter: the n-grams are dealt into BINS hash ranges, and the sum of the lesser counts bounds the overlap,
+* the positional filter: what comes after a shared n-gram in both sets bounds their overlap,
+* the suffix filter: PARITY bits tell for hash ranges whether a set has an odd number of n-grams there; ranges where two sets differ
+  bound their overlap,
 
-before their whole sets are intersected, once for each pair. Only components are wanted, so a bucket of n sets is not
-turned into n * n pairs: in pivot rounds all members are held against one of them, linked sets share a label, and pairs
-within a label are never made. What is left over is enumerated in full. Equal sets count as one from the start, so groups of
-copies cost one set.
+before their whole sets are intersected, once for each pair. Equal sets count as one from the start, so groups of copies cost one
+set.
 
-Null and empty texts have an empty set and link with nothing. Rows with one doc_id are one document; repeated rows give
-repeated results. Further columns are ignored. An empty table gives no rows.
+A bucket (the sets that share a prefix n-gram) of more than DENSE sets is not turned into pairs. Such buckets become groups, those of
+the same sets one group. A group has a core, the n-grams that more than half of its sets have, and a set is seen as its residual:
+what it has more or less than the core. Two sets differ in their residuals less twice what the residuals share. So
+
+* sets whose residuals are small enough together are linked without a look: one edge to the set with the smallest residual, measured
+  against its size, for each such set,
+* all others must share residual n-grams, and the same rare-first prefix join runs on these, with the residuals compared at once.
+
+Its dense buckets become groups again. After LEVELS such rounds what is still dense is enumerated in full: sets that are alike in
+LEVELS ways and far from each other in others. So up to there a set is in at most DENSE pairs for each n-gram of its prefix.
+
+Null and empty texts have an empty set and link with nothing. A doc_id with several texts stands for all of them; equal rows give
+equal results. Rows with a null doc_id link with nothing and have no component. Further columns are ignored. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +43,10 @@ from ..storage import materialize, release
 from .encoding import as_batch
 from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
-BINS = 64
+#: Words of 64 bits of a set's parities; sets in a bucket that is turned into pairs; rounds by core and residual.
+PARITY, DENSE, LEVELS = 8, 32, 4
+#: Documents of which whole sets are needed are named in a broadcast up to this number, else by a join.
+MAX_NAMED = 1 << 18
 #: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
 MAX_FREQUENT, MAX_WORDS = 1 << 18, 1 << 16
 #: An n-gram is counted as frequent if it is in so many documents of a chunk of so many n-grams.
@@ -40,7 +54,7 @@ _CHUNK_GRAMS, _CHUNK_DOCS = 1 << 22, 4
 #: A word is counted if it is so often in a chunk; how rare it is, is kept in sixteenths of a bit.
 _CHUNK_WORDS, _RAREST = 32, 20 * 16
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("bins", pa.list_(pa.int32())), ("prefix", pa.list_(pa.int64()))])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("parity", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))])
 
 
 @dataclass(frozen=True)
@@ -57,6 +71,9 @@ class Similarity:
         """The least intersection of two linked sets, from columns of their sizes."""
         return F.ceil(self.percent * (F.col(a) + F.col(b)) / (100 + self.percent) - 1e-9)
 
+    def alike_in_size(self, a: str, b: str):
+        return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
+
 
 @dataclass
 class Frequencies:
@@ -136,148 +153,196 @@ def frequencies(docs: DataFrame, grams: int) -> Frequencies:
     return Frequencies(found[0], found[1], found[2], rareness)
 
 
+def set_names(sets: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit name of each set."""
+    return np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of 64 * PARITY hash ranges, a bit for an odd number of n-grams of the set."""
+    n = np.bincount((s >> np.uint64(64 - (64 * PARITY).bit_length() + 1)).astype(np.int64), minlength=64 * PARITY)
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
-    """doc_id, n (set size), low and high (128 bits that name the set), bins, prefix."""
+    """doc_id, n (set size), low and high (128 bits that name the set), parity, prefix."""
     sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs, how.grams))  # at most MAX_FREQUENT and MAX_WORDS entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            sets, low, high, bins, prefix = [], [], [], [], []
+            sets, low, high, parity, prefix = [], [], [], [], []
             for s, place in gram_sets(batch.column(1), how.grams, frequencies=sent.value):
                 m = mix(s)
                 sets.append(s)
                 low.append(m.sum(dtype=np.uint64))
                 high.append(mix(m + np.uint64(1)).sum(dtype=np.uint64))
-                bins.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS).astype(np.int32))
+                parity.append(parities(s))
                 prefix.append(signed(s[np.argsort(place, kind="stable")[: how.prefix(len(s))]] if len(s) else s))
-            yield as_batch({"doc_id": batch.column(0), "n": np.array([len(s) for s in sets]), "low": signed(np.array(low, np.uint64)), "high": signed(np.array(high, np.uint64)), "bins": bins, "prefix": prefix}, _SETS)
+            yield as_batch({"doc_id": batch.column(0), "n": np.array([len(s) for s in sets]), "low": signed(np.array(low, np.uint64)), "high": signed(np.array(high, np.uint64)), "parity": parity, "prefix": prefix}, _SETS)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, bins array<int>, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, parity array<long>, prefix array<long>")
 
 
-def whole_sets(docs: DataFrame, grams: int) -> DataFrame:
-    schema = pa.schema([("id", pa.int64()), ("grams", pa.list_(pa.int64()))])
+def whole_sets(docs: DataFrame, ids: DataFrame, grams: int) -> DataFrame:
+    """id, low (names the set among those of the id), grams of the documents in ids(id)."""
+    schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            yield as_batch({"id": batch.column(0), "grams": [signed(s) for s in gram_sets(batch.column(1), grams)]}, schema)
+            sets = gram_sets(batch.column(1), grams)
+            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "grams": [signed(s) for s in sets]}, schema)
+
+    few = ids.limit(MAX_NAMED + 1).count() <= MAX_NAMED
+    some = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
+    return some.mapInArrow(run, "id long, low long, grams array<long>")
+
+
+#: A pair is made at the first of its shared n-grams, as far as the first HEADS that a set shares with any other tell.
+HEADS = 4
+
+
+def bucketed(tokens: DataFrame, how: Similarity) -> DataFrame:
+    """id, n, low and found: (pos, token, c) of the n-grams of a set's prefix that c > 1 sets have, in order.
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, grams array<long>")
+    tokens: id, n, low, pos, token.
+    """
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1")
+    # a set that is too far from the shortest one of its bucket is too far from all
+    rows = tokens.join(shared, "token").where(F.col("n") - F.col("pos") >= how.overlap("n", "least"))
+    return rows.groupBy("id", "n", "low").agg(F.sort_array(F.collect_list(F.struct("pos", "token", F.col("c").cast("int").alias("c")))).alias("found"))  # bounded by the set
 
 
-def _fit(how: Similarity):
-    """Length and positional filter for sides a and b that share an n-gram."""
-    bound = F.least("a_before", "b_before") + 1 + F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos")) - 1
-    return (bound >= how.overlap("a_n", "b_n")) & (100 * F.least("a_n", "b_n") >= how.percent * F.greatest("a_n", "b_n"))
+def _heads(found: str = "found"):
+    return F.transform(F.slice(found, 1, HEADS), lambda x: x["token"])
 
 
-def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("token", *(F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "pos", "before", "heads", "label")))
+def _side(rows: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    return rows.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in rows.columns if c not in keys))
 
 
 def _not_sooner():
-    """A pair that shares several n-grams is made at the first of them, as far as the first HEADS of each set tell."""
     heads = [F.slice(F.col(f"{p}_heads"), 1, F.least(F.col(f"{p}_before"), F.size(f"{p}_heads"))) for p in "ab"]
     return ~F.coalesce(F.arrays_overlap(*heads), F.lit(False))
 
 
-class _Links:
-    """Verified pairs so far."""
-
-    def __init__(self, bins: DataFrame, how: Similarity):
-        self.bins, self.how = bins, how
-        self.sets: DataFrame | None = None
-        self.seen: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        """pairs: a_id, b_id, a_n, b_n, repeats allowed -> a, b, sizes: each new pair that the suffix filter lets pass."""
-        pairs = pairs.select(F.greatest("a_id", "b_id").alias("a"), F.least("a_id", "b_id").alias("b"), (F.col("a_n") + F.col("b_n")).alias("sizes")).distinct()
-        if self.seen is not None:
-            pairs = pairs.join(self.seen, ["a", "b"], "left_anti")
-        for side in "ab":
-            pairs = pairs.join(self.bins.select(F.col("id").alias(side), F.col("bins").alias(f"{side}_bins")), side)
-        suffix = F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda t, x: t + x)
-        need = F.ceil(self.how.percent * F.col("sizes") / (100 + self.how.percent) - 1e-9)
-        pairs = materialize(pairs.where(suffix >= need).select("a", "b", "sizes"), "pairs")
-        self.seen = pairs.select("a", "b") if self.seen is None else self.seen.unionByName(pairs.select("a", "b"))
-        return pairs
-
-    def verify(self, pairs: DataFrame) -> None:
-        for side in "ab":
-            pairs = pairs.join(self.sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
-        common = F.size(F.array_intersect("a_grams", "b_grams"))
-        new = materialize(pairs.where(100 * common >= self.how.percent * (F.col("sizes") - common)).select("a", "b"), "links")
-        self.links = new if self.links is None else self.links.unionByName(new)
-
-
-#: All buckets first go through pivot rounds: while more pairs than so many for each row would be left to enumerate and a round halves
-#: them, and so many rounds at most.
-_PAIRS_A_ROW, _ROUNDS = 8, 6
-HEADS = 4
+def _same_bucket(rows: DataFrame, keys: list[str], condition) -> DataFrame:
+    """a_id > b_id of pairs of rows with equal keys, repeats allowed."""
+    return _side(rows, "a", keys).join(_side(rows, "b", keys), keys).where((F.col("a_id") > F.col("b_id")) & condition & _not_sooner())
+
+
+def first_pairs(found: DataFrame, how: Similarity) -> DataFrame:
+    """a, b: likely pairs from buckets of at most DENSE sets. found: see bucketed(), and parity."""
+    rows = found.select("id", "n", "parity", _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
+    rows = rows.where(F.col("x.c") <= DENSE).select("id", "n", "parity", "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
+    rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
+    apart = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    near = (100 + how.percent) * apart <= (100 - how.percent) * (F.col("a_n") + F.col("b_n"))
+    pairs = _same_bucket(rows, ["token"], how.alike_in_size("a_n", "b_n") & (rest >= how.overlap("a_n", "b_n")) & near)
+    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+
+def _groups(found: DataFrame, keys: list[str]) -> DataFrame:
+    """group, id, low (a written table): buckets of more than DENSE sets, those of the same sets as one. found: keys, id, low, found."""
+    dense = found.withColumn("found", F.filter("found", lambda x: x["c"] > DENSE)).where(F.size("found") > 0)
+    # a set's largest bucket leads it; a bucket goes to where most of its sets are led
+    lead = F.array_max(F.transform("found", lambda x: F.struct(x["c"].alias("c"), x["token"].alias("token"))))["token"]
+    rows = materialize(dense.select(*keys, "id", "low", lead.alias("lead"), F.explode(F.transform("found", lambda x: x["token"])).alias("token")), "dense")
+    to = rows.groupBy(*keys, "token", "lead").agg(F.count("*").alias("c")).groupBy(*keys, "token").agg(F.max_by("lead", F.struct("c", "lead")).alias("to"))
+    out = materialize(rows.join(to, [*keys, "token"]).select(F.xxhash64(*keys, "to").alias("group"), "id", "low").distinct(), "groups")
+    release(rows)
+    return out
 
 
-def bucketed(tokens: DataFrame) -> DataFrame:
-    """Rows of sets in buckets of at least two. tokens: id, n, size (of the prefix), pos, token.
+def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) within groups, and the groups of what is still dense (None: nothing).
 
-    Adds least (the bucket's shortest set), before (shared n-grams of the set that come sooner), heads (its first HEADS ones) and
-    weight (the shared part of its prefix).
+    groups: group, id, low; sets: see whole_sets(). With A = 100 + percent, B = 100 - percent and the margin A * |residual| - B * n of
+    each set, two sets link where the sum of their margins is at most 2 * A times the number of n-grams that their residuals share.
     """
-    shared = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1").drop("c")
-    rows = tokens.join(materialize(shared, "shared"), "token")
-    every = Window.partitionBy("id")
-    line = every.orderBy("pos", "token")
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = [F.nth_value("token", k + 1).over(whole) for k in range(HEADS)]
-    return rows.withColumns({"before": F.row_number().over(line) - 1, "heads": F.array_compact(F.array(*first)), "weight": F.count("*").over(every) / F.col("size")}).drop("size")
-
-
-def link_sets(rows: DataFrame, docs: DataFrame, bins: DataFrame, how: Similarity) -> DataFrame:
-    """rows: see bucketed(); docs: the texts of their ids. Returns (id, component), see connected_components."""
-    links = _Links(bins, how)
-    # a set that is too far from the shortest one of its bucket is too far from all
-    now = materialize(rows.where(F.col("before") + F.col("n") - F.col("pos") >= how.overlap("n", "least")).drop("least").withColumn("label", F.col("id")), "buckets")
-    some = now.select(F.col("id").alias("doc_id")).distinct()
-    links.sets = materialize(whole_sets(docs.join(some, "doc_id", "left_semi"), how.grams), "whole")
-    before, table = None, now
-    for turn in range(_ROUNDS + 1):
-        if turn:
-            now = now.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-        # labels only merge: a bucket with one label needs no more pairs
-        mixed = now.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("token")
-        old, now = table, materialize(now.join(mixed, "token"), "buckets")
+    more, less = 100 + how.percent, 100 - how.percent
+    members = materialize(groups.join(sets, ["id", "low"]), "members")
+    sizes = members.groupBy("group").agg(F.count("*").alias("size"))
+    grams = members.select("group", F.explode("grams").alias("token")).groupBy("group", "token").agg(F.count("*").alias("c")).where("c > 1")
+    # a group's core is at most twice as long as its sets on average
+    cores = materialize(grams.join(sizes, "group").where("2 * c > size").groupBy("group").agg(F.collect_list("token").alias("core")), "cores")
+    core = F.coalesce("core", F.array().cast("array<long>"))
+    residual = F.array_union(F.array_except("grams", core), F.array_except(core, "grams"))
+    rows = members.join(cores, "group", "left").select("group", "id", "low", F.size("grams").alias("n"), residual.alias("residual"))
+    residuals = materialize(rows.withColumn("margin", more * F.size("residual") - less * F.col("n")), "residuals")
+    hubs = residuals.groupBy("group").agg(F.min(F.struct("margin", "id")).alias("hub"))
+    rows = residuals.join(hubs, "group").withColumn("near", F.col("margin") + F.col("hub.margin") <= 0)
+    links = rows.where(F.col("near") & (F.col("id") != F.col("hub.id"))).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
+    # at least so many residual n-grams are shared with any partner that is not near too, by the least margin and by what a partner can have
+    most = less * F.ceil(100 * F.col("n") / how.percent)
+    need = F.greatest(F.lit(1), F.ceil((F.col("margin") + F.col("hub.margin")) / (2 * more) - 1e-9), F.ceil((F.col("margin") - most) / more - 1e-9))
+    tokens = rows.where(F.size("residual") >= need).select("group", "id", "low", "margin", "near", (F.size("residual") - need + 1).alias("length"), F.explode("residual").alias("token"))
+    often = tokens.groupBy("group", "token").agg(F.count("*").alias("c"))
+    line = Window.partitionBy("group", "id", "low").orderBy("c", "token")
+    placed = tokens.join(often, ["group", "token"]).withColumn("pos", F.row_number().over(line) - 1).where((F.col("pos") < F.col("length")) & (F.col("c") > 1)).drop("length")
+    placed = materialize(placed.select("group", "id", "low", "margin", "near", "pos", "token"), "placed")
+    shared = placed.groupBy("group", "token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
+    found = placed.join(shared, ["group", "token"]).groupBy("group", "id", "low", "margin", "near").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "c"))).alias("found"))
+    found = materialize(found, "found")
+    held = found.join(rows.select("group", "id", "low", "residual"), ["group", "id", "low"]).select("group", "id", "margin", "near", "residual", _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
+    held = held.where(F.lit(True) if last else F.col("x.c") <= DENSE).select("group", "id", "margin", "near", "residual", "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
+    both = F.col("a_margin") + F.col("b_margin")
+    rest = F.least(F.size("a_residual") - F.col("a_pos"), F.size("b_residual") - F.col("b_pos"))
+    alike = ~(F.col("a_near") & F.col("b_near")) & (both <= 2 * more * rest) & (both <= 2 * more * F.size(F.array_intersect("a_residual", "b_residual")))
+    pairs = _same_bucket(held, ["group", "token"], alike).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    links = materialize(links.unionByName(pairs).distinct(), "links")
+    onward = None if last else _groups(found, ["group"])
+    release(members, cores, residuals, placed, found)
+    return links, onward
+
+
+def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity) -> DataFrame:
+    """Links (a, b) of sets. tokens: see bucketed(); docs: the texts of their ids; ones: id, low, parity."""
+    found = materialize(bucketed(tokens, how), "buckets")
+    pairs = materialize(first_pairs(found.join(ones.select("id", "low", "parity"), ["id", "low"]), how), "pairs")
+    groups = _groups(found, [])
+    ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(groups.select("id")).distinct(), "ids")
+    sets = materialize(whole_sets(docs, ids, how.grams), "whole")
+    if sets.count() != sets.select("id", "low").distinct().count():  # repeated rows
+        sets = materialize(sets.dropDuplicates(["id", "low"]), "whole")
+    verified = pairs
+    for side in "ab":
+        verified = verified.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
+    common = F.size(F.array_intersect("a_grams", "b_grams"))
+    links = materialize(verified.where(100 * common >= how.percent * (F.size("a_grams") + F.size("b_grams") - common)).select("a", "b"), "links")
+    release(found, pairs, ids)
+    level = 0
+    while groups is not None and not groups.isEmpty():
+        level += 1
+        old = groups
+        new, groups = _residual_round(old, sets, how, level == LEVELS)
         release(old)
-        table = now
-        each = now.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"), F.sum("c").alias("c"))
-        left, size = each.agg(F.sum(F.col("p").cast("double")) / 2, F.sum("c")).first()
-        if not left:
-            break
-        last = turn and (turn == _ROUNDS or left <= _PAIRS_A_ROW * size or left > before / 2)
-        before = left
-        if last:
-            other = _side(now, "b")
-        else:
-            order = F.struct("weight", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", F.lit(turn)), "id")
-            other = _side(now.groupBy("token").agg(F.max_by(F.struct("id", "n", "pos", "before", "heads", "label"), order).alias("p")).select("token", "p.*"), "b")
-        pairs = _side(now, "a").join(other, "token").where((F.col("a_label") != F.col("b_label")) & _fit(how) & _not_sooner())
-        links.verify(links.likely(pairs.where("a_id < b_id") if last else pairs))
-        labels = connected_components(links.links)
-        if last:
-            break
-    return labels if links.links is not None else now.select("id", F.col("id").alias("component")).limit(0)
+        links = links.unionByName(new)
+    release(sets)
+    return links
+
+
+def named_sets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a written table of prefixes() with unique numbers in row: id, the least doc_id with a set, for each set; and one of the rows of each set."""
+    some = sets.where("n > 0 and doc_id is not null").groupBy("low", "high", "n").agg(F.min(F.struct("doc_id", "row")).alias("x"))
+    named = materialize(some.select("low", "high", "n", F.col("x.doc_id").alias("id"), "x.row"), "named")
+    return named.drop("row"), sets.join(named.select("row"), "row", "left_semi").withColumnRenamed("doc_id", "id")
 
 
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links) for each row of docs(doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    sets = materialize(prefixes(docs, how), "sets")
-    named = materialize(sets.where("n > 0").groupBy("low", "high", "n").agg(F.min("doc_id").alias("id")), "named")
-    ones = sets.join(named.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
-    tokens = ones.select("id", F.col("n").cast("int").alias("n"), F.size("prefix").alias("size"), F.posexplode("prefix").alias("pos", "token"))
-    labels = link_sets(bucketed(tokens), docs, ones.select("id", "bins"), how)
-    return with_components(sets, named, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-
-
-def with_components(sets: DataFrame, named: DataFrame, labels: DataFrame) -> DataFrame:
-    out = sets.select("doc_id", "n", "low", "high").join(named, ["low", "high", "n"], "left").join(labels, "id", "left")
-    return out.select("doc_id", "n", F.coalesce("component", "id", "doc_id").alias("component_id"))
+    sets = materialize(prefixes(docs, how).withColumn("row", F.monotonically_increasing_id()), "sets")
+    named, ones = named_sets(sets)
+    tokens = ones.select("id", "low", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    links = link_sets(tokens, docs, ones, how)
+    return with_components(sets, named, links).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def with_components(sets: DataFrame, named: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, n, component_id of each row of sets. links: of ids in named."""
+    key = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
+    rows = materialize(sets.select("doc_id", "n", "low", "high").join(named, ["low", "high", "n"], "left").select("doc_id", "n", key.alias("id")), "named-rows")
+    several = rows.groupBy("doc_id").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x != y").select("doc_id")
+    same = rows.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    labels = connected_components(links.unionByName(same))
+    return rows.join(labels, "id", "left").select("doc_id", "n", F.coalesce("component", "id").alias("component_id"))

@@ -194,13 +194,6 @@ def test_ngram_join(docs, empty, how):
     assert {k: (got[k].n_shingles, got[k].component_id) for k in sets} == {k: (len(sets[k]), want[k]) for k in sets}
 
 
-def test_ngram_join_pivot_rounds(docs, monkeypatch):
-    monkeypatch.setattr(ngram_join, "_PAIRS_A_ROW", 0)
-    monkeypatch.setattr(ngram_join, "_ROUNDS", 2)
-    want = brute_components({k: grams(t, 4) for k, t in DOCS}, 85)
-    assert {r.doc_id: r.component_id for r in ngram_join.similarity_components(docs).collect()} == want
-
-
 def test_ngram_join_of_nothing(empty):
     assert ngram_join.similarity_components(empty).count() == 0
 

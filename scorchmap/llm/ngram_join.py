@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ..operators.components import connected_components
 from ..storage import materialize, release
 from .encoding import as_batch
-from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
+from .textops import by_bytes, give_back, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
 #: Words of 64 bits of a set's parities; sets in a bucket that is turned into pairs; rounds by core and residual.
 PARITY, DENSE, LEVELS = 8, 32, 4
@@ -50,7 +50,7 @@ MAX_NAMED = 1 << 18
 #: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
 MAX_FREQUENT, MAX_WORDS = 1 << 18, 1 << 16
 #: An n-gram is counted as frequent if it is in so many documents of a chunk of so many n-grams.
-_CHUNK_GRAMS, _CHUNK_DOCS = 1 << 22, 4
+_CHUNK_GRAMS, _CHUNK_DOCS = 1 << 21, 3
 #: A word is counted if it is so often in a chunk; how rare it is, is kept in sixteenths of a bit.
 _CHUNK_WORDS, _RAREST = 32, 20 * 16
 
@@ -140,6 +140,8 @@ def frequencies(docs: DataFrame, grams: int) -> Frequencies:
         if held:
             yield count(held, False, _CHUNK_DOCS)
             yield count(words, True, _CHUNK_WORDS)
+        del held, words
+        give_back()
 
     rows = materialize(docs.select("text").mapInArrow(run, "word boolean, hash long, n long").groupBy("word", "hash").agg(F.sum("n").alias("n")), "frequent")
     found = []
@@ -184,17 +186,17 @@ def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, grams: int) -> DataFrame:
-    """id, low (names the set among those of the id), grams of the documents in ids(id)."""
-    schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("grams", pa.list_(pa.int64()))])
+    """id, low (names the set among those of the id), parity, grams of the documents in ids(id)."""
+    schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("parity", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             sets = gram_sets(batch.column(1), grams)
-            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "grams": [signed(s) for s in sets]}, schema)
+            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "grams": [signed(s) for s in sets]}, schema)
 
     few = ids.limit(MAX_NAMED + 1).count() <= MAX_NAMED
     some = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
-    return some.mapInArrow(run, "id long, low long, grams array<long>")
+    return some.mapInArrow(run, "id long, low long, parity array<long>, grams array<long>")
 
 
 #: A pair is made at the first of its shared n-grams, as far as the first HEADS that a set shares with any other tell.
@@ -230,14 +232,18 @@ def _same_bucket(rows: DataFrame, keys: list[str], condition) -> DataFrame:
     return _side(rows, "a", keys).join(_side(rows, "b", keys), keys).where((F.col("a_id") > F.col("b_id")) & condition & _not_sooner())
 
 
+def _by_parity(how: Similarity):
+    """The suffix filter: two linked sets differ in few n-grams, and so in few parities."""
+    apart = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    return (100 + how.percent) * apart <= (100 - how.percent) * (F.col("a_n") + F.col("b_n"))
+
+
 def first_pairs(found: DataFrame, how: Similarity) -> DataFrame:
     """a, b: likely pairs from buckets of at most DENSE sets. found: see bucketed(), and parity."""
     rows = found.select("id", "n", "parity", _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
     rows = rows.where(F.col("x.c") <= DENSE).select("id", "n", "parity", "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
     rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
-    apart = F.aggregate(F.zip_with("a_parity", "b_parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    near = (100 + how.percent) * apart <= (100 - how.percent) * (F.col("a_n") + F.col("b_n"))
-    pairs = _same_bucket(rows, ["token"], how.alike_in_size("a_n", "b_n") & (rest >= how.overlap("a_n", "b_n")) & near)
+    pairs = _same_bucket(rows, ["token"], how.alike_in_size("a_n", "b_n") & (rest >= how.overlap("a_n", "b_n")) & _by_parity(how))
     return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
@@ -253,8 +259,12 @@ def _groups(found: DataFrame, keys: list[str]) -> DataFrame:
     return out
 
 
-def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b) within groups, and the groups of what is still dense (None: nothing).
+#: Residuals of at most so many n-grams are compared in the join itself, others by parity and later as whole sets.
+SHORT = 64
+
+
+def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: bool) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Links (a, b) within groups, likely pairs (a, b), and the groups of what is still dense (None: nothing).
 
     groups: group, id, low; sets: see whole_sets(). With A = 100 + percent, B = 100 - percent and the margin A * |residual| - B * n of
     each set, two sets link where the sum of their margins is at most 2 * A times the number of n-grams that their residuals share.
@@ -267,8 +277,8 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     cores = materialize(grams.join(sizes, "group").where("2 * c > size").groupBy("group").agg(F.collect_list("token").alias("core")), "cores")
     core = F.coalesce("core", F.array().cast("array<long>"))
     residual = F.array_union(F.array_except("grams", core), F.array_except(core, "grams"))
-    rows = members.join(cores, "group", "left").select("group", "id", "low", F.size("grams").alias("n"), residual.alias("residual"))
-    residuals = materialize(rows.withColumn("margin", more * F.size("residual") - less * F.col("n")), "residuals")
+    rows = members.join(cores, "group", "left").select("group", "id", "low", "parity", F.size("grams").cast("long").alias("n"), residual.alias("residual"))
+    residuals = materialize(rows.withColumn("margin", more * F.size("residual").cast("long") - less * F.col("n")), "residuals")
     hubs = residuals.groupBy("group").agg(F.min(F.struct("margin", "id")).alias("hub"))
     rows = residuals.join(hubs, "group").withColumn("near", F.col("margin") + F.col("hub.margin") <= 0)
     links = rows.where(F.col("near") & (F.col("id") != F.col("hub.id"))).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
@@ -283,16 +293,18 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     shared = placed.groupBy("group", "token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
     found = placed.join(shared, ["group", "token"]).groupBy("group", "id", "low", "margin", "near").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "c"))).alias("found"))
     found = materialize(found, "found")
-    held = found.join(rows.select("group", "id", "low", "residual"), ["group", "id", "low"]).select("group", "id", "margin", "near", "residual", _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
-    held = held.where(F.lit(True) if last else F.col("x.c") <= DENSE).select("group", "id", "margin", "near", "residual", "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
+    own = rows.select("group", "id", "low", "n", "parity", F.size("residual").cast("long").alias("size"), F.when(F.size("residual") <= SHORT, F.col("residual")).alias("short"))
+    held = found.join(own, ["group", "id", "low"]).drop("low").withColumn("heads", _heads()).select("*", F.posexplode("found").alias("before", "x")).drop("found")
+    held = held.where(F.lit(True) if last else F.col("x.c") <= DENSE).withColumns({"pos": F.col("x.pos"), "token": F.col("x.token")}).drop("x")
     both = F.col("a_margin") + F.col("b_margin")
-    rest = F.least(F.size("a_residual") - F.col("a_pos"), F.size("b_residual") - F.col("b_pos"))
-    alike = ~(F.col("a_near") & F.col("b_near")) & (both <= 2 * more * rest) & (both <= 2 * more * F.size(F.array_intersect("a_residual", "b_residual")))
-    pairs = _same_bucket(held, ["group", "token"], alike).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
-    links = materialize(links.unionByName(pairs).distinct(), "links")
+    rest = F.least(F.col("a_size") - F.col("a_pos"), F.col("b_size") - F.col("b_pos"))
+    alike = F.when(F.col("a_short").isNotNull() & F.col("b_short").isNotNull(), both <= 2 * more * F.size(F.array_intersect("a_short", "b_short"))).otherwise(_by_parity(how))
+    fit = ~(F.col("a_near") & F.col("b_near")) & how.alike_in_size("a_n", "b_n") & (both <= 2 * more * rest) & alike
+    pairs = materialize(_same_bucket(held, ["group", "token"], fit).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "pairs")
+    links = materialize(links.distinct(), "links")
     onward = None if last else _groups(found, ["group"])
     release(members, cores, residuals, placed, found)
-    return links, onward
+    return links, pairs, onward
 
 
 def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity) -> DataFrame:
@@ -304,21 +316,23 @@ def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similari
     sets = materialize(whole_sets(docs, ids, how.grams), "whole")
     if sets.count() != sets.select("id", "low").distinct().count():  # repeated rows
         sets = materialize(sets.dropDuplicates(["id", "low"]), "whole")
-    verified = pairs
-    for side in "ab":
-        verified = verified.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
-    common = F.size(F.array_intersect("a_grams", "b_grams"))
-    links = materialize(verified.where(100 * common >= how.percent * (F.size("a_grams") + F.size("b_grams") - common)).select("a", "b"), "links")
-    release(found, pairs, ids)
-    level = 0
-    while groups is not None and not groups.isEmpty():
+    links, level, written = None, 0, [found, pairs, ids, sets]
+    while not groups.isEmpty():
         level += 1
-        old = groups
-        new, groups = _residual_round(old, sets, how, level == LEVELS)
-        release(old)
-        links = links.unionByName(new)
-    release(sets)
-    return links
+        new, likely, onward = _residual_round(groups, sets, how, level == LEVELS)
+        links = new if links is None else links.unionByName(new)
+        pairs = pairs.unionByName(likely)
+        written += [groups, likely]
+        if onward is None:
+            break
+        groups = onward
+    pairs = pairs.distinct()
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
+    common = F.size(F.array_intersect("a_grams", "b_grams")).cast("long")
+    verified = materialize(pairs.where(100 * common >= how.percent * (F.size("a_grams") + F.size("b_grams") - common)).select("a", "b"), "links")
+    release(*written)
+    return verified if links is None else verified.unionByName(links)
 
 
 def named_sets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -333,7 +347,7 @@ def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> Da
     docs = docs.select("doc_id", "text")
     sets = materialize(prefixes(docs, how).withColumn("row", F.monotonically_increasing_id()), "sets")
     named, ones = named_sets(sets)
-    tokens = ones.select("id", "low", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    tokens = ones.select("id", "low", "n", F.posexplode("prefix").alias("pos", "token"))
     links = link_sets(tokens, docs, ones, how)
     return with_components(sets, named, links).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 

@@ -2,8 +2,9 @@
 
 A sequence has three limits at once: tokens, segments (pieces) and loss-bearing tokens. Pieces are placed by the
 dot-product heuristic: into the open sequence goes the waiting piece that fits and whose demand vector has the largest dot
-product with what remains of the limits. When none fits, the best one is cut to size. What is left of a block at last is
-laid out in sequences whose lengths are powers of two, which need no padding.
+product with what remains of the limits. Pieces of equal demands are one kind, of which several go in at once, so that the time
+follows the kinds and sequences, not the number of short documents. When none fits, the best one is cut to size. What is left
+of a block at last is laid out in sequences whose lengths are powers of two, which need no padding.
 
 Each task packs its own partition, block by block, so nothing is shuffled and memory is bounded by a block and the longest
 document. Sequence ids hold the partition in their upper bits; a rerun of a partition gives the same pieces. Null text
@@ -44,6 +45,35 @@ def _longest(start: int, loss_from: int, tokens: int, loss: int) -> int:
     return min(tokens, max(loss_from - start, 0) + loss)
 
 
+class _Waiting:
+    """Pieces that wait, by kind: those of equal size and loss-bearing tokens, which come last in a piece, are alike for every limit."""
+
+    def __init__(self, doc: np.ndarray, at: np.ndarray, size: np.ndarray, loss: np.ndarray):
+        order = np.lexsort((-doc, loss, size))
+        kinds, first, self.count = np.unique(np.stack([size[order], loss[order]], 1), axis=0, return_index=True, return_counts=True)
+        self.size, self.loss = kinds.T.copy() if len(kinds) else (np.zeros(0, np.int64),) * 2
+        places = list(zip(doc[order].tolist(), at[order].tolist(), strict=True))
+        self.pieces = [places[a : a + n] for a, n in zip(first.tolist(), self.count.tolist(), strict=True)]
+        self.kind = {k: i for i, k in enumerate(zip(self.size.tolist(), self.loss.tolist(), strict=True))}
+        self.left = len(doc)
+
+    def take(self, k: int, n: int) -> list[tuple[int, int]]:
+        out = self.pieces[k][-n:][::-1]
+        del self.pieces[k][-n:]
+        self.count[k] -= n
+        self.left -= n
+        return out
+
+    def put(self, place: tuple[int, int], size: int, loss: int) -> None:
+        k = self.kind.setdefault((size, loss), len(self.pieces))
+        if k == len(self.pieces):
+            self.size, self.loss, self.count = np.append(self.size, size), np.append(self.loss, loss), np.append(self.count, 0)
+            self.pieces.append([])
+        self.pieces[k].append(place)
+        self.count[k] += 1
+        self.left += 1
+
+
 def pack_block(lengths: np.ndarray, loss_from: np.ndarray, limits: Limits) -> list[list[tuple[int, int, int]]]:
     """Sequences of (document, start, length); lengths must be positive. Each token of each document is in one piece."""
     done: list[list[tuple[int, int, int]]] = []
@@ -57,38 +87,33 @@ def pack_block(lengths: np.ndarray, loss_from: np.ndarray, limits: Limits) -> li
             at += n
         start[d] = at
     doc = np.flatnonzero(lengths - start > 0)
-    order = doc[np.argsort(-(lengths - start)[doc], kind="stable")]
-    doc, at = order, start[order]
-    size, mark = lengths[order] - at, loss_from[order]
-    loss = loss_in(at, size, mark)
-    alive = np.ones(len(doc), bool)
-    waiting, step = len(doc), 0
-    while waiting:
+    size = (lengths - start)[doc]
+    waiting = _Waiting(doc, start[doc], size, loss_in(start[doc], size, loss_from[doc]))
+    while waiting.left:
         tokens, segments, lossy, bin_ = limits.tokens, limits.segments, limits.loss_tokens, []
-        while waiting and tokens and segments:
-            step += 1
-            if step % 256 == 0 and waiting < len(doc):
-                doc, at, size, mark, loss, alive = (x[alive] for x in (doc, at, size, mark, loss, alive))
-            value = size * (tokens / limits.tokens**2) + segments / limits.segments**2 + loss * (lossy / limits.loss_tokens**2)
-            fits = alive & (size <= tokens) & (loss <= lossy)
+        while waiting.left and tokens and segments:
+            value = waiting.size * (tokens / limits.tokens**2) + segments / limits.segments**2 + waiting.loss * (lossy / limits.loss_tokens**2)
+            here = waiting.count > 0
+            fits = here & (waiting.size <= tokens) & (waiting.loss <= lossy)
             if fits.any():
                 k = int(np.argmax(np.where(fits, value, -1.0)))
-                n = int(size[k])
-            else:
-                k = int(np.argmax(np.where(alive, value, -1.0)))
-                n = min(int(size[k]), _longest(int(at[k]), int(mark[k]), tokens, lossy))
-                if n <= 0:
-                    break
-            bin_.append((int(doc[k]), int(at[k]), n))
-            got = int(loss_in(at[k], n, mark[k]))
-            tokens, segments, lossy = tokens - n, segments - 1, lossy - got
-            if n == size[k]:
-                alive[k] = False
-                waiting -= 1
-            else:
-                at[k] += n
-                size[k] -= n
-                loss[k] -= got
+                n, loss = int(waiting.size[k]), int(waiting.loss[k])
+                # of equal pieces, half of what fits goes in before the products are taken again
+                most = min(int(waiting.count[k]), segments, tokens // n, lossy // loss if loss else segments)
+                pieces = waiting.take(k, max(1, most // 2))
+                bin_ += [(d, at, n) for d, at in pieces]
+                tokens, segments, lossy = tokens - n * len(pieces), segments - len(pieces), lossy - loss * len(pieces)
+                continue
+            k = int(np.argmax(np.where(here, value, -1.0)))
+            n, loss = int(waiting.size[k]), int(waiting.loss[k])
+            cut = min(n, tokens, n - loss + lossy)
+            if cut <= 0:
+                break
+            got = max(0, cut - (n - loss))
+            (d, at), *_ = waiting.take(k, 1)
+            bin_.append((d, at, cut))
+            tokens, segments, lossy = tokens - cut, segments - 1, lossy - got
+            waiting.put((d, at + cut), n - cut, loss - got)
         if tokens:
             rests.append(bin_)
         else:

@@ -54,9 +54,8 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    uri = new_path(spark, "token-files")
-    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), uri, _vocabulary("word_bpe_49k.json"), end_id=2, files=files)
+    uri, docs = new_path(spark, "token-files"), _table(spark, sf_dir, "documents")
+    manifest = token_files.write_token_files(docs, uri, _vocabulary("word_bpe_49k.json"), end_id=2, files=token_files.file_count(docs))
     read = token_files.read_token_files(spark, uri, manifest)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -5,8 +5,9 @@ allows it, else 32-bit, little-endian), ``part-N.offsets`` (64-bit: each documen
 ``part-N.docs`` (64-bit doc_ids). A file appears under its name only when it is whole, so a task that is run again replaces
 it with the same bytes. The number of ids before each file comes from prefix sums over one small row for each file.
 
-Null text counts as empty (just the end id). Rows that share a doc_id are ordered by text; a null doc_id is kept as the least
-64-bit integer and comes first. An empty table gives no files. Further columns are ignored.
+The number of files follows the bytes of text. Null text counts as empty (just the end id). Rows that share a doc_id are ordered
+by a hash of their text and may go to several files; a null doc_id is kept as the least 64-bit integer and comes first. An empty
+table gives no files. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +54,15 @@ class _Writer:
             self.fs.move(part, name)
 
 
+FILE_BYTES = 64 << 20
+
+
+def file_count(docs: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Files of about so many bytes of text, and one for each core at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // file_bytes))
+
+
 def write_token_files(docs: DataFrame, uri: str, vocabulary: str, end_id: int, files: int, unit: str = "drop", dtype: str = "<u2") -> list[tuple[int, int, int, int]]:
     """Writes the files and returns the manifest: (file_no, n_docs, n_tokens, ids before it), one entry for each file."""
 
@@ -70,39 +80,50 @@ def write_token_files(docs: DataFrame, uri: str, vocabulary: str, end_id: int, f
             out.close()
             yield as_batch({"file_no": [number], "n_docs": [n_docs], "n_tokens": [n_tokens]}, _FILES)
 
-    ordered = docs.select("doc_id", "text").repartitionByRange(files, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("mark").asc()]
+    ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).repartitionByRange(files, *order).sortWithinPartitions(*order, F.col("text").asc_nulls_first()).drop("mark")
     rows = sorted(tuple(r) for r in ordered.mapInArrow(run, "file_no long, n_docs long, n_tokens long").collect())
     return [(*r, base) for r, base in zip(rows, accumulate((n for _, _, n in rows), initial=0), strict=False)]
 
 
-def _array(uri: str, name: str, dtype: str) -> np.ndarray:
-    """A file's numbers, memory-mapped where the store is a mounted one."""
-    store, folder = _place(uri)
-    path = f"{folder}/{name}"
-    if isinstance(store, fs.LocalFileSystem):
-        with open(path, "rb") as f:
-            empty = not f.seek(0, 2)
-        return np.zeros(0, dtype) if empty else np.memmap(path, dtype, "r")
-    with store.open_input_file(path) as f:
-        return np.frombuffer(f.read_buffer(), dtype)
+class _Numbers:
+    """A file's numbers: memory-mapped where the store is a mounted one, else read range by range."""
+
+    def __init__(self, uri: str, name: str, dtype: str):
+        store, folder = _place(uri)
+        self.dtype, path = np.dtype(dtype), f"{folder}/{name}"
+        self.size = store.get_file_info(path).size // self.dtype.itemsize
+        self.whole = np.memmap(path, dtype, "r") if self.size and _mounted(store) else None
+        self.file = None if self.whole is not None else store.open_input_file(path)
+
+    def between(self, a: int, b: int) -> np.ndarray:
+        if self.whole is not None:
+            return self.whole[a:b]
+        b = min(b, self.size)
+        return np.frombuffer(self.file.read_at((b - a) * self.dtype.itemsize, a * self.dtype.itemsize), self.dtype)
+
+
+def _mounted(store: fs.FileSystem) -> bool:
+    return isinstance(store, fs.LocalFileSystem)
 
 
-def read_token_files(spark: SparkSession, uri: str, manifest: list[tuple[int, int, int, int]], dtype: str = "<u2", block_tokens: int = 1 << 20) -> DataFrame:
+def read_token_files(spark: SparkSession, uri: str, manifest: list[tuple[int, int, int, int]], dtype: str = "<u2", block_tokens: int = 1 << 20, block_docs: int = 1 << 16) -> DataFrame:
     """One row for each document: doc_id, start (ids of all documents before it), n_tokens, ids (little-endian unsigned 32-bit)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, offsets, docs = (_array(uri, f"part-{number:06d}.{kind}", t) for kind, t in (("ids", dtype), ("offsets", "<u8"), ("docs", "<i8")))
-                at = offsets.astype(np.int64)
-                i = 0
-                while i < len(docs):
-                    j = max(i + 1, int(np.searchsorted(at, at[i] + block_tokens, "right")) - 1)
-                    flat = ids[at[i] : at[j]].astype("<u4")
-                    cut = (at[i : j + 1] - at[i]).tolist()
-                    key = docs[i:j]
-                    yield as_batch({"doc_id": pa.array(key, mask=key == _NO_ID), "start": base + at[i:j], "n_tokens": np.diff(at[i : j + 1]), "ids": [flat[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]}, _OUT)
-                    i = j
+                ids, offsets, docs = (_Numbers(uri, f"part-{number:06d}.{kind}", t) for kind, t in (("ids", dtype), ("offsets", "<u8"), ("docs", "<i8")))
+                for low in range(0, docs.size, block_docs):
+                    keys, at = docs.between(low, low + block_docs), offsets.between(low, low + block_docs + 1).astype(np.int64)
+                    i = 0
+                    while i < len(keys):
+                        j = max(i + 1, int(np.searchsorted(at, at[i] + block_tokens, "right")) - 1)
+                        flat = ids.between(at[i], at[j]).astype("<u4")
+                        cut = (at[i : j + 1] - at[i]).tolist()
+                        key = keys[i:j]
+                        yield as_batch({"doc_id": pa.array(key, mask=key == _NO_ID), "start": base + at[i:j], "n_tokens": np.diff(at[i : j + 1]), "ids": [flat[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)]}, _OUT)
+                        i = j
 
     rows = spark.createDataFrame([(number, base) for number, _, _, base in manifest], "file_no long, base long")
     return rows.repartition(max(1, len(manifest)), "file_no").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")

@@ -7,13 +7,15 @@ window are hit. Stretches without two neighbouring words that also are neighbour
 
 Items travel as broadcasts of at most MAX_ITEM_BYTES of text; larger sets are dealt over several automata, and documents
 pass through one after the other with their marks written in between. Null texts and items have no words; equal item ids
-count once; repeated rows are judged each on its own; empty tables give no rows or no hits.
+count once; an item without an id hits words like any other, but is not among a document's items. Repeated rows are judged
+each on its own; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..storage import materialize
 from .encoding import as_batch
-from .textops import ALNUM_WORD, by_bytes, gram_starts, hash_spans, lower_ascii, ngram_hashes, text_bytes, word_spans
+from .textops import ALNUM_WORD, by_bytes, gram_starts, hash_spans, lower_ascii, ngram_hashes, resident, text_bytes, word_spans
 
 MAX_ITEM_BYTES = 32 << 20
 
@@ -156,17 +158,6 @@ def _shards(items: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     return [rows] if n == 1 else [rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-_indices: dict[str, Index] = {}
-
-
-def _index(key: str, broadcast, window: int) -> Index:
-    """The worker's automaton for a broadcast; the last one is kept between tasks."""
-    if key not in _indices:
-        _indices.clear()
-        _indices[key] = Index(broadcast.value, window)
-    return _indices[key]
-
-
 def _marked(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_text: str, text: str) -> DataFrame:
     """docs with columns 0, 1, .. renamed to c0, c1, .., and hits (a byte for each word), longest, items."""
     plain = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))
@@ -179,7 +170,7 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_t
         sent = sc.broadcast([(r.id, r.text) for r in shard.collect()])  # at most MAX_ITEM_BYTES, see _shards
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, key=key, turn=turn) -> Iterator[pa.RecordBatch]:
-            index = _index(key, sent, window)
+            index = resident("items", key, lambda: Index(sent.value, window))
             for batch in by_bytes(batches, f"c{k_text}"):
                 words, first, *_ = _words(batch.column(k_text))
                 hit, reach, found = index.scan(words, first)
@@ -190,7 +181,7 @@ def _marked(docs: DataFrame, items: DataFrame, window: int, item_id: str, item_t
                     longest = np.maximum(longest, batch.column(len(batch.columns) - 2).to_numpy())
                     found = [a | set(b) for a, b in zip(found, batch.column(len(batch.columns) - 1).to_pylist(), strict=True)]
                 cut = first.tolist()
-                own = [pa.array([hit[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()), pa.array(longest), pa.array([sorted(s) for s in found], pa.list_(pa.string()))]
+                own = [pa.array([hit[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()), pa.array(longest), pa.array([sorted(s - {None}) for s in found], pa.list_(pa.string()))]
                 kept = [batch.column(i) for i in range(batch.num_columns - 3 * bool(turn))]
                 yield pa.RecordBatch.from_arrays(kept + own, [f.name for f in schema])
 
@@ -218,7 +209,8 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 13, cove
 
 
 def _over(n_hit: np.ndarray, n_words: np.ndarray, coverage: float) -> np.ndarray:
-    return (n_hit > 0) & (n_hit * round(1 / coverage) >= n_words)
+    share = Fraction(str(coverage))
+    return (n_hit > 0) & (n_hit * share.denominator >= n_words * share.numerator)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, coverage: float = 0.05, span: int | None = None, item_id: str = "item_id", item_text: str = "text", text: str = "text") -> DataFrame:

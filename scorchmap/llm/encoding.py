@@ -21,10 +21,10 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from .textops import PLAIN_WORD, hash_spans, lower_ascii, ranges, word_spans
+from .textops import PLAIN_WORD, hash_spans, lower_ascii, ranges, resident, word_spans
 
-#: Most units that a worker remembers; beyond this it starts afresh.
-MAX_UNITS = 1_000_000
+#: Most bytes for units that a worker remembers; beyond this it starts afresh.
+UNIT_BYTES = 12 << 20
 _ENCODE_AT_ONCE = 4096
 
 _LETTER = np.zeros(256, bool)
@@ -78,6 +78,11 @@ def units(buf: np.ndarray, at: np.ndarray, kind: str) -> tuple[np.ndarray, np.nd
     return starts, np.append(starts[1:], len(buf)) if len(starts) else starts, np.searchsorted(starts, at)
 
 
+def _texts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    data = buf.tobytes()
+    return [data[s:e].decode() for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
 class UnitEncoder:
     """Encodes with the tokenizers library; special strings inside texts are handled as is its default."""
 
@@ -93,14 +98,14 @@ class UnitEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
+        self.keys, self.seconds = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        """keys: sorted and new."""
+    def _learn(self, keys: np.ndarray, seconds: np.ndarray, texts: list[str]) -> None:
+        """keys: sorted and new; seconds: a second hash of each."""
         each: list[list[int]] = [[]] * len(keys)
         rest = []
         for k, text in enumerate(texts):
@@ -114,14 +119,11 @@ class UnitEncoder:
                 each[k] = e.ids
         lengths = np.fromiter(map(len, each), np.int32, len(each))
         new = np.fromiter((x for ids in each for x in ids), np.uint32, int(lengths.sum()))
-        while self.used + len(new) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used : self.used + len(new)] = new
+        begin = self._append(new)
         place = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, place, keys)
-        self.starts = np.insert(self.starts, place, self.used + np.cumsum(lengths, dtype=np.int64) - lengths)
+        self.keys, self.seconds = np.insert(self.keys, place, keys), np.insert(self.seconds, place, seconds)
+        self.starts = np.insert(self.starts, place, begin + np.cumsum(lengths, dtype=np.int64) - lengths)
         self.lengths = np.insert(self.lengths, place, lengths)
-        self.used += len(new)
 
     def _one(self, letters: str) -> list[int]:
         if self.kind == "drop":
@@ -134,26 +136,43 @@ class UnitEncoder:
         return buf, *units(buf, at, self.kind)
 
     def _look_up(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys, one, back = np.unique(hash_spans(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > MAX_UNITS:
+        """Where ids holds those of each unit: starts, lengths. Units are told apart by 128 bits.
+
+        Units with one first hash and different second ones are encoded each on its own and not remembered.
+        """
+        hashes, checks = hash_spans(buf, starts, ends), hash_spans(buf, starts, ends, seed=1)
+        keys, one, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) * 28 + self.used * 4 > UNIT_BYTES:
             self._forget()
         place = np.searchsorted(self.keys, keys)
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == keys[known]
         if not known.all():
             new = one[~known]
-            data = buf.tobytes()
-            self._learn(keys[~known], [data[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist(), strict=True)])
+            self._learn(keys[~known], checks[new], _texts(buf, starts[new], ends[new]))
             place = np.searchsorted(self.keys, keys)
-        return place, back
+        place = place[back]
+        at, lengths = self.starts[place], self.lengths[place].astype(np.int64)
+        for k in np.flatnonzero(self.seconds[place] != checks).tolist():
+            ids = self.tokenizer.encode(*_texts(buf, starts[[k]], ends[[k]]), add_special_tokens=False).ids
+            at[k], lengths[k] = self._append(np.array(ids, np.uint32)), len(ids)
+        return at, lengths
+
+    def _append(self, ids: np.ndarray) -> int:
+        """Where the ids begin."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
 
     def counts(self, buf: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Tokens of each document."""
         buf, starts, ends, first = self._units(buf, at)
         if not len(starts):
             return np.zeros(len(at) - 1, np.int64)
-        place, back = self._look_up(buf, starts, ends)
-        total = np.concatenate([[0], np.cumsum(self.lengths[place][back], dtype=np.int64)])
+        _, lengths = self._look_up(buf, starts, ends)
+        total = np.concatenate([[0], np.cumsum(lengths)])
         return total[first[1:]] - total[first[:-1]]
 
     def encode(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,21 +180,17 @@ class UnitEncoder:
         buf, starts, ends, first = self._units(buf, at)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
-        place, back = self._look_up(buf, starts, ends)
-        lengths = self.lengths[place][back].astype(np.int64)
+        at, lengths = self._look_up(buf, starts, ends)
         total = np.concatenate([[0], np.cumsum(lengths)])
-        return self.ids[ranges(self.starts[place][back], lengths)], total[first]
+        return self.ids[ranges(at, lengths)], total[first]
 
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
-_encoders: dict[tuple[str, str], UnitEncoder] = {}
 
 
 def encoder(path: str, kind: str) -> UnitEncoder:
     """The worker's encoder for a vocabulary file; it outlives tasks."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = UnitEncoder(path, kind)
-    return _encoders[path, kind]
+    return resident("encoder", (path, kind), lambda: UnitEncoder(path, kind))
 
 
 def append_id(ids: np.ndarray, first: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,8 +6,10 @@ Python object is made per word. Null texts count as empty ones.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,8 +76,27 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, at - at[0]
 
 
+_resident: dict[str, tuple[object, object]] = {}
+
+
+def resident(kind: str, key: object, make: Callable[[], object]) -> object:
+    """What a worker keeps between tasks: the last thing made, one of any kind."""
+    if _resident.get(kind, (None,))[0] != key:
+        _resident.clear()
+        _resident[kind] = (key, make())
+    return _resident[kind][1]
+
+
+def give_back() -> None:
+    """Returns free memory of this process to the system; workers live as long as their executor, whatever stage they serve."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts record batches so that each holds about limit bytes of text, or one document that is longer."""
+    """Cuts record batches so that each holds about limit bytes of text, or one document that is longer. Memory is given back at both ends."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -85,6 +106,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int =
             j = max(i + 1, int(np.searchsorted(at, at[i] + limit, "right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+    give_back()
 
 
 def word_spans(buf: np.ndarray, at: np.ndarray, member: np.ndarray = PLAIN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

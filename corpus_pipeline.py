@@ -6,16 +6,17 @@
 4. decontamination: documents of which at least a twentieth of the words is in benchmark windows go.
 5. packing: one row for each piece of a training sequence.
 
-Rows with a null doc_id pass stages 2 and 3 as they are; repeated rows of one doc_id are one document in stage 2.
+Rows with a null doc_id pass stages 2 and 3 as they are. Rows of one doc_id are one document in stage 2: that with the least text
+stays. Empty tables give no rows; further columns, whatever their names, are kept up to packing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scorchmap.llm import decontaminate, ngram_join, packing, substring_dedup, toxicity
-from scorchmap.storage import new_path
+from scorchmap.storage import materialize, new_path, remove
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +26,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.similarity_components(docs.where("doc_id is not null"), ngram_join.Similarity(grams=5, percent=80))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = materialize(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    if not kept.where("rows > 1").isEmpty():
+        line = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*docs.columns))
+        out = out.withColumn("row among rows", F.row_number().over(line)).where("`row among rows` = 1").select(docs.columns)
+    return out.unionByName(docs.where("doc_id is null"))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = new_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)  # only the last stage's input has to stay
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

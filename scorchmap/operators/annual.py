@@ -48,9 +48,10 @@ def product_catalog(spark: SparkSession, start: int, end: int) -> DataFrame:
 
 
 def grid_bbox(extent: DataFrame) -> DataFrame:
-    """Least and greatest map coordinates, latitude and longitude over the corners of all edge pixels of each grid.
+    """Least and greatest map coordinates, latitude and longitude over the corners of all edge pixels of each grid, and the centres of
+    its first and last pixel (ul_x, ul_y, ul_lat, ul_lon, lr_x, ..).
 
-    extent: path, row, west, north, dx, dy (positive), ncol, nrow, utm_zone.
+    extent: path, row, west, north, dx, dy (positive), ncol, nrow, utm_zone; one row for each path and row.
     """
     g = [F.col("west"), F.col("dx"), F.lit(0.0), F.col("north"), F.lit(0.0), -F.col("dy")]
     zero = F.lit(0)
@@ -66,4 +67,12 @@ def grid_bbox(extent: DataFrame) -> DataFrame:
     lat, lon = utm_to_degrees(F.col("mx"), F.col("my"), F.col("utm_zone"))
     edge = edge.withColumns({"lat": lat, "lon": lon})
     names = {"mx": "x", "my": "y", "lat": "lat", "lon": "lon"}
-    return edge.groupBy("path", "row").agg(*(f(c).alias(f"{s}_{n}") for c, n in names.items() for s, f in (("min", F.min), ("max", F.max))))
+    box = edge.groupBy("path", "row").agg(*(f(c).alias(f"{s}_{n}") for c, n in names.items() for s, f in (("min", F.min), ("max", F.max))))
+    half = F.lit(0.5)
+    for name, px, py in (("ul", half, half), ("lr", F.col("ncol") - half, F.col("nrow") - half)):
+        x, y = pixel_to_map(px, py, g)
+        extent = extent.withColumns({f"{name}_x": x, f"{name}_y": y})
+        lat, lon = utm_to_degrees(F.col(f"{name}_x"), F.col(f"{name}_y"), F.col("utm_zone"))
+        extent = extent.withColumns({f"{name}_lat": lat, f"{name}_lon": lon})
+    corners = extent.select("path", "row", *(f"{name}_{c}" for name in ("ul", "lr") for c in ("x", "y", "lat", "lon")))
+    return box.join(corners, ["path", "row"])

@@ -23,8 +23,16 @@ def align(looks: DataFrame, grids: DataFrame, common: DataFrame) -> DataFrame:
 def scenes_at(points: DataFrame, scenes: DataFrame, cell: float = 6000.0) -> DataFrame:
     """Pairs of points (point_id, px, py) and the scenes whose bounds strictly hold them, with the pixel there.
 
-    Both sides are dealt by square cells of map space, a scene into all that it covers, so that the range join is an equi-join.
+    Scenes of equal bounds, as most of a stack are, meet the points as one. Bounds and points are dealt by square cells of map space,
+    bounds into all that they cover, so that the range join is an equi-join; scenes join those bounds that hold a point.
     """
+    bounds = ["west", "north", "east", "south", "dx", "dy"]
+    found = points_in(points, scenes.select(*bounds).distinct(), cell)
+    return found.join(scenes, bounds)
+
+
+def points_in(points: DataFrame, scenes: DataFrame, cell: float = 6000.0) -> DataFrame:
+    """The same for bounds that are few for each place."""
     spot = points.withColumns({"_cx": F.floor(F.col("px") / cell), "_cy": F.floor(F.col("py") / cell)})
     cover = scenes.select("*", F.explode(F.sequence(F.floor(F.col("west") / cell), F.floor(F.col("east") / cell))).alias("_cx"))
     cover = cover.select("*", F.explode(F.sequence(F.floor(F.col("south") / cell), F.floor(F.col("north") / cell))).alias("_cy"))

@@ -12,14 +12,15 @@ from ..settings import FIRST_MISSION_YEAR, ScreenOptions
 def list_scenes(files: DataFrame, file: str = "file") -> DataFrame:
     """Metadata files (*.xml, not *.aux.xml) with their place in name order, which is the order of the stack.
 
-    Ranks come from counts by name prefix and a window within each, so that no task sorts all names.
+    Names count without their folders; files of one name in several folders follow each other by path. Ranks come from counts by
+    name prefix and a window within each, so that no task sorts all names.
     """
     rows = files.where(F.col(file).endswith(".xml") & ~F.col(file).endswith(".aux.xml"))
-    group = F.substring_index(file, "/", -1).substr(1, 9)
-    rows = rows.withColumn("_group", group)
+    name = F.substring_index(file, "/", -1)
+    rows = rows.withColumn("_group", name.substr(1, 9))
     sizes = rows.groupBy("_group").agg(F.count("*").alias("_n"))  # a row for each sensor, path and row
     ahead = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy(file)) + F.col("_before")
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy(name, file)) + F.col("_before")
     return rows.join(F.broadcast(ahead) if _small(ahead) else ahead, "_group").withColumn("position", rank.cast("long")).drop("_group", "_n", "_before")
 
 
@@ -61,6 +62,33 @@ def year_window(scenes: DataFrame, start: int | None = None, end: int | None = N
     return start, end
 
 
+def stack_years(scenes: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
+    """path, row, first, last: the years to process of each stack, by default from the year after its first one to its last.
+
+    A stack of one year has none by default (first is after last), which is no error.
+    """
+    if start is not None and end is not None and end < start:
+        raise ValueError(f"the end {end} is before the start {start}")
+    span = scenes.groupBy("path", "row").agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    early = span.agg(F.min("first"), F.min("last")).first()
+    if early[0] is None:
+        raise ValueError("no scenes")
+    begins, ends = early[0] + 1 if start is None else start, early[1] if end is None else end
+    if begins < FIRST_MISSION_YEAR or ends < FIRST_MISSION_YEAR:
+        raise ValueError(f"years begin with {FIRST_MISSION_YEAR}: {begins}, {ends}")
+    first, last = F.col("first") + 1 if start is None else F.lit(start), F.col("last") if end is None else F.lit(end)
+    return span.select("path", "row", first.cast("int").alias("first"), last.cast("int").alias("last"))
+
+
+def within_years(rows: DataFrame, years: tuple[int, int] | DataFrame, column: str = "year", ahead: int = 0) -> DataFrame:
+    """Rows in these years, or in those of their stack (see stack_years()); ahead: so many years before the first one count too."""
+    if isinstance(years, tuple):
+        return rows.where(F.col(column).between(years[0] - ahead, years[1]))
+    span = years.select("path", "row", (F.col("first") - ahead).alias("_first"), F.col("last").alias("_last"))
+    joined = rows.join(F.broadcast(span) if _small(span) else span, ["path", "row"])
+    return joined.where(F.col(column).between(F.col("_first"), F.col("_last"))).drop("_first", "_last")
+
+
 def scorable(scenes: DataFrame) -> DataFrame:
     """Scenes after the first year of their stack (path, row): those with a year before them."""
     first = scenes.groupBy("path", "row").agg(F.min("year").alias("_first"))
@@ -87,9 +115,14 @@ def max_extent(scenes: DataFrame) -> DataFrame:
 
 
 def model_table(defaults: DataFrame, exceptions: DataFrame) -> DataFrame:
-    """key, model from two tables of (key, model): the last definition wins."""
-    both = defaults.withColumn("_ord", F.lit(0)).unionByName(exceptions.withColumn("_ord", F.lit(1)))
-    last = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("_ord")))
+    """key, model from two tables of (key, model): the last definition wins.
+
+    Exceptions come after defaults; within a table the greatest value of a column `position` is last, if the table has one, then the
+    greatest name.
+    """
+    tables = [t.select("key", "model", (F.col("position") if "position" in t.columns else F.lit(0)).cast("long").alias("_position"), F.lit(k).alias("_ord")) for k, t in enumerate((defaults, exceptions))]
+    both = tables[0].unionByName(tables[1])
+    last = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("_ord"), F.desc("_position"), F.desc("model")))
     return both.withColumn("_last", last).where("_last = 1").select("key", "model")
 
 

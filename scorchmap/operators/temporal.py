@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.indices import stored_index
 from ..functions.scenes import season, season_year
 from ..settings import FILL, INDICES, MEASURES, PIXEL, SEASONS, pixel_keys
+from .screening import within_years
 
 
 def with_indices(obs: DataFrame) -> DataFrame:
@@ -15,14 +16,16 @@ def with_indices(obs: DataFrame) -> DataFrame:
     return obs.withColumns({name: stored_index(name) for name in INDICES})
 
 
-def seasonal_means(looks: DataFrame, years: tuple[int, int]) -> DataFrame:
+def seasonal_means(looks: DataFrame, years: tuple[int, int] | DataFrame) -> DataFrame:
     """Good looks (at most 255) and means of the eight measures over them, for pixels, season-years and seasons with any look.
 
-    Means are rounded, and fill without a good look. Season-years outside the years given are not produced. One aggregation.
+    Means are rounded, and fill without a good look. Season-years outside the years given, or those of the stack (screening.stack_years())
+    and the one before, are not produced. One aggregation.
     """
     good = F.col("qa") >= 0
     keys = pixel_keys(looks.columns)
-    rows = looks.select(*keys, season_year().alias("season_year"), season().alias("season"), "qa", *MEASURES).where(F.col("season_year").between(*years))
+    rows = looks.select(*keys, season_year().alias("season_year"), season().alias("season"), "qa", *MEASURES)
+    rows = within_years(rows, years, "season_year", 0 if isinstance(years, tuple) else 1)
     means = [F.coalesce(F.round(F.avg(F.when(good, F.col(m).cast("double")))), F.lit(float(FILL))).cast("short").alias(m) for m in MEASURES]
     return rows.groupBy(*keys, "season_year", "season").agg(F.least(F.count_if(good), F.lit(255)).cast("int").alias("good_looks"), *means)
 

@@ -13,9 +13,9 @@ from ..functions.quality import product_code
 from ..operators.annual import annual_burn
 from ..operators.features import features, previous_year
 from ..operators.regions import burn_class, grown_runs
-from ..operators.screening import year_window
+from ..operators.screening import catalogue, lookup_models, screen, stack_years, within_years
 from ..operators.temporal import annual_max, seasonal_means, seasonal_wide, with_indices
-from ..settings import INDICES, RegionOptions
+from ..settings import INDICES, RegionOptions, ScreenOptions
 from ..storage import materialize
 
 
@@ -39,26 +39,57 @@ def kept_in_place(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, old)
 
 
-def featured_looks(looks: DataFrame, years: tuple[int, int] | None = None, tile_side: int | None = None) -> DataFrame:
-    """Looks after the first year with their 50 features. looks: obs columns and qa. tile_side: deals them by tile first."""
-    first, last = year_window(looks) if years is None else years
+def featured_looks(looks: DataFrame, years: DataFrame | None = None, tile_side: int | None = None) -> DataFrame:
+    """Looks after the first year of their stack with their 50 features. looks: obs columns and qa, read several times.
+
+    years: of each stack, see screening.stack_years(). tile_side: deals looks by tile first.
+    """
+    years = materialize(stack_years(looks) if years is None else years, "years")
     stored = with_indices(looks if tile_side is None else co_locate(looks, tile_side))
-    wide = seasonal_wide(seasonal_means(stored, (first - 1, last)))
-    own = stored.drop(*INDICES).where(F.col("year").between(first, last))
+    wide = seasonal_wide(seasonal_means(stored, years))
+    own = within_years(stored.drop(*INDICES), years)
     return features(previous_year(own, wide, annual_max(stored)))
 
 
-def burned_pipeline(looks: DataFrame, probability: Column | Callable[[DataFrame], DataFrame], options: RegionOptions = RegionOptions(), scene: str = "scene_id", tile_side: int = 256) -> DataFrame:
-    """Yearly burn products of looks (obs columns and qa).
+def burned_pipeline(looks: DataFrame, probability: Column | Callable[[DataFrame], DataFrame], options: RegionOptions = RegionOptions(), scene: str = "scene_id", tile_side: int = 256, years: DataFrame | None = None) -> DataFrame:
+    """Yearly burn products of looks (obs columns and qa) of any number of stacks.
 
     probability: a column of the featured looks between 0 and 1, or a function that adds burn_prob to them. scene: the column by
-    which regions are formed.
+    which regions are formed, within each stack.
     """
-    featured = featured_looks(looks, tile_side=tile_side)
+    featured = featured_looks(looks, years, tile_side)
     scored = probability(featured) if callable(probability) else featured.withColumn("burn_prob", product_code(probability))
     keep = ["scene_id", *([scene] if scene != "scene_id" else []), "path", "row", "year", "julian", "y", "x", "burn_prob"]
     with kept_in_place(looks.sparkSession):
         burn = materialize(scored.select(*keep), "burn")
-    one = burn.withColumn("scene", F.col(scene))
+    one = burn.withColumn("scene", F.struct("path", "row", F.col(scene).alias("scene")))
     classed = burn_class(one, grown_runs(one.select("scene", "y", "x", "burn_prob"), options))
     return annual_burn(classed)
+
+
+def job(
+    scenes: DataFrame,
+    looks: DataFrame,
+    models: DataFrame,
+    probabilities: dict[str, Column],
+    screening: ScreenOptions = ScreenOptions(),
+    options: RegionOptions = RegionOptions(),
+    start: int | None = None,
+    end: int | None = None,
+    scene: str = "scene_id",
+    tile_side: int = 256,
+) -> DataFrame:
+    """From the list of scenes (scene_id, path, row, acq_date, data_type, rmse, cloud_cover) and their looks to yearly burn products.
+
+    The years of each stack come from all its scenes, before any is screened out; those of its first year only serve the next one.
+    A stack without a model is an error, and so is a model that is not in probabilities.
+    """
+    dated = catalogue(scenes)
+    years = stack_years(dated, start, end)
+    kept = screen(dated, screening).where("exclude_reason is null")
+    known = lookup_models(kept, models, required=True).select("scene_id", "path", "row", "model").distinct()
+    if known.where(~F.col("model").isin(*probabilities)).limit(1).count():
+        raise ValueError("a model has no probability")
+    own = materialize(looks.join(known, ["scene_id", "path", "row"]), "looks")
+    each = F.coalesce(*(F.when(F.col("model") == name, p) for name, p in probabilities.items()))
+    return burned_pipeline(own, each, options, scene, tile_side, years)

@@ -53,6 +53,10 @@ def _years(looks: DataFrame) -> tuple[int, int]:
     return tuple(looks.agg(F.min("year"), F.max("year")).first())
 
 
+def _featured(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.featured_looks(materialize(_looks(spark, d), "looks"))
+
+
 def _burn_prob(spark: SparkSession, d: str) -> DataFrame:
     code = F.when(F.col("qa") == FILL, FILL).when(F.col("qa") < 0, -9998).otherwise(F.col("raw_prob"))
     scene = (F.col("year") * 10 + F.floor((F.col("month") - 1) / 6)).cast("int").alias("scene")
@@ -218,18 +222,29 @@ def align_grid(spark: SparkSession, d: str) -> DataFrame:
     return placing.align(_obs(spark, d), grids, common).select("scene_id", "y", "x", "b4")
 
 
-@registered(f"WITH {views.POINTS}, {views.SCENES} SELECT point_id, o, CAST(trunc((px - ul_x) / 30.0) AS INT) AS x, CAST(trunc((py - ul_y) / -30.0) AS INT) AS y FROM points JOIN scenes ON px > ul_x AND px < ul_x + 6000.0 AND py < ul_y AND py > ul_y - 4500.0 WHERE o < 200")
+def _scene_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """The different bounds of all scenes, with the number, the sum and the least and greatest id of the scenes that have them."""
+    s = _scenes(spark, d).select("o", F.col("ul_x").alias("west"), F.col("ul_y").alias("north"), (F.col("ul_x") + F.col("ncol") * F.col("dx")).alias("east"), (F.col("ul_y") - F.col("nrow") * F.col("dy")).alias("south"), "dx", "dy")
+    return s.groupBy("west", "north", "east", "south", "dx", "dy").agg(F.count("*").alias("n_scenes"), F.sum("o").alias("sum_o"), F.min("o").alias("first_o"), F.max("o").alias("last_o"))
+
+
+_BOUNDS = f"""WITH {views.POINTS}, {views.SCENES}, bounds AS (SELECT ul_x, ul_y, count(*) AS n_scenes, CAST(sum(o) AS BIGINT) AS sum_o, min(o) AS first_o, max(o) AS last_o FROM scenes GROUP BY ul_x, ul_y),
+found AS (SELECT *, CAST(trunc((px - ul_x) / 30.0) AS INT) AS x, CAST(trunc((py - ul_y) / -30.0) AS INT) AS y FROM points JOIN bounds ON px > ul_x AND px < ul_x + 6000.0 AND py < ul_y AND py > ul_y - 4500.0)"""
+
+
+@registered(_BOUNDS + "SELECT point_id, CAST(sum(n_scenes) AS BIGINT) AS n_scenes, CAST(sum(sum_o) AS BIGINT) AS sum_o, min(first_o) AS first_o, max(last_o) AS last_o, CAST(sum(n_scenes * x) AS BIGINT) AS sum_x, CAST(sum(n_scenes * y) AS BIGINT) AS sum_y FROM found GROUP BY point_id")
 def point_scenes(spark: SparkSession, d: str) -> DataFrame:
-    s = _scenes(spark, d).where("o < 200").select("o", F.col("ul_x").alias("west"), F.col("ul_y").alias("north"), (F.col("ul_x") + F.col("ncol") * F.col("dx")).alias("east"), (F.col("ul_y") - F.col("nrow") * F.col("dy")).alias("south"), "dx", "dy")
-    return placing.scenes_at(views.view(spark, d, views.POINTS, "points"), s).select("point_id", "o", "x", "y")
+    """All pairs of a point and a scene that holds it, as one row for each point: how many, and sums of scene ids, columns and lines."""
+    found = placing.points_in(views.view(spark, d, views.POINTS, "points"), _scene_bounds(spark, d))
+    sums = [F.sum(F.col("n_scenes") * F.col(c)).alias(f"sum_{c}") for c in ("x", "y")]
+    return found.groupBy("point_id").agg(F.sum("n_scenes").alias("n_scenes"), F.sum("sum_o").alias("sum_o"), F.min("first_o").alias("first_o"), F.max("last_o").alias("last_o"), *sums)
 
 
-@registered()
+@registered(_BOUNDS + "SELECT point_id, ul_x AS west, ul_y AS north, n_scenes, first_o, last_o, x, y FROM found")
 def point_scene_bounds(spark: SparkSession, d: str) -> DataFrame:
     """All scenes at each point, by their bounds: how many there are, the least and the greatest id, and the pixel."""
-    s = _scenes(spark, d).select("o", F.col("ul_x").alias("west"), F.col("ul_y").alias("north"), (F.col("ul_x") + F.col("ncol") * F.col("dx")).alias("east"), (F.col("ul_y") - F.col("nrow") * F.col("dy")).alias("south"), "dx", "dy")
-    bounds = s.groupBy("west", "north", "east", "south", "dx", "dy").agg(F.count("*").alias("n_scenes"), F.min("o").alias("first_o"), F.max("o").alias("last_o"))
-    return placing.scenes_at(views.view(spark, d, views.POINTS, "points"), bounds).select("point_id", "west", "north", "n_scenes", "first_o", "last_o", "x", "y")
+    found = placing.points_in(views.view(spark, d, views.POINTS, "points"), _scene_bounds(spark, d))
+    return found.select("point_id", "west", "north", "n_scenes", "first_o", "last_o", "x", "y")
 
 
 _LINES = "(SELECT max(y) + 1 AS h FROM obs)"
@@ -256,12 +271,12 @@ _SY = "CAST(year + CASE WHEN month = 12 THEN 1 ELSE 0 END AS INT)"
 _SEASONAL = (
     views.LOOKS
     + f""",
-years AS (SELECT min(year) AS y0, max(year) AS y1 FROM looks),
+years AS (SELECT path, row, min(year) AS y0, max(year) AS y1 FROM obs GROUP BY path, row),
 seasonal AS (
   SELECT {_PIX}, {_SY} AS season_year, {_SEASON.format(m='month')} AS season,
          CAST(least(count(CASE WHEN qa >= 0 THEN 1 END), 255) AS INT) AS good_looks, """
     + ", ".join(f"CAST(coalesce(round(avg(CASE WHEN qa >= 0 THEN CAST({m} AS DOUBLE) END)), -9999.0) AS SMALLINT) AS {m}" for m in MEASURES)
-    + f" FROM looks CROSS JOIN years WHERE {_SY} BETWEEN y0 AND y1 GROUP BY 1, 2, 3, 4, 5, 6),\nannual AS (SELECT {_PIX}, year, "
+    + f" FROM looks JOIN years USING (path, row) WHERE {_SY} BETWEEN y0 AND y1 GROUP BY 1, 2, 3, 4, 5, 6),\nannual AS (SELECT {_PIX}, year, "
     + ", ".join(f"max({i}) AS {i}" for i in INDICES)
     + f" FROM looks GROUP BY {_PIX}, year)"
 )
@@ -309,18 +324,24 @@ _FEATURED = (
     + """ FROM looks) l
 LEFT JOIN wide w ON l.path = w.path AND l.row = w.row AND l.y = w.y AND l.x = w.x AND l.year = w.season_year + 1
 LEFT JOIN annual a ON l.path = a.path AND l.row = a.row AND l.y = a.y AND l.x = a.x AND l.year = a.year + 1
-WHERE l.year > (SELECT y0 FROM years))"""
+JOIN years t ON l.path = t.path AND l.row = t.row WHERE l.year > t.y0)"""
 )
 
 
 @registered(f"WITH {_FEATURED} SELECT scene_id, y, x, " + ", ".join((*features.SEASONAL, *features.MAXIMA)) + " FROM featured")
 def features_prev_year(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.featured_looks(_looks(spark, d)).select("scene_id", "y", "x", *features.SEASONAL, *features.MAXIMA)
+    return _featured(spark, d).select("scene_id", "y", "x", *features.SEASONAL, *features.MAXIMA)
+
+
+@registered(views.two_stacks(f"WITH {_FEATURED} SELECT scene_id, y, x, " + ", ".join((*features.SEASONAL, *features.MAXIMA)) + " FROM featured"))
+def features_of_two_stacks(spark: SparkSession, d: str) -> DataFrame:
+    looks = views.view(spark, d, views.two_stacks(views.OBS), "obs").withColumn("qa", qa_code())
+    return pipeline.featured_looks(materialize(looks, "looks")).select("scene_id", "y", "x", *features.SEASONAL, *features.MAXIMA)
 
 
 @registered(f"WITH {_FEATURED} SELECT scene_id, y, x, " + ", ".join(features.FEATURES) + " FROM featured")
 def feature_vector(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.featured_looks(_looks(spark, d)).select("scene_id", "y", "x", *features.FEATURES)
+    return _featured(spark, d).select("scene_id", "y", "x", *features.FEATURES)
 
 
 # ---- the model
@@ -341,24 +362,29 @@ def _case(tree: dict, node: int = 0) -> str:
     return f"CAST({value} AS DOUBLE)" if f is None else f"CASE WHEN {features.FEATURES[f]} <= {cut} THEN {_case(tree, left)} ELSE {_case(tree, right)} END"
 
 
-_SUMS = ["CAST(0.1 AS DOUBLE)" + "".join(f" + CAST(0.5 AS DOUBLE) * ({_case(t)})" for (c, _), t in sorted(ENSEMBLE.trees().items()) if c == k) for k in (0, 1)]
-_PROBABILITY = f"(exp({_SUMS[1]}) / (exp({_SUMS[0]}) + exp({_SUMS[1]})))"
+
+def _probability(shrinkage: float = 0.5) -> str:
+    sums = ["CAST(0.1 AS DOUBLE)" + "".join(f" + CAST({shrinkage} AS DOUBLE) * ({_case(t)})" for (c, _), t in sorted(ENSEMBLE.trees().items()) if c == k) for k in (0, 1)]
+    return f"(exp({sums[1]}) / (exp({sums[0]}) + exp({sums[1]})))"
+
+
+_PROBABILITY = _probability()
 _CODE = f"CAST(CASE WHEN qa = -9999 THEN -9999 WHEN qa < 0 THEN -9998 ELSE floor({_PROBABILITY} * 100 + 0.5) END AS SMALLINT)"
 
 
 @registered(f"WITH {_FEATURED} SELECT scene_id, y, x, round({_PROBABILITY}, 9) AS p FROM featured")
 def tree_score(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.featured_looks(_looks(spark, d)).select("scene_id", "y", "x", F.round(trees.tree_probability(ENSEMBLE), 9).alias("p"))
+    return _featured(spark, d).select("scene_id", "y", "x", F.round(trees.tree_probability(ENSEMBLE), 9).alias("p"))
 
 
 @registered(f"WITH {_FEATURED} SELECT scene_id, y, x, {_CODE} AS burn_prob FROM featured")
 def burn_probability(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.featured_looks(_looks(spark, d)).select("scene_id", "y", "x", product_code(trees.tree_probability(ENSEMBLE)).alias("burn_prob"))
+    return _featured(spark, d).select("scene_id", "y", "x", product_code(trees.tree_probability(ENSEMBLE)).alias("burn_prob"))
 
 
 @registered()
 def model_error(spark: SparkSession, d: str) -> DataFrame:
-    rows = pipeline.featured_looks(_looks(spark, d)).where("qa >= 0").withColumn("fire", F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)"))
+    rows = _featured(spark, d).where("qa >= 0").withColumn("fire", F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)"))
     rows = materialize(rows.select(*features.FEATURES, "fire"), "training")
     return trees.train(rows, trees.TrainingOptions(tree_count=5, shrinkage=0.3, max_depth=3, subsample=0.8))[1]
 
@@ -389,7 +415,7 @@ def seed_regions(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(_REGIONS.rstrip().rstrip(",") + " SELECT b.scene, b.y, b.x, burn_prob, CAST(coalesce(label, CASE WHEN burn_prob < 0 THEN burn_prob ELSE 0 END) AS INT) AS burn_class FROM burn_prob b LEFT JOIN patch p ON b.scene = p.scene AND b.y * 50 + b.x = p.id")
 def burn_class(spark: SparkSession, d: str) -> DataFrame:
-    prob = _burn_prob(spark, d)
+    prob = materialize(_burn_prob(spark, d), "burn-prob")
     return regions.burn_class(prob, regions.grown_runs(prob, _REGION)).select("scene", "y", "x", "burn_prob", "burn_class")
 
 
@@ -454,14 +480,44 @@ def product_catalog(spark: SparkSession, d: str) -> DataFrame:
     return annual.product_catalog(spark, start, end).select("year", "name", "file_name", "valid_max", "data_type", "fill_value")
 
 
-@registered(_S + "SELECT path, row, CAST(min(ul_x) AS DOUBLE) AS min_x, CAST(max(ul_x) + 6000 AS DOUBLE) AS max_x, CAST(min(ul_y) - 4500 AS DOUBLE) AS min_y, CAST(max(ul_y) AS DOUBLE) AS max_y FROM scenes WHERE grid_origin = 'UL' GROUP BY path, row")
-def grid_bbox_map(spark: SparkSession, d: str) -> DataFrame:
-    return _bbox(_scenes(spark, d).where("grid_origin = 'UL'")).select("path", "row", "min_x", "max_x", "min_y", "max_y")
+_BOX = f"""{_S}, e AS (SELECT path, row, min(ul_x - h) AS w, max(ul_y + h) AS n, max(ul_x - h + 6000) AS e, min(ul_y + h - 4500) AS s FROM (SELECT *, CASE WHEN grid_origin = 'CENTER' THEN 15.0 ELSE 0.0 END AS h FROM scenes) a GROUP BY path, row),
+box AS (SELECT path, row, CAST(w AS DOUBLE) AS w, CAST(n AS DOUBLE) AS n, CAST(ceil((e - w) / 30) AS INT) AS c, CAST(ceil((n - s) / 30) AS INT) AS l FROM e)"""
 
 
-@registered()
+@registered(_BOX + " SELECT path, row, w AS min_x, CAST(w + 30.0 * c AS DOUBLE) AS max_x, CAST(n - 30.0 * l AS DOUBLE) AS min_y, n AS max_y FROM box")
+def grid_bbox_map(spark: SparkSession, d: str) -> DataFrame:
+    return _bbox(_scenes(spark, d)).select("path", "row", "min_x", "max_x", "min_y", "max_y")
+
+
+def _degrees_sql(east: str, north: str, zone: int) -> tuple[str, str]:
+    """Latitude and longitude in SQL, by the series of functions.grid.utm_to_degrees with its coefficients as numbers."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    scale = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3, n**2 / 48 + n**3 / 15, 17 / 480 * n**3)
+    delta = (2 * n - 2 / 3 * n**2 - 2 * n**3, 7 / 3 * n**2 - 8 / 5 * n**3, 56 / 15 * n**3)
+    double = lambda v: f"CAST({v!r} AS DOUBLE)"
+    xi, eta = f"({north} / {double(scale)})", f"(({east} - 500000.0) / {double(scale)})"
+    x = xi + "".join(f" - {double(b)} * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, b in enumerate(beta, 1))
+    e = eta + "".join(f" - {double(b)} * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, b in enumerate(beta, 1))
+    chi = f"asin(sin({x}) / cosh({e}))"
+    lat = f"degrees({chi}" + "".join(f" + {double(v)} * sin({2 * j} * {chi})" for j, v in enumerate(delta, 1)) + ")"
+    return lat, f"({zone * 6 - 183} + degrees(atan2(sinh({e}), cos({x}))))"
+
+
+_LAT, _LON = _degrees_sql("x", "y", 13)
+_CORNERS = {"ul": ("w + 15.0", "n - 15.0"), "lr": ("w + 30.0 * c - 15.0", "n - 30.0 * l + 15.0")}
+
+
+@registered(f"""{_BOX}, k AS (SELECT *, unnest(generate_series(0, c)) AS k FROM box), m AS (SELECT *, unnest(generate_series(0, l)) AS k FROM box),
+edge AS (SELECT path, row, w + 30.0 * k AS x, n AS y FROM k UNION ALL SELECT path, row, w + 30.0 * k, n - 30.0 * l FROM k UNION ALL SELECT path, row, w, n - 30.0 * k FROM m UNION ALL SELECT path, row, w + 30.0 * c, n - 30.0 * k FROM m),
+seen AS (SELECT path, row, x, y, {_LAT} AS lat, {_LON} AS lon FROM (SELECT path, row, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM edge) q),
+around AS (SELECT path, row, """ + ", ".join(f"round({f}({v}), 6) AS {f}_{v}" for v in ("x", "y", "lat", "lon") for f in ("min", "max")) + """ FROM seen GROUP BY path, row)
+SELECT around.*, """ + ", ".join(f"CAST({x} AS DOUBLE) AS {k}_x, CAST({y} AS DOUBLE) AS {k}_y, round({v[0]}, 6) AS {k}_lat, round({v[1]}, 6) AS {k}_lon" for k, (x, y) in _CORNERS.items() for v in [_degrees_sql(f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)", 13)]) + """
+FROM around JOIN box USING (path, row)""")
 def grid_bbox(spark: SparkSession, d: str) -> DataFrame:
-    return _bbox(_scenes(spark, d))
+    out = _bbox(_scenes(spark, d))
+    return out.select("path", "row", *(F.round(c, 6).alias(c) for c in out.columns if c not in ("path", "row")))
 
 
 def _bbox(scenes: DataFrame) -> DataFrame:
@@ -484,18 +540,39 @@ def envi_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return read_envi(spark, folder)
 
 
-_PIPE = f"""WITH RECURSIVE {_FEATURED},
-scored AS (SELECT *, CAST(year * 10 + CAST(floor((month - 1) / 6) AS INT) AS INT) AS scene, {_CODE} AS burn_prob FROM featured),
+def _pipe(code: str, scene: str) -> str:
+    """Yearly products in SQL, from featured looks on; code: the burn probability; scene: a number for each composite of a stack."""
+    head = f"""WITH RECURSIVE {_FEATURED},
+scored AS (SELECT *, {scene} AS scene, {code} AS burn_prob FROM featured),
 g AS (SELECT DISTINCT scene, y, x, y*50+x AS id FROM scored WHERE burn_prob > 70),
 h AS (SELECT DISTINCT scene, y, x, y*50+x AS id FROM scored WHERE burn_prob >= 80),
-""" + _CC.strip().split("\n", 2)[2].replace(">= 3)", ">= 2)") + """
+"""
+    tail = """
 patches AS (SELECT DISTINCT * FROM patch),
 burn AS (SELECT s.path, s.row, s.y, s.x, s.year, s.julian, s.scene_id, s.burn_prob, CAST(coalesce(label, CASE WHEN burn_prob < 0 THEN burn_prob ELSE 0 END) AS INT) AS burn_class FROM scored s LEFT JOIN patches p ON s.scene = p.scene AND s.y * 50 + s.x = p.id)
-""" + _annual_sql(_FIRST)
+"""
+    return head + _CC.strip().split("\n", 2)[2].replace(">= 3)", ">= 2)") + tail + _annual_sql(_FIRST)
 
 
-@registered(_PIPE)
+_HALF = "CAST(year * 10 + CAST(floor((month - 1) / 6) AS INT) AS INT)"
+
+
+@registered(_pipe(_CODE, _HALF))
 def pipeline_annual_burn(spark: SparkSession, d: str) -> DataFrame:
-    half = (F.col("year") * 10 + F.floor((F.col("month") - 1) / 6)).cast("int")
-    looks = materialize(_looks(spark, d).withColumn("half_year", half), "looks")
+    looks = materialize(_looks(spark, d).withColumn("half_year", F.expr(_HALF)), "looks")
     return pipeline.burned_pipeline(looks, trees.tree_probability(ENSEMBLE), RegionOptions(80, 2, 70), scene="half_year", tile_side=16)
+
+
+#: For the stacks of another model.
+OTHER_ENSEMBLE = trees.Ensemble(_NODES, base=0.1, shrinkage=0.25)
+_EITHER = f"CASE WHEN path = 32 THEN {_probability(0.25)} ELSE {_PROBABILITY} END"
+
+
+@registered(views.screened(views.two_stacks(_pipe(_CODE.replace(_PROBABILITY, f"({_EITHER})"), f"path * 100000 + {_HALF}"))))
+def job_annual_burn(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job on two stacks with different models and first years, of scenes that are screened first."""
+    two = views.two_stacks(views.OBS)
+    looks = views.view(spark, d, two, "obs").withColumns({"qa": qa_code(), "half_year": F.expr(_HALF)})
+    scenes = views.view(spark, d, f"{two},\n{views.SHOTS}", "shots")
+    probabilities = {screening.USUAL_MODEL: trees.tree_probability(ENSEMBLE), "gbt_gp_west_model.xml": trees.tree_probability(OTHER_ENSEMBLE)}
+    return pipeline.job(scenes, looks, screening.default_models(spark), probabilities, options=RegionOptions(80, 2, 70), scene="half_year", tile_side=16)

@@ -75,6 +75,30 @@ def _ratio(a: str, b: str) -> str:
 BANDS_OF = {"ndvi": ("b4", "b3"), "ndmi": ("b4", "b5"), "nbr": ("b4", "b7"), "nbr2": ("b5", "b7")}
 STORED = {n: f"CAST(CASE WHEN qa < 0 OR {a} = -9999 OR {b} = -9999 THEN -9999 ELSE greatest(least(round(({_ratio(a, b)}) * 1000), 32767.0), -32768.0) END AS SMALLINT)" for n, (a, b) in BANDS_OF.items()}
 FEATURE = {n: f"CAST(CASE WHEN qa = -9999 THEN 0.0 ELSE ({_ratio(a, b)}) * 1000 END AS DOUBLE)" for n, (a, b) in BANDS_OF.items()}
+
+
+def two_stacks(ctes: str) -> str:
+    """The same with looks of two stacks on the same lines and columns; the second one begins in 1997."""
+    path = "CAST(32 + CAST(floor(pk / 50) AS INT) % 2 AS INT)"
+    two = OBS.replace("'035032'", f"lpad(CAST({path} AS STRING), 3, '0') || '032'").replace("CAST(35 AS INT) AS path", f"{path} AS path")
+    two = two.replace("CAST(floor(pk / 50) AS INT) AS y", "CAST(floor(pk / 100) AS INT) AS y").replace("FROM raw)", f"FROM raw WHERE {path} = 32 OR year(d) >= 1997)")
+    return ctes.replace(OBS, two)
+
+
+SHOTS = """shots AS (
+  SELECT DISTINCT scene_id, path, row, CAST(make_date(year, 1, 1) + CAST(julian - 1 AS INT) AS STRING) AS acq_date,
+         CASE WHEN julian % 11 = 0 THEN 'L1G' ELSE 'L1T' END AS data_type, CAST((julian % 23) / 2.0 AS DOUBLE) AS rmse,
+         CAST((year * 7 + julian) % 101 AS DOUBLE) AS cloud_cover
+  FROM obs)"""
+
+
+def screened(ctes: str) -> str:
+    """The same with the scenes of the looks, and only looks of scenes that pass the usual screen."""
+    all_looks = f"{QA} AS qa FROM obs)"
+    kept = "scene_id IN (SELECT scene_id FROM shots WHERE data_type <> 'L1G' AND rmse <= 10.0 AND cloud_cover <= 80.0)"
+    return ctes.replace(f",\nobs_qa AS (SELECT *, {all_looks}", f",\n{SHOTS},\nobs_qa AS (SELECT *, {QA} AS qa FROM obs WHERE {kept})")
+
+
 LOOKS = OBS_QA + ",\nlooks AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in STORED.items()) + " FROM obs_qa)"
 BURN_PROB = OBS_QA + """,
 burn_prob AS (

@@ -11,6 +11,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.screening import _small
 from ..settings import FILL
 
 
@@ -21,7 +22,10 @@ def parse_header(text: str) -> tuple[int, int]:
 
 
 def read_envi(spark: SparkSession, folder: str) -> DataFrame:
-    """name, y, x, value of all <name>.img with a <name>.hdr in a folder. A file whose size does not fit its header is an error."""
+    """name, y, x, value of all <name>.img with a <name>.hdr in a folder. A file whose size does not fit its header is an error.
+
+    An image is read by one task and is not shuffled where the headers are few enough to be sent to all tasks.
+    """
     name = F.regexp_extract("path", r"([^/]+)\.(?:img|hdr)$", 1)
     headers = spark.read.format("binaryFile").load(folder, pathGlobFilter="*.hdr").select(name.alias("name"), F.col("content").cast("string").alias("header"))
     images = spark.read.format("binaryFile").load(folder, pathGlobFilter="*.img").select(name.alias("name"), "content")
@@ -38,23 +42,27 @@ def read_envi(spark: SparkSession, folder: str) -> DataFrame:
                     y, x = np.indices(part.shape, np.int32)
                     yield pd.DataFrame({"name": r.name, "y": (y + top).ravel(), "x": x.ravel(), "value": part.ravel()})
 
-    return images.join(headers, "name").select("name", "header", "content").mapInPandas(decode, "name string, y int, x int, value short")
+    return images.join(F.broadcast(headers) if _small(headers, 20_000) else headers, "name").select("name", "header", "content").mapInPandas(decode, "name string, y int, x int, value short")
 
 
 def write_envi(pixels: DataFrame, folder: str, lines: int, samples: int) -> DataFrame:
     """Writes one raster for each name of pixels (name, y, x, value), fill where there is no pixel; returns name and the number of pixels.
 
-    Pixels travel as one row for each line, so a task holds one raster of 16-bit numbers.
+    Pixels travel as one row of packed numbers for each line, so a task holds one raster of 16-bit numbers. A pixel outside the
+    raster is an error; of several values for a pixel the greatest stays.
     """
     by_line = pixels.groupBy("name", "y").agg(F.sort_array(F.collect_list(F.struct("x", F.col("value").cast("short").alias("value")))).alias("p"))
+    by_line = by_line.select("name", "y", F.transform("p", lambda p: p["x"]).alias("x"), F.transform("p", lambda p: p["value"]).alias("value"))
     schema = "name string, n_pixels long"
 
     def save(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         out, n = np.full((lines, samples), FILL, "<i2"), 0
-        for y, line in zip(rows["y"], rows["p"], strict=True):
-            for p in line:
-                out[y, p["x"]] = p["value"]
-            n += len(line)
+        for y, x, value in zip(rows["y"], rows["x"], rows["value"], strict=True):
+            x = np.asarray(x, np.int64)
+            if not 0 <= y < lines or x.min() < 0 or x.max() >= samples:
+                raise ValueError(f"{key[0]}: a pixel of line {y} is outside {lines} lines of {samples} samples")
+            out[y, x] = value
+            n += len(x)
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         header = f"ENVI\nsamples = {samples}\nlines   = {lines}\nbands   = 1\ndata type = 2\nbyte order = 0\ninterleave = bsq\n"

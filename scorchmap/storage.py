@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one of this machine is set only where the session has none, as in tests."""
+    """The folder in spark.checkpoint.dir; a temporary one of this machine is set where a local session has none, as in tests.
+
+    A cluster without such a folder is an error: executors would each write to a disk of their own.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")

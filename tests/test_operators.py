@@ -41,6 +41,48 @@ def test_years(spark):
         screening.year_window(s, 1990, 1989)
 
 
+def test_years_of_each_stack(spark):
+    s = spark.createDataFrame([(1, 1, 1990), (1, 1, 1993), (2, 1, 1991), (2, 1, 1992), (3, 1, 2000)], "path int, row int, year int")
+    assert sorted(map(tuple, screening.stack_years(s).collect())) == [(1, 1, 1991, 1993), (2, 1, 1992, 1992), (3, 1, 2001, 2000)]
+    kept = screening.within_years(s, screening.stack_years(s))
+    assert sorted(map(tuple, kept.select("path", "row", "year").collect())) == [(1, 1, 1993), (2, 1, 1992)]
+    for wrong in ({"start": 1983}, {"start": 1990, "end": 1989}, {"end": 1900}):
+        with pytest.raises(ValueError):
+            screening.stack_years(s, **wrong)
+    with pytest.raises(ValueError):
+        screening.stack_years(s.limit(0))
+
+
+def test_last_definition_of_a_model(spark):
+    table = lambda rows: spark.createDataFrame(rows, "key string, model string, position int")
+    models = screening.model_table(table([("a", "x", 2), ("a", "y", 1), ("b", "x", 1)]), table([("b", "p", 5), ("b", "q", 4)]))
+    assert dict(map(tuple, models.collect())) == {"a": "x", "b": "p"}
+
+
+def test_scenes_are_listed_by_name(spark):
+    files = ["/b/LT50350321990001XXX01.xml", "/a/LT50350321991001XXX01.xml", "/a/LT40350321999001XXX01.xml", "/a/LT50350321990001XXX01.aux.xml", "/a/LT50350321990001XXX01.xml"]
+    got = screening.list_scenes(spark.createDataFrame([(f,) for f in files], "file string")).orderBy("position").collect()
+    assert [r.file for r in got] == [files[2], files[4], files[0], files[1]] and [r.position for r in got] == [1, 2, 3, 4]
+
+
+def test_regions_of_two_stacks_stay_apart(spark):
+    rows = [(p, 1, 2001, 6, 160, f"s{p}", 0, y, 0, 98 if y < 2 else 10) for p in (1, 2) for y in range(4)]
+    burn = spark.createDataFrame(rows, "path int, row int, year int, month int, julian int, scene_id string, qa int, y int, x int, burn_prob int")
+    one = burn.withColumn("scene", F.struct("path", "row", F.lit("same").alias("scene")))
+    labelled = regions.grown_runs(one, RegionOptions(90, 2, 75))
+    got = annual.annual_burn(regions.burn_class(one, labelled)).collect()
+    assert len(got) == 8 and sum(r.burn_count == 1 for r in got) == 4
+
+
+def test_points_meet_all_scenes_of_equal_bounds(spark):
+    from scorchmap.operators import placing
+
+    scenes = spark.createDataFrame([(k, 0.0, 9000.0, 9000.0 + 3000 * (k % 2), 0.0, 30.0, 30.0) for k in range(6)], "o int, west double, north double, east double, south double, dx double, dy double")
+    points = spark.createDataFrame([(1, 45.0, 8985.0), (2, 10000.0, 10.0), (3, 9000.0, 10.0), (4, 0.0, 10.0)], "point_id int, px double, py double")
+    got = sorted((r.point_id, r.o, r.x, r.y) for r in placing.scenes_at(points, scenes).collect())
+    assert got == [(1, k, 1, 0) for k in range(6)] + [(2, k, 333, 299) for k in (1, 3, 5)] + [(3, k, 300, 299) for k in (1, 3, 5)]
+
+
 def test_models(spark):
     models = screening.default_models(spark)
     assert dict(models.groupBy("model").count().collect()) == {"gbt_mountain_west_model.xml": 681, "gbt_east_model.xml": 11, "gbt_arid_west_model.xml": 8, "gbt_gp_west_model.xml": 2}

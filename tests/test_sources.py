@@ -53,6 +53,10 @@ def test_envi(spark, tmp_path):
     got = rasters.read_envi(spark, f"file://{tmp_path}")
     assert {(r.y, r.x): r.value for r in got.collect()} == {(y, x): int(data[y, x]) for y in range(4) for x in range(3)}
     rasters.write_envi(got.where("value != 5"), f"file://{tmp_path}/out", 4, 3).collect()
+    for place in ("-1 AS y", "4 AS y", "3 AS x"):
+        with pytest.raises(Exception, match="outside"):
+            other = got.limit(1).select("name", "value", *(F.expr(place if place.endswith(c) else c) for c in ("y", "x")))
+            rasters.write_envi(other, f"file://{tmp_path}/wrong", 4, 3).collect()
     back = {(r.y, r.x): r.value for r in rasters.read_envi(spark, f"file://{tmp_path}/out").collect()}
     assert back[1, 2] == -9999 and back[3, 2] == 11
     (tmp_path / "p.hdr").write_text("samples = 3\nlines = 5\n")

@@ -37,6 +37,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(_table(spark, sf_dir, "documents"), buckets)
 
 
+def near_duplicates_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other half of fingerprints: bands of signatures, joined and verified."""
+    return fingerprints.near_duplicates(_table(spark, sf_dir, "documents"), percent=80)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), limit=1024)
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "near_duplicates_by_fingerprint": near_duplicates_by_fingerprint,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -109,15 +115,18 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(13 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id"""
 
-_OP9 = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_PLAIN}) AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS p FROM d WHERE len(w) > 0) x),
+
+def _components_sql(grams: int, percent: int) -> str:
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_PLAIN}) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + {grams - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - {grams - 1}, 1))) AS p FROM d WHERE len(w) > 0) x),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
-e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
 f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (SELECT doc_id AS id, doc_id AS root FROM documents UNION SELECT f.b, r.root FROM r JOIN f ON r.id = f.a WHERE r.root < f.b)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE r.id = d.doc_id) AS component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id"""
 
+
 _OP10 = f"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(13, len(w)) AS k FROM (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark) x WHERE len(w) > 0),
 win AS (SELECT DISTINCT item, k, array_to_string(w[p:p + k - 1], ' ') AS g FROM (SELECT item, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM i) x),
@@ -132,6 +141,7 @@ FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN item ON d.doc_id = ite
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _OP1,
     "op6_chat_formatting": _OP6,
-    "op9_ngram_jaccard_join": _OP9,
+    "op9_ngram_jaccard_join": _components_sql(4, 85),
     "op10_decontamination": _OP10,
+    "near_duplicates_by_fingerprint": _components_sql(5, 80),
 }

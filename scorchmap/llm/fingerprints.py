@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize
 from .encoding import as_batch
-from .ngram_join import Similarity, gram_sets, link_sets, named_sets, prefixes, set_names, with_components
+from .ngram_join import Similarity, gram_sets, link_sets, named_sets, prefixes, sent_frequencies, set_names, with_components
 from .textops import by_bytes, gram_starts, hash_spans, lower_ascii, mix, ngram_hashes, ranges, signed, text_bytes, word_spans
 
 SHINGLE, PERMUTATIONS = 5, 256
@@ -186,9 +186,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> Data
             yield as_batch({"id": batch.column(0), "low": signed(low), "token": list(key.view(np.int64))}, schema)
 
     docs = docs.select("doc_id", "text")
-    sets = materialize(prefixes(docs, how).drop("prefix").withColumn("row", F.monotonically_increasing_id()), "sets")
+    sent = sent_frequencies(docs, how)
+    sets = materialize(prefixes(docs, how, sent).drop("prefix").withColumn("row", F.monotonically_increasing_id()), "sets")
     named, ones = named_sets(sets)
     # a band says nothing of places in a set: positions that every filter lets pass
     keys = docs.mapInArrow(run, "id long, low long, token array<long>").dropDuplicates(["id", "low"]).join(ones.select("id", "low", "n"), ["id", "low"])
     tokens = keys.select("id", "low", "n", F.lit(0).alias("pos"), F.explode("token").alias("token"))
-    return with_components(sets, named, link_sets(tokens, docs, ones, how)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return with_components(sets, named, link_sets(tokens, docs, ones, how, sent)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

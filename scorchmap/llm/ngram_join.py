@@ -13,12 +13,13 @@ before their whole sets are intersected, once for each pair. Equal sets count as
 set.
 
 A bucket (the sets that share a prefix n-gram) of more than DENSE sets is not turned into pairs. Such buckets become groups, those of
-the same sets one group. A group has a core, the n-grams that more than half of its sets have, and a set is seen as its residual:
+the same sets one group. A group has a core, n-grams that more than half of its sets have, and a set is seen as its residual:
 what it has more or less than the core. Two sets differ in their residuals less twice what the residuals share. So
 
 * sets whose residuals are small enough together are linked without a look: one edge to the set with the smallest residual, measured
   against its size, for each such set,
-* all others must share residual n-grams, and the same rare-first prefix join runs on these, with the residuals compared at once.
+* all others must share residual n-grams, and the same prefix join runs on these: first what is not in the core, rare first, then what
+  is; short residuals are compared at once.
 
 Its dense buckets become groups again. After LEVELS such rounds what is still dense is enumerated in full: sets that are alike in
 LEVELS ways and far from each other in others. So up to there a set is in at most DENSE pairs for each n-gram of its prefix.
@@ -35,7 +36,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -44,7 +46,7 @@ from .encoding import as_batch
 from .textops import by_bytes, give_back, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
 #: Words of 64 bits of a set's parities; sets in a bucket that is turned into pairs; rounds by core and residual.
-PARITY, DENSE, LEVELS = 8, 32, 4
+PARITY, DENSE, LEVELS = 8, 128, 4
 #: Documents of which whole sets are needed are named in a broadcast up to this number, else by a join.
 MAX_NAMED = 1 << 18
 #: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
@@ -166,9 +168,13 @@ def parities(s: np.ndarray) -> np.ndarray:
     return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
 
 
-def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
+def sent_frequencies(docs: DataFrame, how: Similarity) -> Broadcast:
+    """What the order of all n-grams rests on, in all tasks: at most MAX_FREQUENT and MAX_WORDS entries."""
+    return docs.sparkSession.sparkContext.broadcast(frequencies(docs, how.grams))
+
+
+def prefixes(docs: DataFrame, how: Similarity, sent: Broadcast) -> DataFrame:
     """doc_id, n (set size), low and high (128 bits that name the set), parity, prefix."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequencies(docs, how.grams))  # at most MAX_FREQUENT and MAX_WORDS entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
@@ -185,14 +191,15 @@ def prefixes(docs: DataFrame, how: Similarity) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, parity array<long>, prefix array<long>")
 
 
-def whole_sets(docs: DataFrame, ids: DataFrame, grams: int) -> DataFrame:
-    """id, low (names the set among those of the id), parity, grams of the documents in ids(id)."""
+def whole_sets(docs: DataFrame, ids: DataFrame, grams: int, sent: Broadcast) -> DataFrame:
+    """id, low (names the set among those of the id), parity, grams (in the order of all n-grams) of the documents in ids(id)."""
     schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("parity", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
-            sets = gram_sets(batch.column(1), grams)
-            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "grams": [signed(s) for s in sets]}, schema)
+            found = gram_sets(batch.column(1), grams, frequencies=sent.value)
+            sets, ordered = [s for s, _ in found], [signed(s[np.argsort(place, kind="stable")]) for s, place in found]
+            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "grams": ordered}, schema)
 
     few = ids.limit(MAX_NAMED + 1).count() <= MAX_NAMED
     some = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
@@ -259,6 +266,45 @@ def _groups(found: DataFrame, keys: list[str]) -> DataFrame:
     return out
 
 
+def _cores(members: DataFrame) -> DataFrame:
+    """group, core: n-grams that more than half of a group's sets have, as far as they are in the majority of a chunk of its sets.
+
+    An n-gram of the majority of all is in that of some chunk, so only those are counted. A core that lacks one costs time only.
+    """
+    schema = pa.schema([("group", pa.int64()), ("size", pa.int64()), ("tokens", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        size = 0
+        for batch in batches:
+            cut, grams = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy(zero_copy_only=False)
+            for g, a, b in zip(batch.column(0).to_pylist(), cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                held.setdefault(g, []).append(grams[a:b])
+                size += b - a
+                if size >= _CHUNK_GRAMS:
+                    yield majority(held)
+                    held, size = {}, 0
+        if held:
+            yield majority(held)
+
+    def majority(held: dict[int, list[np.ndarray]]) -> pa.RecordBatch:
+        out: dict[str, list] = {f.name: [] for f in schema}
+        for g, sets in held.items():
+            token, n = np.unique(np.concatenate(sets), return_counts=True)
+            most = 2 * n > len(sets)
+            for name, value in zip(out, (g, len(sets), token[most], n[most]), strict=True):
+                out[name].append(value)
+        return as_batch(out, schema)
+
+    rows = materialize(members.select("group", "grams").mapInArrow(run, "group long, size long, tokens array<long>, counts array<long>"), "majorities")
+    sizes = rows.groupBy("group").agg(F.sum("size").alias("size"))
+    each = rows.select("group", F.explode(F.arrays_zip("tokens", "counts")).alias("x")).groupBy("group", F.col("x.tokens").alias("token")).agg(F.sum("x.counts").alias("c"))
+    # a core is at most twice as long as its sets on average
+    out = materialize(each.join(sizes, "group").where("2 * c > size").groupBy("group").agg(F.sort_array(F.collect_list("token")).alias("core")), "cores")
+    release(rows)
+    return out
+
+
 #: Residuals of at most so many n-grams are compared in the join itself, others by parity and later as whole sets.
 SHORT = 64
 
@@ -271,12 +317,10 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     """
     more, less = 100 + how.percent, 100 - how.percent
     members = materialize(groups.join(sets, ["id", "low"]), "members")
-    sizes = members.groupBy("group").agg(F.count("*").alias("size"))
-    grams = members.select("group", F.explode("grams").alias("token")).groupBy("group", "token").agg(F.count("*").alias("c")).where("c > 1")
-    # a group's core is at most twice as long as its sets on average
-    cores = materialize(grams.join(sizes, "group").where("2 * c > size").groupBy("group").agg(F.collect_list("token").alias("core")), "cores")
+    cores = _cores(members)
     core = F.coalesce("core", F.array().cast("array<long>"))
-    residual = F.array_union(F.array_except("grams", core), F.array_except(core, "grams"))
+    # in order: what is not in the core, rare first, then what is
+    residual = F.concat(F.array_except("grams", core), F.array_except(core, "grams"))
     rows = members.join(cores, "group", "left").select("group", "id", "low", "parity", F.size("grams").cast("long").alias("n"), residual.alias("residual"))
     residuals = materialize(rows.withColumn("margin", more * F.size("residual").cast("long") - less * F.col("n")), "residuals")
     hubs = residuals.groupBy("group").agg(F.min(F.struct("margin", "id")).alias("hub"))
@@ -285,11 +329,9 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     # at least so many residual n-grams are shared with any partner that is not near too, by the least margin and by what a partner can have
     most = less * F.ceil(100 * F.col("n") / how.percent)
     need = F.greatest(F.lit(1), F.ceil((F.col("margin") + F.col("hub.margin")) / (2 * more) - 1e-9), F.ceil((F.col("margin") - most) / more - 1e-9))
-    tokens = rows.where(F.size("residual") >= need).select("group", "id", "low", "margin", "near", (F.size("residual") - need + 1).alias("length"), F.explode("residual").alias("token"))
-    often = tokens.groupBy("group", "token").agg(F.count("*").alias("c"))
-    line = Window.partitionBy("group", "id", "low").orderBy("c", "token")
-    placed = tokens.join(often, ["group", "token"]).withColumn("pos", F.row_number().over(line) - 1).where((F.col("pos") < F.col("length")) & (F.col("c") > 1)).drop("length")
-    placed = materialize(placed.select("group", "id", "low", "margin", "near", "pos", "token"), "placed")
+    prefix = F.slice("residual", 1, (F.size("residual") - need + 1).cast("int"))
+    placed = rows.where(F.size("residual") >= need).select("group", "id", "low", "margin", "near", F.posexplode(prefix).alias("pos", "token"))
+    placed = materialize(placed, "placed")
     shared = placed.groupBy("group", "token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
     found = placed.join(shared, ["group", "token"]).groupBy("group", "id", "low", "margin", "near").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "c"))).alias("found"))
     found = materialize(found, "found")
@@ -307,13 +349,13 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     return links, pairs, onward
 
 
-def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity) -> DataFrame:
+def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity, sent: Broadcast) -> DataFrame:
     """Links (a, b) of sets. tokens: see bucketed(); docs: the texts of their ids; ones: id, low, parity."""
     found = materialize(bucketed(tokens, how), "buckets")
     pairs = materialize(first_pairs(found.join(ones.select("id", "low", "parity"), ["id", "low"]), how), "pairs")
     groups = _groups(found, [])
     ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(groups.select("id")).distinct(), "ids")
-    sets = materialize(whole_sets(docs, ids, how.grams), "whole")
+    sets = materialize(whole_sets(docs, ids, how.grams, sent), "whole")
     if sets.count() != sets.select("id", "low").distinct().count():  # repeated rows
         sets = materialize(sets.dropDuplicates(["id", "low"]), "whole")
     links, level, written = None, 0, [found, pairs, ids, sets]
@@ -345,10 +387,11 @@ def named_sets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id (the least doc_id reachable by links) for each row of docs(doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    sets = materialize(prefixes(docs, how).withColumn("row", F.monotonically_increasing_id()), "sets")
+    sent = sent_frequencies(docs, how)
+    sets = materialize(prefixes(docs, how, sent).withColumn("row", F.monotonically_increasing_id()), "sets")
     named, ones = named_sets(sets)
     tokens = ones.select("id", "low", "n", F.posexplode("prefix").alias("pos", "token"))
-    links = link_sets(tokens, docs, ones, how)
+    links = link_sets(tokens, docs, ones, how, sent)
     return with_components(sets, named, links).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 

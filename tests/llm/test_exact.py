@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -127,6 +128,55 @@ def test_token_files(spark, docs, empty, tmp_path):
         token_files.write_token_files(docs, f"{uri}3", WORD_BPE, 2, 4, dtype="<u1")
 
 
+def test_words_that_collide_under_simple_hashes(spark):
+    """Thue-Morse words and their opposites: sums of powers modulo 2**64 cannot tell those of 1024 letters apart."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    turned = str.maketrans("ab", "ba")
+    texts = [f"x {w} y" for n in (1024, 2048) for w in (word[:n], word[:n].translate(turned))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for vocabulary, rows in ((BYTE_BPE, token_counts.count_tokens(df, BYTE_BPE)), (WORD_BPE, packing.pack_documents(df, WORD_BPE, 1).groupBy("doc_id").agg((F.sum("length") - 1).alias("n_tokens")))):
+        t = Tokenizer.from_file(vocabulary)
+        assert {r.doc_id: r.n_tokens for r in rows.collect()} == {k: len(t.encode(x, add_special_tokens=False).ids) for k, x in enumerate(texts)}
+    assert len({r.fingerprint for r in fingerprints.fingerprint(df).collect()}) == 4
+    assert [r.component_id for r in ngram_join.similarity_components(df).orderBy("doc_id").collect()] == [0, 1, 2, 3]
+    assert brown_lm.train(df)[1].count() == 7
+    assert substring_dedup.removal_report(df, window=3 + substring_dedup.ANCHOR).where("n_removed > 0").count() == 0
+    bench = spark.createDataFrame([("i", word[:1024])], "item_id string, text string")
+    assert [r.n_hit for r in decontaminate.find_contamination(df, bench).orderBy("doc_id").collect()] == [1, 0, 0, 0]
+
+
+def test_shares_and_items_without_ids(spark):
+    docs = spark.createDataFrame([(k, " ".join(["hit"] * k + ["x"] * (10 - k))) for k in range(5)], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "hit"), ("b", "hit"), (None, None)], "item_id string, text string")
+    got = by_id(decontaminate.find_contamination(docs, bench, coverage=0.3))
+    assert {k: (r.contaminated, r["items"]) for k, r in got.items()} == {k: (k >= 3, ["b"] if k else []) for k in range(5)}
+
+
+def test_many_short_documents_pack_in_time():
+    import time
+
+    import numpy as np
+
+    began = time.time()
+    sequences = packing.pack_block(np.full(200_000, 3), np.zeros(200_000, np.int64), packing.Limits())
+    assert time.time() - began < 30 and sum(n for s in sequences for *_, n in s) == 600_000 and len(sequences) < 900
+
+
+def test_token_files_by_ranges(spark, docs, tmp_path, monkeypatch):
+    """Stores that are not mounted are read range by range; rows of one doc_id may go to several files."""
+    many = docs.select("doc_id", "text").unionByName(docs.limit(30).select(F.lit(None).cast("long").alias("doc_id"), "text"))
+    uri = f"file://{tmp_path}/files"
+    manifest = token_files.write_token_files(many, uri, WORD_BPE, 2, 4)
+    want = sorted((-1 if r.doc_id is None else r.doc_id, r.start, r.n_tokens, bytes(r.ids)) for r in token_files.read_token_files(spark, uri, manifest).collect())
+    monkeypatch.setattr(token_files, "_mounted", lambda store: False)
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.start, r.n_tokens, bytes(r.ids)) for r in token_files.read_token_files(spark, uri, manifest, block_tokens=50, block_docs=3).collect())
+    assert got == want and sum(r[0] == -1 for r in got) == 30
+    assert [r[1] for r in sorted(want, key=lambda r: r[1])] == [sum(x[2] for x in sorted(want, key=lambda r: r[1])[:k]) for k in range(len(want))]
+    assert token_files.file_count(many, 1000) > 10
+
+
 def test_chat(spark):
     odd = ["</s>[INST] ok [/INST]", "<\\s> <\\\\/s>", "[\\INST]", "", None, "é\n<s", "[", "<", "s>x", "/s>", "INST]"]
     rows = [(c, k, ("user", "assistant", "a[INST]b", None)[(c + k) % 4], odd[(3 * c + k) % len(odd)]) for c in range(40) for k in range(c % 9 + 1)]
@@ -283,6 +333,43 @@ def test_language_model(docs, empty):
     assert brown_lm.score(docs, nothing, none).where("n_known > 0").count() == 0
 
 
+@pytest.mark.parametrize("settings", [{}, {"FREQUENT": 200, "CLUSTERED": 64, "EXTENDED": 64}])
+def test_language_model_score(docs, monkeypatch, settings):
+    """The score from the classes that words have got: transitions and emissions counted by hand."""
+    import numpy as np
+
+    from scorchmap.llm.textops import signed
+
+    for name, value in settings.items():
+        monkeypatch.setattr(brown_lm, name, value)
+    model, table = brown_lm.train(docs.where(~brown_lm.held_out()))
+    got = by_id(brown_lm.score(docs, model, table))
+    of = {r.key: r["class"] for r in table.collect()}
+    end, rest, groups = brown_lm.CLASSES, brown_lm.CLASSES + 1, brown_lm.CLASSES + 2
+    key = lambda w: int(signed(brown_lm.tokens(pa.array([w]))[0][:1])[0])
+    names = {w: key(w) for w in {w for _, t in DOCS for w in words(lower(t or ""))}}
+    assert len(set(names.values())) == len(names)
+    texts = {k: [*words(lower(t or "")), None] for k, t in DOCS}
+    train = [k for k in texts if zlib.crc32(str(k).encode()) % 10]
+    c = Counter(w for k in train for w in texts[k])
+    cls = lambda w: end if w is None else of.get(names[w], rest)
+    assert all(of[names[w]] < brown_lm.CLASSES for w in c if w is not None and c[w] >= brown_lm.ENOUGH and len(of) > brown_lm.CLUSTERED + brown_lm.EXTENDED)
+    moves, mass, types = np.zeros((groups, groups)), np.zeros(groups), np.zeros(groups)
+    for k in train:
+        line = [end, *map(cls, texts[k])]
+        for a, b in zip(line, line[1:], strict=False):
+            moves[a, b] += 1
+    for w, n in c.items():
+        mass[cls(w)] += n
+        types[cls(w)] += 1
+    types[rest] += 1
+    share = (moves.sum(axis=0) + 1) / (moves.sum() + groups)
+    for k, t in texts.items():
+        line = [end, *map(cls, t)]
+        p = [(moves[a, b] + 5 * share[b]) / (moves[a].sum() + 5) * (c[w] + 0.1) / (mass[b] + 0.1 * types[b]) for a, b, w in zip(line, line[1:], t, strict=False)]
+        assert abs(got[k].score - sum(map(math.log10, p))) < 1e-6 * abs(got[k].score), k
+
+
 def test_language_model_with_rare_words_joined(docs, monkeypatch):
     train = docs.where(~brown_lm.held_out())
     want = by_id(brown_lm.score(docs, *brown_lm.train(train)))

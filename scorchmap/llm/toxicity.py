@@ -1,8 +1,10 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine search in a block-max inverted index.
 
 The model is fitted on at most EXAMPLES_A_CLASS labelled documents of each class (those with the least hash of the doc_id);
-each weighs as many of its class as the sample leaves out, in votes and in the isotonic fit, but is one neighbour. Terms are lower-case words whose share among toxic examples
-differs enough from that among the others; they are weighted by 1 + log tf and idf and vectors are brought to length one.
+each weighs as many of its class as the sample leaves out, in votes and in the isotonic fit, but is one neighbour. Terms are all
+lower-case words whose share among toxic examples surely differs from that among the others (chi-square of 25 and four times the
+share); words that say nothing of the label are left out of vectors and norms, so the cosine is that of the telling words. They are
+weighted by 1 + log tf and idf and vectors are brought to length one.
 Equal vectors are one entry of the index. Entries are dealt into blocks of alike vectors; for each term, a block knows its
 greatest weight, so that the sum of query weight times greatest weight bounds the cosine with any of its entries. Blocks are
 read in order of that bound until it cannot beat the k-th best: the search is exact.
@@ -10,8 +12,9 @@ read in order of that bound until it cannot beat the k-th best: the search is ex
 The cosine-weighted vote of the neighbours is made a probability by an isotonic fit to the votes that examples get from the
 others. A document without any term (an empty or null text too) gets the share of toxic ones among such examples.
 
-Repeated rows are scored each on its own; with no labels of a class every score is that share; an empty table gives no rows.
-A document with a null doc_id is never an example. Further columns are ignored by score() and kept by reject_toxic().
+Repeated rows are scored each on its own, and are one example; of several labels of a document the greatest counts. With no labels
+of a class every score is that share; an empty table gives no rows. A document with a null doc_id is never an example, nor held
+out. Further columns are ignored by score() and kept by reject_toxic().
 """
 
 from __future__ import annotations
@@ -30,17 +33,18 @@ from .encoding import as_batch
 from .textops import ALNUM_WORD, by_bytes, hash_spans, lower_ascii, signed, text_bytes, unsigned, word_spans
 
 EXAMPLES_A_CLASS = 10_000
-MAX_TERMS = 4096
 NEIGHBOURS = 15
 _BLOCK = 64
-#: Chi-square, ratio of shares and share of toxic (or other) examples that a term must reach.
-_CHI2, _RATIO, _SHARE = 25.0, 4.0, 0.01
+#: Chi-square and ratio of shares that a term must reach.
+_CHI2, _RATIO = 25.0, 4.0
+#: Cosines that are so close count as equal.
+_TIED = 1e-9
 #: Weight of the prior in a vote, in neighbours of cosine 1.
 _PRIOR = 0.5
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 5):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
 def _term_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,12 +88,15 @@ class Model:
         return out
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Entries of the index and their cosines, best first, until k examples are had (skip: one example of this entry is left out)."""
+        """Entries of the index and their cosines, best first, until k examples are had (skip: one example of this entry is left out).
+
+        All entries as near as the last one are taken, so that ties need no order.
+        """
         bound = weights @ self.peaks[terms]
         order = np.argsort(-bound, kind="stable")
         found, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in order.tolist():
-            if bound[b] <= least + 1e-12:
+            if bound[b] < least or bound[b] <= 0:
                 break
             columns, matrix, entries = self.blocks[b]
             place = np.minimum(np.searchsorted(columns, terms), len(columns) - 1)
@@ -97,13 +104,15 @@ class Model:
             if not same.any():
                 continue
             c = matrix[:, place[same]] @ weights[same]
-            some = c > least
+            some = (c >= least) & (c > 1e-12)
             found, cosines = np.concatenate([found, entries[some]]), np.concatenate([cosines, c[some]])
             best = np.lexsort((self.keys[found], -cosines))
             found, cosines = found[best], cosines[best]
             enough = np.searchsorted(np.cumsum(self.heads[found] - (found == skip)), k)
             if enough < len(found):
-                found, cosines, least = found[: enough + 1], cosines[: enough + 1], cosines[enough]
+                least = cosines[enough] - _TIED
+                near = cosines >= least
+                found, cosines = found[near], cosines[near]
         return found, cosines
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1, toxic: float = 0.0, mass: float = 0.0) -> tuple[float, int, float]:
@@ -154,11 +163,11 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_class: int = EXAMPLES_A_CLASS) -> Model:
     """labels: doc_id and label (0/1; nulls are left out). Give it the training rows only."""
-    known = labels.select("doc_id", F.col(label).alias("label")).where("label in (0, 1) and doc_id is not null")
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     some = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples_a_class) for c in (0, 1)]
     sample = some[0].unionByName(some[1])  # at most 2 * examples_a_class ids
-    examples = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "examples")
+    examples = materialize(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id", "text"]), "examples")
     n = {r.label: r["count"] for r in examples.groupBy("label").count().collect()}
     if len(n) < 2:
         share = float(min(n, default=0))
@@ -180,7 +189,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_cla
     both = (F.col("ones") + F.col("zeros")) / (n[0] + n[1])
     chi2 = (p - q) * (p - q) / (both * (1 - both) + 1e-12) * (n[0] * n[1] / (n[0] + n[1]))
     uneven = F.greatest((F.col("ones") + 0.5) / n[1] / ((F.col("zeros") + 0.5) / n[0]), (F.col("zeros") + 0.5) / n[0] / ((F.col("ones") + 0.5) / n[1]))
-    chosen = rows.withColumn("chi2", chi2).where((F.col("chi2") >= _CHI2) & (uneven >= _RATIO) & (F.greatest(p, q) >= _SHARE)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).toArrow()
+    chosen = rows.withColumn("chi2", chi2).where((F.col("chi2") >= _CHI2) & (uneven >= _RATIO)).toArrow()  # at most the words of the examples
     terms = unsigned(chosen.column("term").to_numpy())
     df = chosen.column("ones").to_numpy() * stands[1] + chosen.column("zeros").to_numpy() * stands[0]
     order = np.argsort(terms)
@@ -215,7 +224,7 @@ def _index(model: Model, rows: list[tuple], stands: dict[int, float]) -> Model:
     model.ones = np.array([e[1] for e in entries.values()])
     model.alls = np.array([e[2] for e in entries.values()])
     model.heads = np.array([e[3] for e in entries.values()], np.int64)
-    model.peaks = np.zeros((len(model.terms), -(-len(vectors) // _BLOCK)))
+    model.peaks = np.zeros((len(model.terms), -(-len(vectors) // _BLOCK)), np.float32)
     for b in range(model.peaks.shape[1]):
         part = vectors[b * _BLOCK : (b + 1) * _BLOCK]
         columns = np.unique(np.concatenate([v[0] for v in part]).astype(np.int64))
@@ -223,7 +232,7 @@ def _index(model: Model, rows: list[tuple], stands: dict[int, float]) -> Model:
         for k, (terms, weights) in enumerate(part):
             matrix[k, np.searchsorted(columns, terms)] = weights
         model.blocks.append((columns, matrix, np.arange(b * _BLOCK, b * _BLOCK + len(part))))
-        model.peaks[columns, b] = matrix.max(axis=0)
+        model.peaks[columns, b] = np.nextafter(matrix.max(axis=0).astype(np.float32), np.float32(2))  # never below the weight
     # what each kind of example is told by the others
     x, y, w = [], [], []
     for k, (terms, weights) in enumerate(vectors):
@@ -240,7 +249,7 @@ def _index(model: Model, rows: list[tuple], stands: dict[int, float]) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, evidence (nearest example's doc_id), evidence_cosine for each row of docs(doc_id, text)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_TERMS and the examples
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the examples
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("evidence", pa.int64()), ("evidence_cosine", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -378,10 +378,12 @@ def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similari
 
 
 def named_sets(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of a written table of prefixes() with unique numbers in row: id, the least doc_id with a set, for each set; and one of the rows of each set."""
+    """Of a written table of prefixes() with unique numbers in row: a written table of each set with id, the least doc_id that has it, and
+    one of its rows; and these rows whole.
+    """
     some = sets.where("n > 0 and doc_id is not null").groupBy("low", "high", "n").agg(F.min(F.struct("doc_id", "row")).alias("x"))
     named = materialize(some.select("low", "high", "n", F.col("x.doc_id").alias("id"), "x.row"), "named")
-    return named.drop("row"), sets.join(named.select("row"), "row", "left_semi").withColumnRenamed("doc_id", "id")
+    return named, sets.join(named.select("row"), "row", "left_semi").withColumnRenamed("doc_id", "id")
 
 
 def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> DataFrame:
@@ -396,9 +398,10 @@ def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> Da
 
 
 def with_components(sets: DataFrame, named: DataFrame, links: DataFrame) -> DataFrame:
-    """doc_id, n, component_id of each row of sets. links: of ids in named."""
+    """doc_id, n, component_id of each row of sets. links: of ids in named. Deletes sets and named, see named_sets()."""
     key = F.when(F.col("doc_id").isNotNull(), F.coalesce("id", "doc_id"))
-    rows = materialize(sets.select("doc_id", "n", "low", "high").join(named, ["low", "high", "n"], "left").select("doc_id", "n", key.alias("id")), "named-rows")
+    rows = materialize(sets.select("doc_id", "n", "low", "high").join(named.drop("row"), ["low", "high", "n"], "left").select("doc_id", "n", key.alias("id")), "named-rows")
+    release(sets, named)
     several = rows.groupBy("doc_id").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x != y").select("doc_id")
     same = rows.join(several, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     labels = connected_components(links.unionByName(same))

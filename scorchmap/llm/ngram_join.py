@@ -47,7 +47,7 @@ from .textops import by_bytes, give_back, hash_spans, lower_ascii, mix, ngram_ha
 
 #: Words of 64 bits of a set's parities; sets in a bucket that is turned into pairs; rounds by core and residual.
 PARITY, DENSE, LEVELS = 8, 128, 4
-#: Documents of which whole sets are needed are named in a broadcast up to this number, else by a join.
+#: Rows of a few numbers (and n-grams of cores) that are sent to all tasks at most; beyond, tables are joined by shuffling.
 MAX_NAMED = 1 << 18
 #: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
 MAX_FREQUENT, MAX_WORDS = 1 << 18, 1 << 16
@@ -191,6 +191,11 @@ def prefixes(docs: DataFrame, how: Similarity, sent: Broadcast) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, low long, high long, parity array<long>, prefix array<long>")
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """Rows of a few numbers, for a join to which they are sent if they are few enough."""
+    return F.broadcast(rows) if rows.limit(MAX_NAMED + 1).count() <= MAX_NAMED else rows
+
+
 def whole_sets(docs: DataFrame, ids: DataFrame, grams: int, sent: Broadcast) -> DataFrame:
     """id, low (names the set among those of the id), parity, grams (in the order of all n-grams) of the documents in ids(id)."""
     schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("parity", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
@@ -201,8 +206,7 @@ def whole_sets(docs: DataFrame, ids: DataFrame, grams: int, sent: Broadcast) ->
             sets, ordered = [s for s, _ in found], [signed(s[np.argsort(place, kind="stable")]) for s, place in found]
             yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "grams": ordered}, schema)
 
-    few = ids.limit(MAX_NAMED + 1).count() <= MAX_NAMED
-    some = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("id"), "left_semi")
+    some = docs.select("doc_id", "text").join(_sent(ids), F.col("doc_id") == F.col("id"), "left_semi")
     return some.mapInArrow(run, "id long, low long, parity array<long>, grams array<long>")
 
 
@@ -316,12 +320,13 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     each set, two sets link where the sum of their margins is at most 2 * A times the number of n-grams that their residuals share.
     """
     more, less = 100 + how.percent, 100 - how.percent
-    members = materialize(groups.join(sets, ["id", "low"]), "members")
+    members = materialize(sets.join(_sent(groups), ["id", "low"]), "members")
     cores = _cores(members)
+    few = (cores.agg(F.sum(F.size("core"))).first()[0] or 0) <= MAX_NAMED
     core = F.coalesce("core", F.array().cast("array<long>"))
     # in order: what is not in the core, rare first, then what is
     residual = F.concat(F.array_except("grams", core), F.array_except(core, "grams"))
-    rows = members.join(cores, "group", "left").select("group", "id", "low", "parity", F.size("grams").cast("long").alias("n"), residual.alias("residual"))
+    rows = members.join(F.broadcast(cores) if few else cores, "group", "left").select("group", "id", "low", "parity", F.size("grams").cast("long").alias("n"), residual.alias("residual"))
     residuals = materialize(rows.withColumn("margin", more * F.size("residual").cast("long") - less * F.col("n")), "residuals")
     hubs = residuals.groupBy("group").agg(F.min(F.struct("margin", "id")).alias("hub"))
     rows = residuals.join(hubs, "group").withColumn("near", F.col("margin") + F.col("hub.margin") <= 0)
@@ -368,7 +373,10 @@ def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similari
         if onward is None:
             break
         groups = onward
-    pairs = pairs.distinct()
+    pairs = materialize(pairs.distinct(), "pairs")
+    written.append(pairs)
+    both = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = sets.join(_sent(both), "id", "left_semi")  # others have been seen in groups only
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("grams").alias(f"{side}_grams")), side)
     common = F.size(F.array_intersect("a_grams", "b_grams")).cast("long")

@@ -14,6 +14,7 @@ each on its own; empty tables give no rows or no hits.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -27,7 +28,7 @@ from ..storage import materialize
 from .encoding import as_batch
 from .textops import ALNUM_WORD, by_bytes, gram_starts, hash_spans, lower_ascii, ngram_hashes, resident, text_bytes, word_spans
 
-MAX_ITEM_BYTES = 32 << 20
+MAX_ITEM_BYTES = 16 << 20
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("longest", pa.int64()), ("items", pa.list_(pa.string())), ("contaminated", pa.bool_())])
 
@@ -39,17 +40,38 @@ def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 class SuffixAutomaton:
-    """States of all substrings of several word sequences."""
+    """States of all substrings of several word sequences.
 
-    def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
+    Nearly every state has one move, which is kept in arrays; further ones are in a dict of the state: 70 to 230 bytes a word.
+    """
 
-    def _state(self, length: int, moves: dict[int, int], link: int) -> int:
-        self.next.append(moves)
+    def __init__(self) -> None:
+        self.word, self.to = array("Q", [0]), array("q", [-1])
+        self.more: dict[int, dict[int, int]] = {}
+        self.link, self.length = array("q", [-1]), array("q", [0])
+
+    def step(self, state: int, w: int) -> int:
+        """The state after w, or -1."""
+        if self.word[state] == w:
+            return self.to[state]
+        more = self.more.get(state)
+        return more.get(w, -1) if more else -1
+
+    def _move(self, state: int, w: int, to: int) -> None:
+        if self.to[state] < 0 or self.word[state] == w:
+            self.word[state], self.to[state] = w, to
+        else:
+            self.more.setdefault(state, {})[w] = to
+
+    def _state(self, length: int, link: int, like: int | None = None) -> int:
+        new = len(self.to)
+        self.word.append(0 if like is None else self.word[like])
+        self.to.append(-1 if like is None else self.to[like])
+        if like in self.more:
+            self.more[new] = dict(self.more[like])
         self.length.append(length)
         self.link.append(link)
-        return len(self.next) - 1
+        return new
 
     def add(self, words: list[int]) -> None:
         last = 0
@@ -60,34 +82,35 @@ class SuffixAutomaton:
         """The state for the longest suffix of p followed by w, taken out of q."""
         if self.length[q] == self.length[p] + 1:
             return q
-        twin = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q])
+        twin = self._state(self.length[p] + 1, self.link[q], like=q)
         self.link[q] = twin
-        while p >= 0 and self.next[p].get(w) == q:
-            self.next[p][w] = twin
+        while p >= 0 and self.step(p, w) == q:
+            self._move(p, w, twin)
             p = self.link[p]
         return twin
 
     def _extend(self, last: int, w: int) -> int:
-        if w in self.next[last]:
-            return self._split(last, w, self.next[last][w])
-        new, p = self._state(self.length[last] + 1, {}, 0), last
-        while p >= 0 and w not in self.next[p]:
-            self.next[p][w] = new
+        to = self.step(last, w)
+        if to >= 0:
+            return self._split(last, w, to)
+        new, p = self._state(self.length[last] + 1, 0), last
+        while p >= 0 and (to := self.step(p, w)) < 0:
+            self._move(p, w, new)
             p = self.link[p]
         if p >= 0:
-            self.link[new] = self._split(p, w, self.next[p][w])
+            self.link[new] = self._split(p, w, to)
         return new
 
     def matching_lengths(self, words: list[int]) -> list[int]:
         """For each word, the length of the longest substring of the sequences that ends there."""
         out, state, n = [], 0, 0
-        moves, link, length = self.next, self.link, self.length
+        step, link, length = self.step, self.link, self.length
         for w in words:
-            while w not in moves[state] and state:
+            while (to := step(state, w)) < 0 and state:
                 state = link[state]
                 n = length[state]
-            if w in moves[state]:
-                state, n = moves[state][w], n + 1
+            if to >= 0:
+                state, n = to, n + 1
             out.append(n)
         return out
 
@@ -96,7 +119,7 @@ class Index:
     """The automaton of some items, with the items of each window."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
-        ids = np.array([i for i, _ in items], object)
+        self.ids = [i for i, _ in items]
         words, first, *_ = _words(pa.array([t for _, t in items], pa.string()))
         size = np.diff(first)
         self.automaton = SuffixAutomaton()
@@ -108,10 +131,9 @@ class Index:
             item = np.searchsorted(first, at, "right") - 1
             keep = size[item] >= window if n == window else size[item] == n
             hashes, item = ngram_hashes(words, n)[at[keep]], item[keep]
-            table: dict[int, set[str]] = {}
-            for h, k in zip(hashes.tolist(), item.tolist(), strict=True):
-                table.setdefault(h, set()).add(ids[k])
-            self.windows[n] = (np.unique(hashes), table)
+            order = np.lexsort((item, hashes))
+            known, begin = np.unique(hashes[order], return_index=True)
+            self.windows[n] = (known, np.append(begin, len(order)), item[order].astype(np.int32))
         pairs = np.unique(ngram_hashes(words, 2)[gram_starts(first, 2)])
         self.pairs, self.maybe = pairs, np.zeros(1 << 20, bool)
         self.maybe[pairs & np.uint64(len(self.maybe) - 1)] = True
@@ -137,17 +159,18 @@ class Index:
             for a, b in zip(begin.tolist(), end.tolist(), strict=True):
                 if b - a >= least:
                     reach[a:b] = self.automaton.matching_lengths(words[a:b].tolist())
-        for k, (known, table) in self.windows.items():
+        for k, (known, begin, item) in self.windows.items():
             if n < k:
                 continue
             at = gram_starts(first, k) if k == 1 else np.flatnonzero(reach >= k) - k + 1
             grams = ngram_hashes(words, k)[at]
-            found = np.isin(grams, known)
-            at, grams = at[found], grams[found]
+            slot = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            found = known[slot] == grams
+            at, slot = at[found], slot[found]
             np.add.at(hit, at, 1)
             np.add.at(hit, at + k, -1)
-            for d, g in sorted(set(zip((np.searchsorted(first, at, "right") - 1).tolist(), grams.tolist(), strict=True))):
-                items[d] |= table[g]
+            for d, g in set(zip((np.searchsorted(first, at, "right") - 1).tolist(), slot.tolist(), strict=True)):
+                items[d].update(self.ids[i] for i in item[begin[g] : begin[g + 1]].tolist())
         return np.cumsum(hit[:-1]) > 0, reach, items
 
 

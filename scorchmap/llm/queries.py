@@ -33,7 +33,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # several a task, so that tasks are alike
     return fingerprints.edit_report(_table(spark, sf_dir, "documents"), buckets)
 
 

@@ -38,15 +38,15 @@ def groups():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("settings", [{}, {"DENSE": 2, "MAX_NAMED": 3}, {"DENSE": 4, "LEVELS": 1}])
-def test_components(spark, groups, monkeypatch, settings):
+@pytest.mark.parametrize("settings, how", [({}, (4, 85)), ({"DENSE": 2, "MAX_NAMED": 3}, (4, 85)), ({"DENSE": 4, "LEVELS": 1}, (3, 70))])
+def test_components(spark, groups, monkeypatch, settings, how):
     for name, value in settings.items():
         monkeypatch.setattr(ngram_join, name, value)
-    for how in (ngram_join.Similarity(4, 85), ngram_join.Similarity(3, 70)):
-        want = brute_components({k: grams(t, how.grams) for k, t in groups}, how.percent)
-        assert 3 < len(set(want.values())) < len(want)
-        got = ngram_join.similarity_components(table(spark, groups), how).collect()
-        assert {r.doc_id: r.component_id for r in got} == want
+    how = ngram_join.Similarity(*how)
+    want = brute_components({k: grams(t, how.grams) for k, t in groups}, how.percent)
+    assert 3 < len(set(want.values())) < len(want)
+    got = ngram_join.similarity_components(table(spark, groups), how).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
 
 
 def test_bands(spark, groups, monkeypatch):
@@ -55,8 +55,8 @@ def test_bands(spark, groups, monkeypatch):
     assert {r.doc_id: r.component_id for r in fingerprints.near_duplicates(table(spark, groups)).collect()} == want
 
 
-@pytest.mark.parametrize("changes", [4, 6])
-def test_pairs_grow_in_proportion(spark, monkeypatch, changes):
+@pytest.mark.parametrize("changes, sizes", [(4, (100, 200, 400)), (6, (200,))])
+def test_pairs_grow_in_proportion(spark, monkeypatch, changes, sizes):
     """Near copies under the threshold: all pairs would be 4950, 19900 and 79800. Beside true links, few pairs are made."""
     made, plain = [], ngram_join._same_bucket
 
@@ -67,7 +67,7 @@ def test_pairs_grow_in_proportion(spark, monkeypatch, changes):
 
     monkeypatch.setattr(ngram_join, "_same_bucket", counted)
     monkeypatch.setattr(ngram_join, "DENSE", 32)
-    for m in (100, 200, 400):
+    for m in sizes:
         made.clear()
         rows = list(enumerate(near_copies(m, m, 300, lambda r: changes)))
         sets = {k: grams(t, 4) for k, t in rows}

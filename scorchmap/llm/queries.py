@@ -37,6 +37,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_report(_table(spark, sf_dir, "documents"), buckets)
 
 
+def fingerprint_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op3_fingerprints that SQL can express."""
+    return op3_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 def near_duplicates_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The other half of fingerprints: bands of signatures, joined and verified."""
     return fingerprints.near_duplicates(_table(spark, sf_dir, "documents"), percent=80)
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "fingerprint_edits": fingerprint_edits,
     "near_duplicates_by_fingerprint": near_duplicates_by_fingerprint,
 }
 
@@ -137,11 +143,16 @@ item AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(item.n, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(word.n, 0) > 0 AND 20 * coalesce(word.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN item ON d.doc_id = item.doc_id"""
 
+_EDITS = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+e AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS n FROM d)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(substr(t, 1, length(t) - length(t) // 2) || substr(n, 1, length(t) // 2)) AS edited_sha256 FROM e"""
+
 #: The others rest on tokenizers, trained models or hash permutations, which SQL cannot express.
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _OP1,
     "op6_chat_formatting": _OP6,
     "op9_ngram_jaccard_join": _components_sql(4, 85),
     "op10_decontamination": _OP10,
+    "fingerprint_edits": _EDITS,
     "near_duplicates_by_fingerprint": _components_sql(5, 80),
 }

@@ -6,8 +6,8 @@ enough Jaccard similarity share an n-gram in their prefixes. Sets are joined on
 
 * the length filter: sizes must be close enough,
 * the positional filter: what comes after a shared n-gram in both sets bounds their overlap,
-* the suffix filter: PARITY bits tell for hash ranges whether a set has an odd number of n-grams there; ranges where two sets differ
-  bound their overlap,
+* the suffix filter: bits tell for hash ranges whether a set has an odd number of n-grams there; ranges where two sets differ bound
+  their overlap (with few ranges in the join, with more of them for its pairs),
 
 before their whole sets are intersected, once for each pair. Equal sets count as one from the start, so groups of copies cost one
 set.
@@ -45,8 +45,8 @@ from ..storage import materialize, release
 from .encoding import as_batch
 from .textops import by_bytes, give_back, hash_spans, lower_ascii, mix, ngram_hashes, signed, text_bytes, unsigned, word_spans
 
-#: Words of 64 bits of a set's parities; sets in a bucket that is turned into pairs; rounds by core and residual.
-PARITY, DENSE, LEVELS = 8, 128, 4
+#: Words of 64 bits of a set's parities, in the join of buckets and (WIDE) for its pairs; sets in a bucket that is turned into pairs; rounds by core and residual.
+PARITY, WIDE, DENSE, LEVELS = 8, 64, 128, 4
 #: Rows of a few numbers (and n-grams of cores) that are sent to all tasks at most; beyond, tables are joined by shuffling.
 MAX_NAMED = 1 << 18
 #: Most frequent n-grams and words that are broadcast; all others count as rare. It changes the speed, never the result.
@@ -162,9 +162,9 @@ def set_names(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
 
 
-def parities(s: np.ndarray) -> np.ndarray:
-    """For each of 64 * PARITY hash ranges, a bit for an odd number of n-grams of the set."""
-    n = np.bincount((s >> np.uint64(64 - (64 * PARITY).bit_length() + 1)).astype(np.int64), minlength=64 * PARITY)
+def parities(s: np.ndarray, size: int = PARITY) -> np.ndarray:
+    """For each of 64 * size hash ranges, a bit for an odd number of n-grams of the set."""
+    n = np.bincount((s >> np.uint64(64 - (64 * size).bit_length() + 1)).astype(np.int64), minlength=64 * size)
     return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
 
 
@@ -197,17 +197,17 @@ def _sent(rows: DataFrame) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, ids: DataFrame, grams: int, sent: Broadcast) -> DataFrame:
-    """id, low (names the set among those of the id), parity, grams (in the order of all n-grams) of the documents in ids(id)."""
-    schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("parity", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
+    """id, low (names the set among those of the id), parity, wide (a longer parity), grams (in the order of all n-grams) of the documents in ids(id)."""
+    schema = pa.schema([("id", pa.int64()), ("low", pa.int64()), ("parity", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64())), ("grams", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches):
             found = gram_sets(batch.column(1), grams, frequencies=sent.value)
             sets, ordered = [s for s, _ in found], [signed(s[np.argsort(place, kind="stable")]) for s, place in found]
-            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "grams": ordered}, schema)
+            yield as_batch({"id": batch.column(0), "low": signed(set_names(sets)), "parity": [parities(s) for s in sets], "wide": [parities(s, WIDE) for s in sets], "grams": ordered}, schema)
 
     some = docs.select("doc_id", "text").join(_sent(ids), F.col("doc_id") == F.col("id"), "left_semi")
-    return some.mapInArrow(run, "id long, low long, parity array<long>, grams array<long>")
+    return some.mapInArrow(run, "id long, low long, parity array<long>, wide array<long>, grams array<long>")
 
 
 #: A pair is made at the first of its shared n-grams, as far as the first HEADS that a set shares with any other tell.
@@ -320,7 +320,7 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     each set, two sets link where the sum of their margins is at most 2 * A times the number of n-grams that their residuals share.
     """
     more, less = 100 + how.percent, 100 - how.percent
-    members = materialize(sets.join(_sent(groups), ["id", "low"]), "members")
+    members = materialize(sets.drop("wide").join(_sent(groups), ["id", "low"]), "members")
     cores = _cores(members)
     few = (cores.agg(F.sum(F.size("core"))).first()[0] or 0) <= MAX_NAMED
     core = F.coalesce("core", F.array().cast("array<long>"))
@@ -375,6 +375,11 @@ def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similari
         groups = onward
     pairs = materialize(pairs.distinct(), "pairs")
     written.append(pairs)
+    # longer parities tell most pairs of long sets apart, so that few whole sets travel
+    for side in "ab":
+        pairs = pairs.join(sets.select(F.col("id").alias(side), F.col("wide").alias(f"{side}_parity"), F.size("grams").cast("long").alias(f"{side}_n")), side)
+    pairs = materialize(pairs.where(_by_parity(how)).select("a", "b").distinct(), "pairs")
+    written.append(pairs)
     both = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = sets.join(_sent(both), "id", "left_semi")  # others have been seen in groups only
     for side in "ab":

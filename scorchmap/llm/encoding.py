@@ -5,10 +5,11 @@ the ids of its units in a row. Long texts are cut at the same safe boundaries, w
 
 * ``lead``: for byte-level tokenizers that glue a space to the word after it: white space and the word that follows.
   A cut is made before ASCII white space only, and never after a non-ASCII white space character, with which it forms one run.
+* ``space``: for tokenizers of which no token has a space after another character: spaces and what follows them up to the next one.
 * ``drop``: for tokenizers that drop white space: the words between ASCII white space; those that also fold case get
   ASCII letters folded beforehand.
 
-Both pre-tokenizers part letters from what follows them, so a cut is also made between an ASCII letter and an ASCII
+The pre-tokenizers of ``lead`` and ``drop`` part letters from what follows them, so a cut is also made between an ASCII letter and an ASCII
 character that is no letter; the bar is left out, as it ends the letters of special strings.
 """
 
@@ -56,6 +57,13 @@ def _after_wide_space(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def units(buf: np.ndarray, at: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of the units, and each document's first unit (one more entry at the end)."""
+    if kind == "space":
+        first = np.zeros(len(buf) + 1, bool)
+        first[1:-1] = (buf[1:] == 0x20) & (buf[:-1] != 0x20)
+        first[at] = True
+        first[-1] = False
+        starts = np.flatnonzero(first)
+        return starts, np.append(starts[1:], len(buf)) if len(starts) else starts, np.searchsorted(starts, at)
     parted = np.flatnonzero(_LETTER[buf[:-1]] & _PARTED[buf[1:]]) + 1
     if kind == "drop":
         starts, ends, _ = word_spans(buf, at)
@@ -84,14 +92,15 @@ def _texts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
 
 
 class UnitEncoder:
-    """Encodes with the tokenizers library; special strings inside texts are handled as is its default."""
+    """Encodes with the tokenizers library; special strings inside texts are handled as is its default, or are plain text if literal."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, literal: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = literal
         self.kind = kind
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = None if any(_PLAIN[kind].search(t) and "|" not in t for t in added) else _PLAIN[kind]
@@ -115,8 +124,8 @@ class UnitEncoder:
                 rest.append(k)
         for i in range(0, len(rest), _ENCODE_AT_ONCE):
             some = rest[i : i + _ENCODE_AT_ONCE]
-            for k, e in zip(some, self.tokenizer.encode_batch_fast([texts[k] for k in some], add_special_tokens=False), strict=True):
-                each[k] = e.ids
+            for k, ids in zip(some, self._library([texts[k] for k in some]), strict=True):
+                each[k] = ids
         lengths = np.fromiter(map(len, each), np.int32, len(each))
         new = np.fromiter((x for ids in each for x in ids), np.uint32, int(lengths.sum()))
         begin = self._append(new)
@@ -125,6 +134,9 @@ class UnitEncoder:
         self.starts = np.insert(self.starts, place, begin + np.cumsum(lengths, dtype=np.int64) - lengths)
         self.lengths = np.insert(self.lengths, place, lengths)
 
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _one(self, letters: str) -> list[int]:
         if self.kind == "drop":
             letters = unicodedata.normalize("NFC", letters).lower()
@@ -154,7 +166,7 @@ class UnitEncoder:
         place = place[back]
         at, lengths = self.starts[place], self.lengths[place].astype(np.int64)
         for k in np.flatnonzero(self.seconds[place] != checks).tolist():
-            ids = self.tokenizer.encode(*_texts(buf, starts[[k]], ends[[k]]), add_special_tokens=False).ids
+            ids = self._library(_texts(buf, starts[[k]], ends[[k]]))[0]
             at[k], lengths[k] = self._append(np.array(ids, np.uint32)), len(ids)
         return at, lengths
 
@@ -185,6 +197,25 @@ class UnitEncoder:
         return self.ids[ranges(at, lengths)], total[first]
 
 
+class PieceEncoder(UnitEncoder):
+    """Encodes texts that have a space in front with the sentencepiece library, which puts one there itself."""
+
+    def __init__(self, path: str):
+        from sentencepiece import SentencePieceProcessor
+
+        self.processor = SentencePieceProcessor(model_file=path)
+        pieces = map(self.processor.id_to_piece, range(self.processor.vocab_size()))
+        if any(re.search("[^\u2581]\u2581", p) for p in pieces):
+            raise ValueError(f"{path}: a piece goes on after a space, so that texts have no units")
+        self.kind, self.plain = "space", None
+        self._forget()
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        # nothing is put in front of an empty text: a single space at the end of a text stands for itself
+        alone = [self.processor.piece_to_id("\u2581")]
+        return [ids if ids else alone for ids in self.processor.encode([t[1:] for t in texts], num_threads=1)]
+
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
 
 

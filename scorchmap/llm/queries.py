@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import brown_lm, chat, decontaminate, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
+from . import align, brown_lm, chat, decontaminate, fill_in_middle, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -86,6 +86,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align.align(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"), fill_in_middle.Options(seed=1, percent=90, spm_percent=20))
+    digest = {"output_sha256": F.sha2(F.col("output").cast("binary"), 256), "restored_sha256": F.sha2(fill_in_middle.restore().cast("binary"), 256)}
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(c.alias(n) for n, c in digest.items()))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "fingerprint_edits": fingerprint_edits,
     "near_duplicates_by_fingerprint": near_duplicates_by_fingerprint,
 }
@@ -147,12 +161,21 @@ _EDITS = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 e AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS n FROM d)
 SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(substr(t, 1, length(t) - length(t) // 2) || substr(n, 1, length(t) // 2)) AS edited_sha256 FROM e"""
 
+_H = [f"CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)" for k in range(4)]
+_OP13 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (SELECT *, least({_H[0]} % (len(w) + 1), {_H[1]} % (len(w) + 1)) AS low, greatest({_H[0]} % (len(w) + 1), {_H[1]} % (len(w) + 1)) AS high,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {_H[2]} % 100 >= 90 THEN 'plain' WHEN {_H[3]} % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT doc_id, t, len(w) AS n, form, array_to_string(w[1:low], '') AS a, array_to_string(w[low + 1:high], '') AS b, array_to_string(w[high + 1:], '') AS z FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(a) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(b) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
 #: The others rest on tokenizers, trained models or hash permutations, which SQL cannot express.
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": _OP1,
     "op6_chat_formatting": _OP6,
     "op9_ngram_jaccard_join": _components_sql(4, 85),
     "op10_decontamination": _OP10,
+    "op13_fill_in_middle": _OP13,
     "fingerprint_edits": _EDITS,
     "near_duplicates_by_fingerprint": _components_sql(5, 80),
 }

@@ -190,6 +190,6 @@ def near_duplicates(docs: DataFrame, percent: int = 80, bands: int = 32) -> Data
     sets = materialize(prefixes(docs, how, sent).drop("prefix").withColumn("row", F.monotonically_increasing_id()), "sets")
     named, ones = named_sets(sets)
     # a band says nothing of places in a set: positions that every filter lets pass
-    keys = docs.mapInArrow(run, "id long, low long, token array<long>").dropDuplicates(["id", "low"]).join(ones.select("id", "low", "n"), ["id", "low"])
-    tokens = keys.select("id", "low", "n", F.lit(0).alias("pos"), F.explode("token").alias("token"))
+    keys = docs.mapInArrow(run, "id long, low long, token array<long>").dropDuplicates(["id", "low"]).join(ones.select("row", "id", "low", "n"), ["id", "low"])
+    tokens = keys.select("row", "n", F.lit(0).alias("pos"), F.explode("token").alias("token"))
     return with_components(sets, named, link_sets(tokens, docs, ones, how, sent)).select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -31,7 +31,7 @@ no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -215,14 +215,14 @@ HEADS = 4
 
 
 def bucketed(tokens: DataFrame, how: Similarity) -> DataFrame:
-    """id, n, low and found: (pos, token, c) of the n-grams of a set's prefix that c > 1 sets have, in order.
+    """row, n and found: (pos, token, c) of the n-grams of a set's prefix that c > 1 sets have, in order.
 
-    tokens: id, n, low, pos, token.
+    tokens: row (names the set), n, pos, token.
     """
     shared = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1")
     # a set that is too far from the shortest one of its bucket is too far from all
     rows = tokens.join(shared, "token").where(F.col("n") - F.col("pos") >= how.overlap("n", "least"))
-    return rows.groupBy("id", "n", "low").agg(F.sort_array(F.collect_list(F.struct("pos", "token", F.col("c").cast("int").alias("c")))).alias("found"))  # bounded by the set
+    return rows.groupBy("row", "n").agg(F.sort_array(F.collect_list(F.struct("pos", "token", F.col("c").cast("int").alias("c")))).alias("found"))  # bounded by the set
 
 
 def _heads(found: str = "found"):
@@ -249,12 +249,14 @@ def _by_parity(how: Similarity):
     return (100 + how.percent) * apart <= (100 - how.percent) * (F.col("a_n") + F.col("b_n"))
 
 
-def first_pairs(found: DataFrame, how: Similarity) -> DataFrame:
-    """a, b: likely pairs from buckets of at most DENSE sets. found: see bucketed(), and parity."""
-    rows = found.select("id", "n", "parity", _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
-    rows = rows.where(F.col("x.c") <= DENSE).select("id", "n", "parity", "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
+def first_pairs(found: DataFrame, how: Similarity, by_parity: bool = True) -> DataFrame:
+    """a, b: likely pairs from buckets of at most DENSE sets. found: see bucketed(), with id, and with parity if pairs are told apart by it."""
+    own = ["id", "n", *(["parity"] if by_parity else [])]
+    rows = found.select(*own, _heads().alias("heads"), F.posexplode("found").alias("before", "x"))
+    rows = rows.where(F.col("x.c") <= DENSE).select(*own, "heads", "before", F.col("x.pos").alias("pos"), F.col("x.token").alias("token"))
     rest = F.least(F.col("a_n") - F.col("a_pos"), F.col("b_n") - F.col("b_pos"))
-    pairs = _same_bucket(rows, ["token"], how.alike_in_size("a_n", "b_n") & (rest >= how.overlap("a_n", "b_n")) & _by_parity(how))
+    fit = how.alike_in_size("a_n", "b_n") & (rest >= how.overlap("a_n", "b_n"))
+    pairs = _same_bucket(rows, ["token"], fit & _by_parity(how) if by_parity else fit)
     return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
@@ -354,10 +356,15 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     return links, pairs, onward
 
 
-def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity, sent: Broadcast) -> DataFrame:
-    """Links (a, b) of sets. tokens: see bucketed(); docs: the texts of their ids; ones: id, low, parity."""
-    found = materialize(bucketed(tokens, how), "buckets")
-    pairs = materialize(first_pairs(found.join(ones.select("id", "low", "parity"), ["id", "low"]), how), "pairs")
+def link_sets(tokens: DataFrame, docs: DataFrame, ones: DataFrame, how: Similarity, sent: Broadcast, prune: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Links (a, b) of sets. tokens: see bucketed(); docs: the texts of their ids; ones: row, id, low, parity.
+
+    prune: takes the pairs of buckets (a, b) and leaves the likely ones; without it, they are told apart by parity.
+    """
+    names = ones.select("row", "id", "low", *(["parity"] if prune is None else []))
+    found = materialize(bucketed(tokens, how).join(names, "row").drop("row"), "buckets")
+    pairs = first_pairs(found, how, prune is None)
+    pairs = materialize(pairs if prune is None else prune(pairs), "pairs")
     groups = _groups(found, [])
     ids = materialize(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(groups.select("id")).distinct(), "ids")
     sets = materialize(whole_sets(docs, ids, how.grams, sent), "whole")
@@ -405,7 +412,7 @@ def similarity_components(docs: DataFrame, how: Similarity = Similarity()) -> Da
     sent = sent_frequencies(docs, how)
     sets = materialize(prefixes(docs, how, sent).withColumn("row", F.monotonically_increasing_id()), "sets")
     named, ones = named_sets(sets)
-    tokens = ones.select("id", "low", "n", F.posexplode("prefix").alias("pos", "token"))
+    tokens = ones.select("row", "n", F.posexplode("prefix").alias("pos", "token"))
     links = link_sets(tokens, docs, ones, how, sent)
     return with_components(sets, named, links).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import new_path
-from . import align, brown_lm, chat, decontaminate, fill_in_middle, fingerprints, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
+from . import align, brown_lm, chat, decontaminate, fill_in_middle, fingerprints, minhash_dedup, ngram_join, packing, substring_dedup, token_counts, token_files, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -86,6 +86,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), "contaminated")
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), ngram_join.Similarity(grams=2, percent=80))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align.align(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_minhash_dedup": op11_minhash_dedup,
     "op12_tokenizer_alignment": op12_tokenizer_alignment,
     "op13_fill_in_middle": op13_fill_in_middle,
     "fingerprint_edits": fingerprint_edits,
@@ -175,6 +180,7 @@ ORACLES: dict[str, str] = {
     "op6_chat_formatting": _OP6,
     "op9_ngram_jaccard_join": _components_sql(4, 85),
     "op10_decontamination": _OP10,
+    "op11_minhash_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_components_sql(2, 80)}) c",
     "op13_fill_in_middle": _OP13,
     "fingerprint_edits": _EDITS,
     "near_duplicates_by_fingerprint": _components_sql(5, 80),

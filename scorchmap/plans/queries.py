@@ -14,8 +14,8 @@ from ..functions.scenes import date_parts, scene_id_parts, season
 from ..operators import annual, features, placing, regions, screening, temporal, trees
 from ..settings import BANDS, FILL, INDICES, MEASURES, PIXEL, SEASONS, RegionOptions
 from ..sources.metadata import EXTENT, STACK, mtl_values, read_extent, read_scene_xml, read_stack, read_training, write_extent, write_stack
-from ..sources.rasters import read_envi, write_envi, write_products
-from ..storage import materialize, new_path
+from ..sources.rasters import read_envi, read_spots, write_envi, write_products
+from ..storage import materialize, new_path, release
 from . import pipeline, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -529,15 +529,40 @@ def _bbox(scenes: DataFrame) -> DataFrame:
     return annual.grid_bbox(common.withColumns(size))
 
 
-@registered(f"""{_B}, s AS (SELECT DISTINCT scene FROM burn_prob), yy AS (SELECT unnest(generate_series(0, (SELECT max(y) FROM burn_prob))) AS y), xx AS (SELECT unnest(generate_series(0, 49)) AS x)
-SELECT 'prob_' || CAST(s.scene AS STRING) AS name, CAST(yy.y AS INT) AS y, CAST(xx.x AS INT) AS x, CAST(coalesce(burn_prob, -9999) AS SMALLINT) AS value FROM s CROSS JOIN yy CROSS JOIN xx LEFT JOIN burn_prob b ON b.scene = s.scene AND b.y = yy.y AND b.x = xx.x""")
-def envi_round_trip(spark: SparkSession, d: str) -> DataFrame:
+_RASTERS = f"""{_B}, s AS (SELECT DISTINCT scene FROM burn_prob), yy AS (SELECT unnest(generate_series(0, (SELECT max(y) FROM burn_prob))) AS y), xx AS (SELECT unnest(generate_series(0, 49)) AS x),
+rasters AS (SELECT 'prob_' || CAST(s.scene AS STRING) AS name, CAST(yy.y AS INT) AS y, CAST(xx.x AS INT) AS x, CAST(coalesce(burn_prob, -9999) AS SMALLINT) AS value FROM s CROSS JOIN yy CROSS JOIN xx LEFT JOIN burn_prob b ON b.scene = s.scene AND b.y = yy.y AND b.x = xx.x)"""
+
+
+def _rasters(spark: SparkSession, d: str) -> tuple[str, int]:
+    """A folder with a raster of probabilities for each half year, and their lines."""
     prob = materialize(_burn_prob(spark, d), "burn-prob")
     lines = prob.agg(F.max("y") + 1).first()[0] or 0
     folder = new_path(spark, "envi")
     named = prob.select(F.concat(F.lit("prob_"), F.col("scene").cast("string")).alias("name"), "y", "x", F.col("burn_prob").cast("short").alias("value"))
-    write_envi(named, folder, lines, 50).agg(F.sum("n_pixels")).collect()
-    return read_envi(spark, folder)
+    write_envi(named, folder, lines, 50)
+    release(prob)
+    return folder, lines
+
+
+@registered(_RASTERS + " SELECT * FROM rasters")
+def envi_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    return read_envi(spark, _rasters(spark, d)[0])
+
+
+@registered(_RASTERS + " SELECT * FROM rasters WHERE y IN (1, 2) AND x >= 10 AND x < 20")
+def envi_slice(spark: SparkSession, d: str) -> DataFrame:
+    """Two lines of all rasters, of which no other bytes are read."""
+    return read_envi(spark, _rasters(spark, d)[0]).where("y IN (1, 2) AND x >= 10 AND x < 20")
+
+
+@registered(_RASTERS + f", {views.POINTS}, spot AS (SELECT point_id, px, py, CAST(trunc((px - 300000.0) / 30.0) AS INT) AS x, CAST(trunc((py - 4500000.0) / -30.0) AS INT) AS y FROM points) SELECT point_id, name, value FROM spot JOIN rasters USING (y, x) WHERE px > 300000 AND py < 4500000")
+def envi_point_stack(spark: SparkSession, d: str) -> DataFrame:
+    """The pixel of each point in each raster that holds it, read at its place."""
+    folder, lines = _rasters(spark, d)
+    bounds = {"west": 300_000.0, "north": 4_500_000.0, "east": 301_500.0, "south": 4_500_000.0 - 30 * lines, "dx": 30.0, "dy": 30.0}
+    rasters = _burn_prob(spark, d).select(F.concat(F.lit("prob_"), F.col("scene").cast("string")).alias("name")).distinct()
+    found = placing.scenes_at(views.view(spark, d, views.POINTS, "points"), rasters.withColumns({k: F.lit(v) for k, v in bounds.items()}))
+    return read_spots(found.select("point_id", "name", "y", "x"), folder).select("point_id", "name", "value")
 
 
 def _pipe(code: str, scene: str) -> str:

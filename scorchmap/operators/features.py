@@ -14,13 +14,14 @@ DELTAS = tuple(f"d{i}" for i in INDICES)
 FEATURES = (*BANDS, *INDICES, *SEASONAL, *MAXIMA, *DELTAS)
 
 
-def previous_year(looks: DataFrame, wide: DataFrame, maxima: DataFrame, check_years: bool = True) -> DataFrame:
+def previous_year(looks: DataFrame, wide: DataFrame, maxima: DataFrame, check_years: bool = True, seen: DataFrame | None = None) -> DataFrame:
     """Joins the seasonal means and maxima of the year before; what is missing is fill, and no look is dropped.
 
-    With check_years, a look whose previous year has no maxima at all in its stack is an error.
+    With check_years, a look whose previous year has no maxima at all in its stack is an error. seen: path, row, year of the looks that
+    maxima are made of, where that is cheaper to list than the maxima.
     """
     if check_years:
-        have = maxima.select("path", "row", (F.col("year") + 1).alias("year")).distinct()
+        have = (maxima if seen is None else seen).select("path", "row", (F.col("year") + 1).alias("year")).distinct()
         if looks.select("path", "row", "year").distinct().join(have, ["path", "row", "year"], "left_anti").limit(1).count():
             raise ValueError("scenes of a year without annual maxima in the year before")
     keys = [*pixel_keys(looks.columns), "year"]

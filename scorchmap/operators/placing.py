@@ -9,13 +9,31 @@ from ..functions.grid import map_to_pixel
 from .screening import _small
 
 
-def align(looks: DataFrame, grids: DataFrame, common: DataFrame) -> DataFrame:
-    """Moves scene-local y, x to the common grid of the stack; grids share pixel size and phase, so nothing is resampled.
+#: Parts of a pixel by which grids may be apart and still count as in phase.
+PHASE = 1e-6
 
-    grids: scene_id, west, north, dx, dy (positive); common: path, row, west, north.
+
+def align(looks: DataFrame, grids: DataFrame, common: DataFrame, resample: str | None = None) -> DataFrame:
+    """Moves scene-local y, x to the common grid of the stack.
+
+    grids: scene_id, path, row, west, north, dx, dy (positive); common: path, row, west, north (of grids that share the pixel size).
+    Without resample, grids must share their phase: looks then only move by whole pixels, and a scene out of phase is an error. With
+    resample="nearest" each pixel of the common grid takes the look of its scene's pixel that its centre lies in; a centre on an edge
+    between two pixels lies in the one to the east, or south.
     """
+    if resample not in (None, "nearest"):
+        raise ValueError(f"resample is None or nearest, not {resample}")
     shift = grids.join(common.select("path", "row", F.col("west").alias("_w"), F.col("north").alias("_n")), ["path", "row"])
-    shift = shift.select("scene_id", F.round((F.col("_n") - F.col("north")) / F.col("dy")).cast("int").alias("_dy"), F.round((F.col("west") - F.col("_w")) / F.col("dx")).cast("int").alias("_dx"))
+    down, right = (F.col("_n") - F.col("north")) / F.col("dy"), (F.col("west") - F.col("_w")) / F.col("dx")
+    if resample is None:
+        apart = shift.where(F.greatest(F.abs(down - F.round(down)), F.abs(right - F.round(right))) > PHASE).limit(1).collect()
+        if apart:
+            raise ValueError(f"{apart[0].scene_id} is out of phase with the grid of its stack: resample it")
+        moves = (F.round(down), F.round(right))
+    else:
+        # the pixel of the common grid whose centre is in pixel p of the scene: p <= c + 1/2 - shift < p + 1; shifts within PHASE are whole
+        moves = tuple(F.when(F.abs(v - F.round(v)) <= PHASE, F.round(v)).otherwise(F.ceil(v - 0.5)) for v in (down, right))
+    shift = shift.select("scene_id", *(m.cast("int").alias(n) for m, n in zip(moves, ("_dy", "_dx"), strict=True)))
     joined = looks.join(F.broadcast(shift) if _small(shift) else shift, "scene_id")
     return joined.withColumns({"y": F.col("y") + F.col("_dy"), "x": F.col("x") + F.col("_dx")}).drop("_dy", "_dx")
 
@@ -44,6 +62,8 @@ def points_in(points: DataFrame, scenes: DataFrame, cell: float = 6000.0) -> Dat
 def point_stack(points: DataFrame, scenes: DataFrame, looks: DataFrame, columns: list[str]) -> DataFrame:
     """point_id, scene_id and the columns of the look that each point has in each scene that holds it."""
     found = scenes_at(points, scenes).select("point_id", "scene_id", "y", "x")
+    if _small(found):
+        found = F.broadcast(found)  # few points: looks stay where they are
     return found.join(looks.select("scene_id", "y", "x", *columns), ["scene_id", "y", "x"])
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.indices import stored_index
 from ..functions.scenes import season, season_year
 from ..settings import FILL, INDICES, MEASURES, PIXEL, SEASONS, pixel_keys
-from .screening import within_years
+from .screening import _small, within_years
 
 
 def with_indices(obs: DataFrame) -> DataFrame:
@@ -30,9 +30,17 @@ def seasonal_means(looks: DataFrame, years: tuple[int, int] | DataFrame) -> Data
     return rows.groupBy(*keys, "season_year", "season").agg(F.least(F.count_if(good), F.lit(255)).cast("int").alias("good_looks"), *means)
 
 
-def seasonal_dense(seasonal: DataFrame, pixels: DataFrame, years: tuple[int, int]) -> DataFrame:
-    """The same for all pixels (path, row, y, x) in all seasons of all years: 0 good looks and fill where there is nothing."""
-    grid = pixels.select(*PIXEL, F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("season_year"))
+def seasonal_dense(seasonal: DataFrame, pixels: DataFrame, years: tuple[int, int] | DataFrame) -> DataFrame:
+    """The same for all pixels (path, row, y, x) in all seasons of all years: 0 good looks and fill where there is nothing.
+
+    years: as seasonal_means() takes them; those of a stack begin a year before its first one.
+    """
+    if isinstance(years, tuple):
+        grid = pixels.select(*PIXEL, F.explode(F.sequence(F.lit(years[0]), F.lit(years[1]))).alias("season_year"))
+    else:
+        span = years.select("path", "row", F.sequence(F.col("first") - 1, F.greatest(F.col("first") - 1, "last")).alias("_years"))
+        grid = pixels.select(*PIXEL).join(F.broadcast(span) if _small(span) else span, ["path", "row"])
+        grid = grid.select(*PIXEL, F.explode("_years").alias("season_year"))
     grid = grid.withColumn("season", F.explode(F.array(*map(F.lit, SEASONS))))
     joined = grid.join(seasonal, [*PIXEL, "season_year", "season"], "left")
     return joined.select(*PIXEL, "season_year", "season", F.coalesce("good_looks", F.lit(0)).alias("good_looks"), *(F.coalesce(m, F.lit(FILL).cast("short")).alias(m) for m in MEASURES))

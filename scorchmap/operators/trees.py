@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -79,10 +80,11 @@ def tree_probability(ensemble: Ensemble, wanted: int = 1) -> Column:
             sums.append(total)
         if len(sums) == 1:
             return sums[0]
-        total = F.exp(sums[0])
+        most = F.greatest(*sums)  # subtracted, so that no sum is too great for exp
+        total = F.exp(sums[0] - most)
         for s in sums[1:]:
-            total = total + F.exp(s)
-        return F.exp(sums[wanted]) / total
+            total = total + F.exp(s - most)
+        return F.exp(sums[wanted] - most) / total
 
     @F.pandas_udf("double")
     def score(x: pd.DataFrame) -> pd.Series:
@@ -98,6 +100,137 @@ def tree_probability(ensemble: Ensemble, wanted: int = 1) -> Column:
     return score(F.struct(*ensemble.feature_names))
 
 
+#: Nodes (40 bytes each) of a forest that is sent to all tasks; more are scored in several passes, each with the models that fit.
+MAX_NODES = 1 << 21
+#: Rows times trees that are walked at once.
+_WALKED = 1 << 20
+
+
+@dataclass
+class Forest:
+    """The trees of several models, in flat arrays. roots, classes and settings (base, shrinkage) are by model; feature is -1 in leaves."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    roots: dict[str, np.ndarray]
+    classes: dict[str, np.ndarray]
+    settings: dict[str, tuple[float, float]]
+
+    def probability(self, model: str, x: np.ndarray, wanted: int) -> np.ndarray:
+        """Of rows of features; a model that is not there gives NaN, an unknown class 0."""
+        if model not in self.roots:
+            return np.full(len(x), np.nan)
+        roots, of, (base, shrinkage) = self.roots[model], self.classes[model], self.settings[model]
+        k = int(of.max()) + 1
+        if wanted >= max(2, k):
+            return np.zeros(len(x))
+        member = (of[:, None] == np.arange(k)).astype(float)
+        out, step = np.zeros(len(x)), max(1, _WALKED // len(roots))
+        for a in range(0, len(x), step):
+            part = x[a : a + step]
+            sums = base + shrinkage * (self._leaves(roots, part) @ member)
+            if k == 1:
+                out[a : a + step] = sums[:, 0]
+            else:
+                e = np.exp(sums - sums.max(axis=1, keepdims=True))
+                out[a : a + step] = e[:, wanted] / e.sum(axis=1)
+        return out
+
+    def _leaves(self, roots: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """The value of the leaf of each row (first axis) in each tree; all trees go down a level at a time."""
+        at = np.tile(roots, (len(x), 1)).ravel()
+        row = np.repeat(np.arange(len(x)), len(roots))
+        going = np.flatnonzero(self.feature[at] >= 0)
+        while len(going):
+            n = at[going]
+            at[going] = np.where(x[row[going], self.feature[n]] <= self.threshold[n], self.left[n], self.right[n])
+            going = going[self.feature[at[going]] >= 0]
+        return self.value[at].reshape(len(x), len(roots))
+
+
+def load_forest(nodes: DataFrame, settings: DataFrame) -> Forest:
+    """nodes: model, class, tree, node (0: the root), feature (its place in the vector, null in leaves), threshold, left, right, value.
+    settings: model, base, shrinkage. Both are read whole: give those of few enough models, see forest_passes().
+    """
+    columns = ["model", "class", "tree", "node", "feature", "threshold", "left", "right", "value"]
+    t = nodes.select(*columns).orderBy("model", "class", "tree", "node").toArrow()
+    model, kind, tree, node, left, right = (t.column(c).to_numpy() for c in ("model", "class", "tree", "node", "left", "right"))
+    first = np.ones(len(node), bool)
+    first[1:] = (model[1:] != model[:-1]) | (kind[1:] != kind[:-1]) | (tree[1:] != tree[:-1])
+    first = np.flatnonzero(first)
+    size = np.diff(np.append(first, len(node)))
+    root = np.repeat(first, size)
+    if (node != np.arange(len(node)) - root).any():
+        raise ValueError("the nodes of each tree must be 0, 1, ..")
+    feature = t.column("feature").fill_null(-1).to_numpy().astype(np.int64)
+    inner = feature >= 0
+    if ((left < 0) | (right < 0) | (np.maximum(left, right) >= np.repeat(size, size)))[inner].any():
+        raise ValueError("a node has a child that is not in its tree")
+    given = {r.model: (r.base, r.shrinkage) for r in settings.collect()}
+    roots, classes = {}, {}
+    for m in dict.fromkeys(model[first].tolist()):
+        own = first[model[first] == m]
+        roots[m], classes[m] = own, kind[own].astype(np.int64)
+    if roots.keys() - given.keys():
+        raise ValueError(f"no base and shrinkage for {sorted(roots.keys() - given.keys())}")
+    fill = lambda c: t.column(c).fill_null(0.0).to_numpy().astype(float)
+    return Forest(feature, fill("threshold"), root + left.astype(np.int64), root + right.astype(np.int64), fill("value"), roots, classes, given)
+
+
+def forest_passes(nodes: DataFrame) -> list[list[str]]:
+    """Models in groups of at most MAX_NODES nodes each (a model of more is a group of its own)."""
+    sizes = sorted((r["model"], r["count"]) for r in nodes.groupBy("model").count().collect())  # a row for each model
+    out: list[list[str]] = []
+    room = 0
+    for model, n in sizes:
+        if n > room or not out:
+            out.append([])
+            room = MAX_NODES
+        out[-1].append(model)
+        room -= n
+    return out
+
+
+def _scorer(sent: Broadcast, wanted: int):
+    @F.pandas_udf("double")
+    def score(model: pd.Series, x: pd.DataFrame) -> pd.Series:
+        data, value = x.to_numpy(float), np.full(len(model), np.nan)
+        for m, place in model.groupby(model).indices.items():
+            value[place] = sent.value.probability(m, data[place], wanted)
+        return pd.Series(value)
+
+    return score
+
+
+def score_forest(rows: DataFrame, nodes: DataFrame, settings: DataFrame, feature_names: tuple[str, ...] = FEATURES, wanted: int = 1, name: str = "probability") -> DataFrame:
+    """Adds the probability of a class by the model that each row names in a column model; without such a model it is null.
+
+    All models whose nodes fit into a broadcast are scored in one pass over the rows.
+    """
+    passes = forest_passes(nodes)
+    out = None
+    for models in passes:
+        some = F.col("model").isin(*models)
+        forest = load_forest(nodes.where(some), settings.where(some))
+        score = _scorer(rows.sparkSession.sparkContext.broadcast(forest), wanted)
+        # the last pass takes rows without any of the models too
+        part = rows if len(passes) == 1 else rows.where(F.coalesce(some, F.lit(False)) if models is not passes[-1] else ~F.coalesce(F.col("model").isin(*(m for p in passes[:-1] for m in p)), F.lit(False)))
+        scored = part.withColumn(name, F.nanvl(score("model", F.struct(*feature_names)), F.lit(None).cast("double")))
+        out = scored if out is None else out.unionByName(scored)
+    return rows.withColumn(name, F.lit(None).cast("double")) if out is None else out
+
+
+def ensemble_rows(model: str, ensemble: Ensemble) -> list[tuple]:
+    """An ensemble as rows of a table of nodes, see load_forest()."""
+    return [(model, *n) for n in ensemble.nodes]
+
+
+NODES = "model string, class int, tree int, node int, feature int, threshold double, left int, right int, value double"
+
+
 @dataclass(frozen=True)
 class TrainingOptions:
     tree_count: int

@@ -54,7 +54,9 @@ def _years(looks: DataFrame) -> tuple[int, int]:
 
 
 def _featured(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.featured_looks(materialize(_looks(spark, d), "looks"))
+    """Featured looks, dealt by tile once for all aggregations and joins."""
+    pipeline.keep_in_place(spark)
+    return pipeline.featured_looks(materialize(_looks(spark, d), "looks"), tile_side=16)
 
 
 def _burn_prob(spark: SparkSession, d: str) -> DataFrame:
@@ -222,6 +224,15 @@ def align_grid(spark: SparkSession, d: str) -> DataFrame:
     return placing.align(_obs(spark, d), grids, common).select("scene_id", "y", "x", "b4")
 
 
+@registered(f"""WITH {views.OBS}, {views.PHASES}, near AS (SELECT g.scene_id, g.west, g.north, w, n FROM grids g CROSS JOIN (SELECT min(west) AS w, max(north) AS n FROM grids) c)
+SELECT obs.scene_id, CAST(y + ceil((n - north) / 30.0 - 0.5) AS INT) AS y, CAST(x + ceil((west - w) / 30.0 - 0.5) AS INT) AS x, b4 FROM obs JOIN near ON obs.scene_id = near.scene_id""")
+def align_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes out of phase on the common grid: the nearest pixel."""
+    grids = views.view(spark, d, f"{views.OBS}, {views.PHASES}", "grids")
+    common = grids.groupBy("path", "row").agg(F.min("west").alias("west"), F.max("north").alias("north"))
+    return placing.align(_obs(spark, d), grids, common, resample="nearest").select("scene_id", "y", "x", "b4")
+
+
 def _scene_bounds(spark: SparkSession, d: str) -> DataFrame:
     """The different bounds of all scenes, with the number, the sum and the least and greatest id of the scenes that have them."""
     s = _scenes(spark, d).select("o", F.col("ul_x").alias("west"), F.col("ul_y").alias("north"), (F.col("ul_x") + F.col("ncol") * F.col("dx")).alias("east"), (F.col("ul_y") - F.col("nrow") * F.col("dy")).alias("south"), "dx", "dy")
@@ -253,9 +264,10 @@ _LINES = "(SELECT max(y) + 1 AS h FROM obs)"
 @registered(f"""WITH {views.OBS_QA}, {views.GRIDS}, {views.POINTS} SELECT point_id, o.scene_id, o.b3, o.b4, o.qa FROM points p JOIN grids g ON px > west AND px < west + 1500 AND py < north AND py > north - 30 * {_LINES}
 JOIN obs_qa o ON o.scene_id = g.scene_id AND o.x = CAST(trunc((px - west) / 30) AS INT) AND o.y = CAST(trunc((py - north) / -30) AS INT)""")
 def point_stack(spark: SparkSession, d: str) -> DataFrame:
-    looks = _looks(spark, d)
+    looks = materialize(_looks(spark, d).select("scene_id", "path", "row", "y", "x", "b3", "b4", "qa"), "looks")
     lines = looks.agg(F.max("y") + 1).first()[0] or 0
-    grids = views.view(spark, d, f"{views.OBS}, {views.GRIDS}", "grids").withColumns({"east": F.col("west") + 1500, "south": F.col("north") - 30.0 * lines})
+    looks.createOrReplaceTempView("obs")
+    grids = spark.sql(f"WITH {views.GRIDS} SELECT * FROM grids").withColumns({"east": F.col("west") + 1500, "south": F.col("north") - 30.0 * lines})
     return placing.point_stack(views.view(spark, d, views.POINTS, "points"), grids, looks, ["b3", "b4", "qa"]).drop("y", "x")
 
 
@@ -301,6 +313,20 @@ def seasonal_dense(spark: SparkSession, d: str) -> DataFrame:
     return temporal.seasonal_dense(temporal.seasonal_means(looks, years), pixels, years)
 
 
+_STACK_GRID = _GRID.replace("FROM (SELECT DISTINCT path, row FROM looks) p CROSS JOIN", "FROM (SELECT path, row, unnest(generate_series(y0, y1)) AS season_year FROM years) s CROSS JOIN").replace(" CROSS JOIN (SELECT unnest(generate_series((SELECT y0 FROM years), (SELECT y1 FROM years))) AS season_year) s", "")
+
+
+@registered(views.two_stacks(f"WITH {_SEASONAL}, grid AS ({_STACK_GRID}) SELECT grid.*, coalesce(good_looks, 0) AS good_looks, " + ", ".join(f"coalesce({m}, CAST(-9999 AS SMALLINT)) AS {m}" for m in MEASURES) + " FROM grid LEFT JOIN seasonal USING (path, row, y, x, season_year, season)"))
+def seasonal_dense_two_stacks(spark: SparkSession, d: str) -> DataFrame:
+    """Dense seasons of two stacks, each in its own years."""
+    looks = temporal.with_indices(views.view(spark, d, views.two_stacks(views.OBS), "obs").withColumn("qa", qa_code()))
+    size = looks.agg(F.min("y").alias("y0"), F.max("y").alias("y1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
+    stacks = looks.groupBy("path", "row").agg(F.min("year").alias("first"), F.max("year").alias("last")).withColumn("first", F.col("first") + 1)
+    lines = size.select("x0", "x1", F.explode(F.sequence("y0", "y1")).alias("y"))
+    pixels = lines.select("y", F.explode(F.sequence("x0", "x1")).alias("x")).join(F.broadcast(stacks.select("path", "row")))
+    return temporal.seasonal_dense(temporal.seasonal_means(looks, stacks), pixels, stacks)
+
+
 @registered(f"WITH {_SEASONAL} SELECT * FROM annual")
 def annual_max(spark: SparkSession, d: str) -> DataFrame:
     return temporal.annual_max(_stored(spark, d))
@@ -382,6 +408,45 @@ def burn_probability(spark: SparkSession, d: str) -> DataFrame:
     return _featured(spark, d).select("scene_id", "y", "x", product_code(trees.tree_probability(ENSEMBLE)).alias("burn_prob"))
 
 
+#: Two models of 1,000 trees of depth two, three nodes and four leaves each, from the 25 nations.
+_FOREST_TREES = 160
+_TREE = "n_nationkey * 160 + j"
+_FOREST_FEATURES = (*BANDS, *INDICES)
+
+
+def _cut(place: str) -> str:
+    return f"CAST(CASE WHEN {place} < 6 THEN 100 + (t * 37 + node * 311) % 1500 ELSE (t * 53 + node * 97) % 1000 - 500 END AS DOUBLE)"
+
+
+def _forest(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Tables of nodes and of settings."""
+    nations = spark.read.parquet(f"{d}/nation.parquet").select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(_FOREST_TREES - 1))).alias("j"))
+    t = nations.select(F.expr(_TREE).cast("int").alias("t"))
+    nodes = t.select("t", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("node")).withColumn("f", F.expr("(t * 7 + node * 3) % 10"))
+    inner, kind = F.col("node") < 3, {"model": "concat('m', t % 2)", "class": "CAST(t DIV 2 % 2 AS INT)", "tree": "CAST(t DIV 4 AS INT)"}
+    value = F.when(~inner, ((F.col("t") * 13 + F.col("node") * 29) % 41 - 20) / 10).otherwise(0.0)
+    columns = {"feature": F.when(inner, F.col("f")).cast("int"), "threshold": F.when(inner, F.expr(_cut("f"))).otherwise(0.0), "left": F.when(inner, 2 * F.col("node") + 1).otherwise(-1).cast("int"), "right": F.when(inner, 2 * F.col("node") + 2).otherwise(-1).cast("int"), "value": value.cast("double")}
+    nodes = nodes.select(*(F.expr(e).alias(n) for n, e in kind.items()), "node", *(c.alias(n) for n, c in columns.items()))
+    return nodes, nodes.groupBy("model").agg(F.lit(0.1).alias("base"), F.when(F.col("model") == "m0", 0.01).otherwise(0.02).alias("shrinkage"))
+
+
+_AT = lambda node: f"feats[(t * 7 + {node} * 3) % 10 + 1] <= " + _cut(f"((t * 7 + {node} * 3) % 10)").replace("node", str(node))
+_LEAF = lambda node: f"((t * 13 + {node} * 29) % 41 - 20) / 10.0"
+
+
+@registered(f"""WITH {views.LOOKS}, t AS (SELECT CAST({_TREE} AS INT) AS t FROM nation CROSS JOIN (SELECT unnest(generate_series(0, {_FOREST_TREES - 1})) AS j) s),
+f AS (SELECT scene_id, y, x, CASE WHEN x % 3 = 0 THEN 0 ELSE 1 END AS m, [{', '.join(f'CAST({c} AS DOUBLE)' for c in _FOREST_FEATURES)}] AS feats FROM looks),
+s AS (SELECT scene_id, y, x, m, (t // 2) % 2 AS k, sum(CAST(CASE WHEN {_AT(0)} THEN CASE WHEN {_AT(1)} THEN {_LEAF(3)} ELSE {_LEAF(4)} END ELSE CASE WHEN {_AT(2)} THEN {_LEAF(5)} ELSE {_LEAF(6)} END END AS DOUBLE)) AS v FROM f JOIN t ON t % 2 = m GROUP BY ALL),
+w AS (SELECT scene_id, y, x, m, max(CASE WHEN k = 0 THEN v END) AS a, max(CASE WHEN k = 1 THEN v END) AS b FROM s GROUP BY scene_id, y, x, m)
+SELECT scene_id, y, x, 'm' || CAST(m AS VARCHAR) AS model, round(1 / (1 + exp(CASE WHEN m = 0 THEN 0.01 ELSE 0.02 END * (a - b))), 9) AS p FROM w""")
+def forest_score(spark: SparkSession, d: str) -> DataFrame:
+    """Two models of 1,000 trees a class, in a table of nodes, over all looks in one pass."""
+    nodes, settings = _forest(spark, d)
+    model = F.when(F.col("x") % 3 == 0, "m0").otherwise("m1")
+    scored = trees.score_forest(_stored(spark, d).withColumn("model", model), nodes, settings, _FOREST_FEATURES, name="p")
+    return scored.select("scene_id", "y", "x", "model", F.round("p", 9).alias("p"))
+
+
 @registered()
 def model_error(spark: SparkSession, d: str) -> DataFrame:
     rows = _featured(spark, d).where("qa >= 0").withColumn("fire", F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)"))
@@ -524,8 +589,8 @@ def _bbox(scenes: DataFrame) -> DataFrame:
     """Of the grid of whole pixels that starts at the outermost west and north edges and holds all scenes of a stack."""
     edges = screening.edge_extent(scenes)
     east, south = F.col("west") + F.col("ncol") * F.col("dx"), F.col("north") - F.col("nrow") * F.col("dy")
-    common = edges.groupBy("path", "row").agg(F.min("west").alias("west"), F.max("north").alias("north"), F.max(east).alias("east"), F.min(south).alias("south"))
-    size = {"ncol": F.ceil((F.col("east") - F.col("west")) / 30).cast("int"), "nrow": F.ceil((F.col("north") - F.col("south")) / 30).cast("int"), "dx": F.lit(30.0), "dy": F.lit(30.0), "utm_zone": F.lit(13)}
+    common = edges.groupBy("path", "row").agg(F.min("west").alias("west"), F.max("north").alias("north"), F.max(east).alias("east"), F.min(south).alias("south"), *(F.first(c).alias(c) for c in ("dx", "dy", "utm_zone")))
+    size = {"ncol": F.ceil((F.col("east") - F.col("west")) / F.col("dx")).cast("int"), "nrow": F.ceil((F.col("north") - F.col("south")) / F.col("dy")).cast("int")}
     return annual.grid_bbox(common.withColumns(size))
 
 
@@ -603,6 +668,39 @@ def job_annual_burn(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.job(scenes, looks, screening.default_models(spark), probabilities, options=RegionOptions(80, 2, 70), scene="half_year", tile_side=16)
 
 
+@registered(f"""WITH p AS ({ORACLES["annual_burn"]}) SELECT path, row, name, year, CAST(count(*) AS BIGINT) AS n_pixels, CAST(sum(value) AS BIGINT) AS total FROM
+(SELECT path, row, year, unnest(['burned_area', 'burn_count', 'good_looks_count', 'max_burn_prob']) AS name, unnest([burned_area, burn_count, good_looks_count, max_burn_prob]) AS value FROM p) v WHERE value <> -9999 GROUP BY path, row, name, year""")
+def job_outputs(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly products written with their rasters and catalogue; sums of what is read back from the rasters that the catalogue names."""
+    products, folder = materialize(annual_burn(spark, d), "yearly"), new_path(spark, "outputs")
+    extent = products.groupBy("path", "row").agg((F.max("y") + 1).alias("nrow"), (F.max("x") + 1).alias("ncol"))
+    pipeline.write_outputs(products, extent, folder)
+    listed = spark.read.json(f"{folder}/catalogue").select("path", "row", "name", "year", F.regexp_replace("file_name", r"\.img$", "").alias("raster"))
+    found = None
+    for r in listed.select("path", "row").distinct().collect():  # stacks
+        one = read_envi(spark, f"{folder}/rasters/{r.path:03d}{r.row:03d}").select(F.lit(r.path).alias("path"), F.lit(r.row).alias("row"), F.col("name").alias("raster"), "value")
+        found = one if found is None else found.unionByName(one)
+    out = found.where(F.col("value") != FILL).join(listed, ["path", "row", "raster"])
+    return out.groupBy(F.col("path").cast("int").alias("path"), F.col("row").cast("int").alias("row"), "name", F.col("year").cast("int").alias("year")).agg(F.count("*").alias("n_pixels"), F.sum("value").alias("total"))
+
+
+@registered()
+def job_with_trained_model(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job on two stacks, one with a given ensemble, the other with a model trained on the looks of both."""
+    two = views.two_stacks(views.OBS)
+    looks = views.view(spark, d, two, "obs").withColumns({"qa": qa_code(), "half_year": F.expr(_HALF)})
+    scenes = views.view(spark, d, f"{two},\n{views.SHOTS}", "shots")
+    model = _trained(spark, d)
+    scorers = {screening.USUAL_MODEL: trees.tree_probability(ENSEMBLE), "gbt_gp_west_model.xml": lambda featured: trees.score_looks(featured, model)}
+    return pipeline.job(scenes, looks, screening.default_models(spark), scorers, options=RegionOptions(80, 2, 70), scene="half_year", tile_side=16)
+
+
+def _trained(spark: SparkSession, d: str):
+    rows = _featured(spark, d).where("qa >= 0").withColumn("fire", F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)"))
+    rows = materialize(rows.select(*features.FEATURES, "fire"), "training")
+    return trees.train(rows, trees.TrainingOptions(tree_count=5, shrinkage=0.3, max_depth=3, subsample=0.8))[0]
+
+
 # ---- sources, written and read again
 
 

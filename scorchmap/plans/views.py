@@ -63,6 +63,12 @@ GRIDS = """grids AS (
          CAST(4500000 AS DOUBLE) AS north, CAST(30 AS DOUBLE) AS dx, CAST(30 AS DOUBLE) AS dy
   FROM (SELECT DISTINCT scene_id, path, row FROM obs) s)"""
 
+#: Grids that are out of phase: one sensor by 0.4 of a pixel, one by half a pixel and three whole ones.
+PHASES = """grids AS (
+  SELECT scene_id, path, row, CAST(CASE substr(scene_id, 1, 3) WHEN 'LT5' THEN 300000 WHEN 'LE7' THEN 300012 ELSE 299985 END AS DOUBLE) AS west,
+         CAST(CASE substr(scene_id, 1, 3) WHEN 'LT5' THEN 4500000 WHEN 'LE7' THEN 4499994 ELSE 4500105 END AS DOUBLE) AS north, CAST(30 AS DOUBLE) AS dx, CAST(30 AS DOUBLE) AS dy
+  FROM (SELECT DISTINCT scene_id, path, row FROM obs) s)"""
+
 #: The same rules as functions.quality and functions.indices, for the oracles.
 QA = "CAST(CASE WHEN qa_fill > 0 THEN -9999 WHEN qa_cloud > 0 THEN -7 WHEN qa_adjacent > 0 THEN -6 WHEN qa_shadow > 0 THEN -5 WHEN qa_snow > 0 THEN -4 WHEN qa_water > 0 THEN -3 ELSE 0 END AS INT)"
 OBS_QA = OBS + f",\nobs_qa AS (SELECT *, {QA} AS qa FROM obs)"
@@ -78,10 +84,10 @@ FEATURE = {n: f"CAST(CASE WHEN qa = -9999 THEN 0.0 ELSE ({_ratio(a, b)}) * 1000
 
 
 def two_stacks(ctes: str) -> str:
-    """The same with looks of two stacks on the same lines and columns; the second one begins in 1997."""
+    """The same with looks of two stacks on the same lines and columns; those of the second one are four years later."""
     path = "CAST(32 + CAST(floor(pk / 50) AS INT) % 2 AS INT)"
     two = OBS.replace("'035032'", f"lpad(CAST({path} AS STRING), 3, '0') || '032'").replace("CAST(35 AS INT) AS path", f"{path} AS path")
-    two = two.replace("CAST(floor(pk / 50) AS INT) AS y", "CAST(floor(pk / 100) AS INT) AS y").replace("FROM raw)", f"FROM raw WHERE {path} = 32 OR year(d) >= 1997)")
+    two = two.replace("CAST(floor(pk / 50) AS INT) AS y", "CAST(floor(pk / 100) AS INT) AS y").replace("FROM raw)", f"FROM (SELECT pk, sn, ok, sk, ln, qty, ep, disc, tax, rf, ls, CASE WHEN {path} = 33 THEN d + 1461 ELSE d END AS d FROM raw) r)")
     return ctes.replace(OBS, two)
 
 

@@ -45,7 +45,7 @@ def test_equal_texts_have_equal_fingerprints(docs):
 
 def test_pipeline_stages(spark, docs, tmp_path):
     d = f"file://{tmp_path}"
-    docs = docs.withColumns({"row among rows": F.lit(2), "c0": F.lit("x")})
+    docs = docs.withColumns({"row among rows": F.lit(2), "c0": F.lit("x"), "a.b": F.col("doc_id"), "odd`name": F.lit(1), "map": F.create_map(F.lit("k"), F.col("doc_id"))})
     spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(None, "word1 word2")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
     _, near, repeats, clean, pack = (f for _, f in corpus_pipeline.STAGES)

@@ -413,38 +413,28 @@ def test_toxicity(spark, empty):
     assert sum(scored[k].predicted == t for k, _, t in test) >= 0.97 * len(test)
     assert scored[900].score == scored[901].score < 0.5
     assert toxicity.reject_toxic(df, model).where("toxic = 1").count() <= 5
-    # block-max search finds what a scan of all entries finds
-    import numpy as np
-    import pyarrow as pa
-
-    for t, w in model.vectors(pa.array([r[1] for r in rows[:60]])):
-        if len(t):
-            found, cosine = model.nearest(t, w, 5)
-            every = np.concatenate([m[:, np.isin(c, t)] @ w[np.isin(t, c)] if np.isin(c, t).any() else np.zeros(len(m)) for c, m, _ in model.blocks])
-            assert np.allclose(cosine, np.sort(every)[::-1][: len(cosine)])
     few = toxicity.fit(df.drop("toxic"), labels.where("toxic = 0"))
     assert {r.score for r in toxicity.score(df, few).collect()} == {0.0}
     assert toxicity.score(empty, model).count() == 0
 
 
-def test_toxicity_counts_sampled_examples_as_neighbours():
-    import dataclasses
-
+def test_toxicity_weighs_classes_by_what_the_sample_leaves_out():
     import numpy as np
 
-    rnd = np.random.default_rng(5)
+    rng, none = np.random.default_rng(5), np.zeros(0)
     rows = []
     for k in range(60):
-        w = rnd.random(8)
-        rows.append((tuple(range(8)), tuple(w / np.sqrt((w * w).sum())), k, int(k % 4 == 0)))
-    parts = {f.name: np.zeros(0) for f in dataclasses.fields(toxicity.Model)} | {"terms": np.arange(8, dtype=np.uint64), "idf": np.ones(8), "blocks": []}
-    model = toxicity._index(toxicity.Model(**parts), sorted(rows), {0: 340.0, 1: 43.0})  # as if the label table were far larger than the sample
-    for k in range(60):
-        t, w = np.arange(8), np.array(rows[k][1])
-        own = int(np.flatnonzero(model.keys == k)[0])
-        assert len(model.nearest(t, w, 15)[0]) == 15
-        left_out = model.nearest(t, w, 15, own)[0]
-        assert len(left_out) == 16 and own in left_out
+        w = rng.random(8)
+        rows.append((np.arange(8), w / np.sqrt((w * w).sum()), k, int(k % 4 == 0)))
+    model = toxicity.Model(np.arange(8, dtype=np.uint64), np.ones(8), 1.0, 0.0, None, none, none, none, none, (none, none))
+    stands = {0: 340.0, 1: 43.0}  # as if the label table were far larger than the sample
+    model = toxicity._indexed(model, rows, stands, 0.1)
+    votes, entry, cosine = model.votes(model.index.entries)
+    for k, (_, w, _, _) in enumerate(rows):
+        near = sorted(((float(w @ v), j) for j, (_, v, _, _) in enumerate(rows)), reverse=True)[: toxicity.NEIGHBOURS]
+        by = [(c * c / (1.05 - c), rows[j][3]) for c, j in near]
+        want = (sum(x * stands[1] for x, label in by if label) + 0.25 * model.prior) / (sum(x * stands[label] for x, label in by) + 0.25)
+        assert abs(votes[k] - want) < 1e-9 and entry[k] == k and abs(cosine[k] - 1) < 1e-9
 
 
 def test_language_model_gives_rare_words_classes(spark, monkeypatch):

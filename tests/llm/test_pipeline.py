@@ -50,4 +50,4 @@ def test_run_has_all_columns(spark, folder):
 
 
 def test_every_operator_has_a_query():
-    assert {int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")} == set(range(1, 11))
+    assert {int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")} == set(range(1, 14))

@@ -33,20 +33,20 @@ def plain_scores(rows, train, k=toxicity.NEIGHBOURS):
     ones, zeros = Counter(), Counter()
     for d, label in train.items():
         (ones if label else zeros).update(set(texts[d]))
-    idf = {}
+    weight = {}
+    idf = lambda df: math.log((n[0] + n[1] + 1) / (df + 1)) + 1
     for w in {*ones, *zeros}:
         p, q, both = ones[w] / n[1], zeros[w] / n[0], (ones[w] + zeros[w]) / (n[0] + n[1])
         chi2 = (p - q) ** 2 / (both * (1 - both) + 1e-12) * n[0] * n[1] / (n[0] + n[1])
-        a, b = (ones[w] + 0.5) / n[1], (zeros[w] + 0.5) / n[0]
-        if chi2 >= 25 and max(a / b, b / a) >= 4:
-            idf[w] = math.log((n[0] + n[1] + 1) / (ones[w] + zeros[w] + 1)) + 1
+        bits = abs(math.log2((ones[w] + 0.5) / (n[1] + 0.5) / ((zeros[w] + 0.5) / (n[0] + 0.5))))
+        weight[w] = idf(ones[w] + zeros[w]) * (1 + toxicity.STRENGTH * chi2 / (chi2 + 25) * min(bits, 5) / 5)
     vectors = {}
     for d, c in texts.items():
-        v = {w: (1 + math.log(m)) * idf[w] for w, m in c.items() if w in idf}
+        v = {w: (1 + math.log(m)) * weight.get(w, idf(0)) for w, m in c.items()}
         size = math.sqrt(sum(x * x for x in v.values()))
-        vectors[d] = {w: x / size for w, x in v.items()}
+        vectors[d] = {w: x / size for w, x in v.items() if w in weight}
     silent = [train[d] for d in train if not vectors[d]]
-    prior = (sum(silent) + 0.5) / (len(silent) + 1)
+    prior = (sum(silent) + n[1] / (n[0] + n[1])) / (len(silent) + 1)
 
     def vote(d, own=None):
         near = sorted(((sum(x * vectors[e].get(w, 0) for w, x in vectors[d].items()), e) for e in train if e != own), reverse=True)
@@ -63,12 +63,12 @@ def plain_scores(rows, train, k=toxicity.NEIGHBOURS):
             if have < k:
                 have, last = have + len(es), c
         if not found:
-            return prior
-        share = [min(len(es), k) / len(es) for _, es in found]
-        top = sum(c * c * s * sum(train[e] for e in es) for (c, es), s in zip(found, share, strict=True))
-        return (top + 0.5 * prior) / (sum(c * c * s * len(es) for (c, es), s in zip(found, share, strict=True)) + 0.5)
+            return None
+        by = [(c * c / (1.05 - c) * min(len(es), k) / len(es), es) for c, es in found]
+        return (sum(w * sum(train[e] for e in es) for w, es in by) + 0.25 * prior) / (sum(w * len(es) for w, es in by) + 0.25)
 
-    points = sorted([(vote(d, d), train[d]) for d in train if vectors[d]] + [(prior, prior)] * len(silent))
+    told = lambda d: prior if vote(d, d) is None else vote(d, d)
+    points = sorted((told(d), train[d]) for d in train if vectors[d])
     levels = []
     for x, y in points:
         levels.append([y, 1, x])
@@ -78,7 +78,9 @@ def plain_scores(rows, train, k=toxicity.NEIGHBOURS):
     xs, ys = [s[2] / s[1] for s in levels], [s[0] / s[1] for s in levels]
 
     def score(d):
-        v = vote(d) if vectors[d] else prior
+        v = vote(d)
+        if v is None:
+            return prior
         if v <= xs[0]:
             fit = ys[0]
         elif v >= xs[-1]:
@@ -112,3 +114,47 @@ def test_score_and_evidence(spark, rows):
         assert got[d].predicted == (got[d].score >= 0.5)
     kept = toxicity.reject_toxic(docs, model)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d in scores if got[d].score < 0.5}
+
+
+def test_a_copy_of_an_example_is_found(spark):
+    """Whatever its words are, telling or not: cosine 1 and that evidence; every text that shares a word has some."""
+    rnd = random.Random(2)
+    own = lambda k: " ".join(f"only{k}x{j}" for j in range(30))
+    rows = [(k, " ".join(rnd.choices([f"w{j}" for j in range(300)], k=40)), int(k % 4 == 0)) for k in range(400)]
+    rows += [(1000, own(1), 1), (1001, own(2), 0)]
+    asked = [(2000, own(1)), (2001, own(2).upper()), (2002, own(1) + " w1 w2"), (2003, "w7"), (2004, "never seen"), (2005, rows[8][1]), (2006, " ".join([own(1)] * 3000))]
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(d, x) for d, _, x in rows], "doc_id long, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()}
+    for d, e in ((2000, 1000), (2001, 1001), (2005, 8)):
+        assert got[d].evidence == e and abs(got[d].evidence_cosine - 1) < 1e-9
+    assert got[2000].score > 0.5 > got[2001].score and got[2002].evidence == 1000 and 0.9 < got[2002].evidence_cosine < 1
+    assert got[2003].evidence is not None and got[2004].evidence is None and got[2006].evidence == 1000
+    assert got[2004].score == pytest.approx(model.prior)
+
+
+@pytest.mark.parametrize("texts, block, head", [(300, 8, 0.5), (300, 8, 2.0), (70, 64, 0.01), (5, 4, 0.2)])
+def test_search_is_that_of_a_scan(monkeypatch, texts, block, head):
+    """Of any blocks and with any terms as columns: the nearest of all entries."""
+    import numpy as np
+
+    monkeypatch.setattr(toxicity, "_BLOCK", block)
+    monkeypatch.setattr(toxicity, "_HEAD", head)
+    rng = np.random.default_rng(texts)
+
+    def vectors(n):
+        rows = [np.unique((rng.random(rng.integers(0, 25)) ** 3 * 200).astype(np.int64)) for _ in range(n)]
+        weights = [w / np.sqrt((w * w).sum()) if len(w) else w for w in (rng.random(len(r)) + 0.1 for r in rows)]
+        return toxicity.Vectors(np.concatenate(rows), np.concatenate(weights), np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
+
+    entries, queries, k = vectors(texts), vectors(90), 7
+    dense = lambda v: np.stack([np.bincount(*v.row(j)[:1], weights=v.row(j)[1], minlength=200) if len(v.row(j)[0]) else np.zeros(200) for j in range(len(v.first) - 1)])
+    want = dense(queries) @ dense(entries).T
+    cosines, least = toxicity.Index(entries, 200).search(queries, k)
+    for got, all_, low in zip(cosines, want, least, strict=True):
+        if texts > k:
+            assert low == pytest.approx(np.sort(all_)[-k], abs=1e-12)
+        near = np.flatnonzero(all_ >= max(low, 1e-9) - 1e-12)
+        assert np.allclose(got[near], all_[near])
+    if texts == 300 and head == 2.0:
+        assert (cosines == -1).mean() > 0.02  # some blocks were passed over

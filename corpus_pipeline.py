@@ -27,11 +27,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.similarity_components(docs.where("doc_id is not null"), ngram_join.Similarity(grams=5, percent=80))
     kept = materialize(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    every = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
+    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*every)
     if not kept.where("rows > 1").isEmpty():
-        line = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*docs.columns))
-        out = out.withColumn("row among rows", F.row_number().over(line)).where("`row among rows` = 1").select(docs.columns)
-    return out.unionByName(docs.where("doc_id is null"))
+        # as strings, since maps have no hash
+        line = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*(c.cast("string") for c in every)))
+        out = out.withColumn("row among rows", F.row_number().over(line)).where("`row among rows` = 1").select(*every)
+    return out.union(docs.where("doc_id is null").select(*every))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,10 @@ from .textops import by_bytes, give_back, ranges, resident, text_bytes
 
 #: Pairs of ids, those of most documents first, whose counts are sent to all tasks (16 bytes each); others are joined by shuffling.
 MAX_PAIRS = 1 << 21
+#: Text in a batch: what is made of it stays in the caches of a core.
+BATCH_BYTES = 1 << 18
+#: For the units of each of both encoders that a worker remembers.
+UNIT_BYTES = 64 << 20
 #: Counts that a task adds up before they are shuffled.
 _HELD = 1 << 20
 
@@ -58,6 +62,7 @@ class Aligner:
 
     def __init__(self, a: str, b: str):
         self.a, self.b = UnitEncoder(a, "lead", literal=True), PieceEncoder(b)
+        self.a.room = self.b.room = UNIT_BYTES
         byte = {c: k.encode("latin-1") for k, c in ((chr(k), v) for k, v in _BYTE_LETTERS.items())}
         size = self.a.tokenizer.get_vocab_size()
         said = [self.a.tokenizer.id_to_token(k) or "" for k in range(size)]
@@ -223,7 +228,7 @@ def pair_counts(docs: DataFrame, a: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             pair, first = _pairs(aligner(a, b).tokens(batch.column(0)))
             # the pairs of the batch by their places among its different ones, so that a document and a pair make one number
             some = _counted(pair)[0]
@@ -266,7 +271,7 @@ def align(docs: DataFrame, a: str, b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, number, most = sent.value
-        for batch in by_bytes(batches):
+        for batch in by_bytes(batches, limit=BATCH_BYTES):
             own = aligner(a, b)
             tokens = own.tokens(batch.column(1))
             a0, b0 = tokens.groups()

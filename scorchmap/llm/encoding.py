@@ -24,7 +24,7 @@ import pyarrow as pa
 
 from .textops import PLAIN_WORD, hash_spans, lower_ascii, ranges, resident, word_spans
 
-#: Most bytes for units that a worker remembers; beyond this it starts afresh.
+#: Bytes for units that a worker remembers, unless its encoder has another room; beyond this it starts afresh.
 UNIT_BYTES = 12 << 20
 _ENCODE_AT_ONCE = 4096
 
@@ -101,7 +101,7 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = literal
-        self.kind = kind
+        self.kind, self.room = kind, UNIT_BYTES
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = None if any(_PLAIN[kind].search(t) and "|" not in t for t in added) else _PLAIN[kind]
         self._forget()
@@ -154,7 +154,7 @@ class UnitEncoder:
         """
         hashes, checks = hash_spans(buf, starts, ends), hash_spans(buf, starts, ends, seed=1)
         keys, one, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) * 28 + self.used * 4 > UNIT_BYTES:
+        if len(self.keys) * 28 + self.used * 4 > self.room:
             self._forget()
         place = np.searchsorted(self.keys, keys)
         known = place < len(self.keys)
@@ -207,7 +207,7 @@ class PieceEncoder(UnitEncoder):
         pieces = map(self.processor.id_to_piece, range(self.processor.vocab_size()))
         if any(re.search("[^\u2581]\u2581", p) for p in pieces):
             raise ValueError(f"{path}: a piece goes on after a space, so that texts have no units")
-        self.kind, self.plain = "space", None
+        self.kind, self.plain, self.room = "space", None, UNIT_BYTES
         self._forget()
 
     def _library(self, texts: list[str]) -> list[list[int]]:

@@ -333,14 +333,22 @@ def _residual_round(groups: DataFrame, sets: DataFrame, how: Similarity, last: b
     hubs = residuals.groupBy("group").agg(F.min(F.struct("margin", "id")).alias("hub"))
     rows = residuals.join(hubs, "group").withColumn("near", F.col("margin") + F.col("hub.margin") <= 0)
     links = rows.where(F.col("near") & (F.col("id") != F.col("hub.id"))).select(F.col("id").alias("a"), F.col("hub.id").alias("b"))
-    # at least so many residual n-grams are shared with any partner that is not near too, by the least margin and by what a partner can have
+    # at least so many residual n-grams are shared with any partner, by the least margin that one has and by what a partner can have;
+    # two sets that are near need no look, so partners of a near set have a margin above that of the hub with its sign changed
     most = less * F.ceil(100 * F.col("n") / how.percent)
-    need = F.greatest(F.lit(1), F.ceil((F.col("margin") + F.col("hub.margin")) / (2 * more) - 1e-9), F.ceil((F.col("margin") - most) / more - 1e-9))
+    shared = lambda least: F.greatest(F.lit(1), F.ceil((F.col("margin") + least) / (2 * more) - 1e-9), F.ceil((F.col("margin") - most) / more - 1e-9))
+    with_far = shared(-F.col("hub.margin"))
+    need = F.when(F.col("near"), with_far).otherwise(shared(F.col("hub.margin")))
     prefix = F.slice("residual", 1, (F.size("residual") - need + 1).cast("int"))
-    placed = rows.where(F.size("residual") >= need).select("group", "id", "low", "margin", "near", F.posexplode(prefix).alias("pos", "token"))
-    placed = materialize(placed, "placed")
-    shared = placed.groupBy("group", "token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
-    found = placed.join(shared, ["group", "token"]).groupBy("group", "id", "low", "margin", "near").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "c"))).alias("found"))
+    placed = rows.where(F.size("residual") >= need).select("group", "id", "low", "margin", "near", (F.size("residual") - with_far).alias("last"), F.posexplode(prefix).alias("pos", "token"))
+    # what comes after the last place by which two sets that are not near can meet serves to meet near ones only
+    placed = materialize(placed.withColumn("deep", ~F.col("near") & (F.col("pos") > F.col("last"))).drop("last"), "placed")
+    near, far, high = F.count_if(F.col("near")), F.count_if(~F.col("near")), F.count_if(~F.col("near") & ~F.col("deep"))
+    # c: the size of a bucket of as many pairs
+    pairs = F.ceil(F.sqrt(2 * near * far + high * high)).cast("int")
+    buckets = placed.groupBy("group", "token").agg(pairs.alias("c"), near.alias("nears"), far.alias("fars"), high.alias("highs")).where("fars > 0 and (nears > 0 or highs > 1)")
+    meets = F.when(F.col("near"), F.col("fars") > 0).when(F.col("deep"), F.col("nears") > 0).otherwise((F.col("nears") > 0) | (F.col("highs") > 1))
+    found = placed.join(buckets, ["group", "token"]).where(meets).groupBy("group", "id", "low", "margin", "near").agg(F.sort_array(F.collect_list(F.struct("pos", "token", "c"))).alias("found"))
     found = materialize(found, "found")
     own = rows.select("group", "id", "low", "n", "parity", F.size("residual").cast("long").alias("size"), F.when(F.size("residual") <= SHORT, F.col("residual")).alias("short"))
     held = found.join(own, ["group", "id", "low"]).drop("low").withColumn("heads", _heads()).select("*", F.posexplode("found").alias("before", "x")).drop("found")

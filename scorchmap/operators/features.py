@@ -33,7 +33,7 @@ def previous_year(looks: DataFrame, wide: DataFrame, maxima: DataFrame, check_ye
 
 def features(joined: DataFrame) -> DataFrame:
     """All FEATURES as doubles, in order, after the other columns of a look."""
-    rest = [c for c in joined.columns if c not in FEATURES]
+    rest = ["`" + c.replace("`", "``") + "`" for c in joined.columns if c not in FEATURES]
     own = {i: feature_index(i) for i in INDICES}
     delta = {f"d{i}": F.when(F.col("qa") == FILL, F.lit(float(FILL))).otherwise(own[i] - F.col(f"max_{i}")) for i in INDICES}
     values = {**{b: F.col(b) for b in BANDS}, **own, **{c: F.col(c) for c in (*SEASONAL, *MAXIMA)}, **delta}

@@ -17,6 +17,7 @@ from ..sources.metadata import EXTENT, STACK, mtl_values, read_extent, read_scen
 from ..sources.rasters import read_envi, read_spots, write_envi, write_products
 from ..storage import materialize, new_path, release
 from . import pipeline, views
+from .yearly import YearlyState
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -370,6 +371,31 @@ def feature_vector(spark: SparkSession, d: str) -> DataFrame:
     return _featured(spark, d).select("scene_id", "y", "x", *features.FEATURES)
 
 
+def _state(spark: SparkSession, d: str, ctes: str) -> YearlyState:
+    """Looks in three batches: those of even years, those of odd ones but for their last half, and the rest, which are late."""
+    looks = materialize(views.view(spark, d, ctes, "obs").withColumn("qa", qa_code()), "looks")
+    late = (F.col("year") % 2 == 1) & (F.col("month") > 6)
+    state = YearlyState(spark, new_path(spark, "yearly"), side=16)
+    for name, some in (("even", F.col("year") % 2 == 0), ("odd", (F.col("year") % 2 == 1) & ~late), ("late", late)):
+        state.add(name, looks.where(some))
+    release(looks)
+    return state
+
+
+@registered(f"WITH {_SEASONAL} SELECT * FROM seasonal")
+def seasonal_means_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The seasons of tables that are kept from batch to batch."""
+    return _state(spark, d, views.OBS).seasonal().select(*PIXEL, "season_year", "season", "good_looks", *MEASURES)
+
+
+@registered(views.two_stacks(f"WITH {_FEATURED} SELECT scene_id, y, x, " + ", ".join(features.FEATURES) + " FROM featured"))
+def feature_vector_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The features of two stacks' looks, from tables that are kept from batch to batch; nothing is shuffled to join them."""
+    pipeline.keep_in_place(spark)
+    return _state(spark, d, views.two_stacks(views.OBS)).featured().select("scene_id", "y", "x", *features.FEATURES)
+
+
+
 # ---- the model
 
 

@@ -43,6 +43,12 @@ def release(*tables: DataFrame) -> None:
         remove(df.sparkSession, df._written_to)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path in any file system that Spark knows."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a path in any file system that Spark knows."""
     jvm = spark.sparkContext._jvm

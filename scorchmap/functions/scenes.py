@@ -12,10 +12,18 @@ def scene_id_parts(scene_id: str = "scene_id") -> dict[str, Column]:
     return {"sensor": s.substr(1, 3), "path": s.substr(4, 3).cast("int"), "row": s.substr(7, 3).cast("int"), "year": s.substr(10, 4).cast("int")}
 
 
+#: A year of up to four digits, a month and a day of up to two; what follows them, such as a time, is not looked at.
+_DATE = r"^\s*(\d{1,4})-\s*(\d{1,2})-\s*(\d{1,2})"
+
+
 def acquisition_date(text: str = "acq_date") -> Column:
-    """The date of a yyyy-mm-dd string with a year from 1900 to 2400 that exists in the calendar, else null."""
+    """The date that a string such as 1999-07-04, 1999-7-4 or 1999-07-04T18:02:11Z begins with, else null.
+
+    Its year is from 1900 to 2400, and it exists in the calendar.
+    """
     s = F.col(text)
-    day = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(s, "yyyy-MM-dd"))
+    parts = [F.lpad(F.regexp_extract(s, _DATE, k), n, "0") for k, n in ((1, 4), (2, 2), (3, 2))]
+    day = F.when(s.rlike(_DATE), F.try_to_date(F.concat_ws("-", *parts), "yyyy-MM-dd"))
     return F.when(F.year(day).between(1900, 2400), day)
 
 

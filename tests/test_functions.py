@@ -10,7 +10,7 @@ def test_dates(spark):
     given = ["2000-12-31", "2001-12-31", "2000-02-29", "1999-02-29", "2001-13-01", "1899-12-31", "2001/01/01", "2001-1-1", None]
     parts = date_parts("acq_date")
     rows = spark.createDataFrame([(g,) for g in given], "acq_date string").select(*(c.alias(n) for n, c in parts.items())).collect()
-    assert [r.julian for r in rows] == [366, 365, 60, None, None, None, None, None, None]
+    assert [r.julian for r in rows] == [366, 365, 60, None, None, None, None, 1, None]
     assert [r.season for r in rows[:3]] == ["winter", "winter", "winter"]
     assert spark.createDataFrame([(1999, 12), (2000, 1)], "year int, month int").select(season_year().alias("s")).collect() == [(2000,), (2000,)]
 
@@ -44,3 +44,13 @@ def test_places(spark):
     lat, lon = utm_to_degrees(F.lit(500000.0), F.lit(4649776.22482), F.lit(33))
     found = spark.range(1).select(lat.alias("a"), lon.alias("b")).first()
     assert abs(found.a - 42.0) < 1e-6 and abs(found.b - 15.0) < 1e-9
+
+
+def test_dates_of_other_forms(spark):
+    want = {
+        "1999-1-5": (1999, 1, 5), " 1999-07-04T18:02:11.5Z": (1999, 7, 4), "2000-2-29 noon": (2000, 2, 29), "1999- 7- 4": (1999, 7, 4), "1999-07-123": (1999, 7, 12),
+        "1999-2-29": None, "1999-13-1": None, "1999-0-1": None, "1999-1-0": None, "199-01-01": None, "19990704": None, "1999-07": None, "": None, "1999/07/04": None, "1999-07 -04": None,
+    }
+    parts = date_parts("acq_date")
+    rows = spark.createDataFrame([(g,) for g in want], "acq_date string").select("acq_date", *(parts[n].alias(n) for n in ("year", "month", "day"))).collect()
+    assert {r.acq_date: (r.year, r.month, r.day) if r.year is not None else None for r in rows} == want

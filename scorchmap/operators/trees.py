@@ -253,9 +253,9 @@ def train(data: DataFrame, options: TrainingOptions, label: str = "fire") -> tup
     return model, report
 
 
-def misclassified(scored: DataFrame) -> DataFrame:
-    """error: the share of rows whose prediction differs from their label, in percent. One row."""
-    return scored.agg((F.avg((F.col("prediction") != F.col("label")).cast("double")) * 100).alias("error"))
+def misclassified(scored: DataFrame, *by: str) -> DataFrame:
+    """n_looks: rows; error: the share of rows whose prediction differs from their label, in percent. One row, or one for each group."""
+    return scored.groupBy(*by).agg(F.count("*").alias("n_looks"), (F.avg((F.col("prediction") != F.col("label")).cast("double")) * 100).alias("error"))
 
 
 def score_looks(featured: DataFrame, model: GBTClassificationModel) -> DataFrame:

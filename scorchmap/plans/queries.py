@@ -11,7 +11,7 @@ from ..functions.grid import map_to_pixel, pixel_to_map
 from ..functions.indices import FURTHER, feature_index, further_index
 from ..functions.quality import product_code, qa_code
 from ..functions.scenes import date_parts, scene_id_parts, season
-from ..operators import annual, features, placing, regions, screening, temporal, trees
+from ..operators import annual, boosting, features, placing, regions, screening, temporal, trees
 from ..settings import BANDS, FILL, INDICES, MEASURES, PIXEL, SEASONS, RegionOptions
 from ..sources.metadata import EXTENT, STACK, mtl_values, read_extent, read_scene_xml, read_stack, read_training, write_extent, write_stack
 from ..sources.rasters import read_envi, read_spots, write_envi, write_products
@@ -480,6 +480,23 @@ def model_error(spark: SparkSession, d: str) -> DataFrame:
     return trees.train(rows, trees.TrainingOptions(tree_count=5, shrinkage=0.3, max_depth=3, subsample=0.8))[1]
 
 
+_KIND = "CAST(CASE WHEN nbr < -100 AND dnbr < -300 THEN 2 WHEN dnbr < -100 THEN 1 ELSE 0 END AS INT)"
+
+
+@registered()
+def class_model_error(spark: SparkSession, d: str) -> DataFrame:
+    """Three classes, an ensemble for each: the report of its training."""
+    rows = _featured(spark, d).where("qa >= 0").withColumn("kind", F.expr(_KIND))
+    return boosting.train_classes(rows, trees.TrainingOptions(tree_count=3, shrinkage=0.3, max_depth=3, subsample=0.8), label="kind")[1]
+
+
+@registered(f"WITH {_FEATURED} SELECT year, count(*) AS n_looks, round(avg(CASE WHEN ({_PROBABILITY} > 0.5) = (nbr < -100 AND dnbr < -300) THEN 0 ELSE 100 END), 9) AS error FROM featured WHERE qa >= 0 GROUP BY year")
+def prediction_error(spark: SparkSession, d: str) -> DataFrame:
+    """How often a given ensemble is wrong on clear looks, by year."""
+    scored = _featured(spark, d).where("qa >= 0").withColumns({"prediction": boosting.predicted_class(ENSEMBLE), "label": F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)")})
+    return trees.misclassified(scored, "year").select("year", "n_looks", F.round("error", 9).alias("error"))
+
+
 # ---- regions
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..storage import materialize
 from .encoding import as_batch
-from .textops import ALNUM_WORD, by_bytes, hash_spans, lower_ascii, ranges, signed, text_bytes, unsigned, word_spans
+from .textops import ALNUM_WORD, by_bytes, give_back, hash_spans, lower_ascii, ranges, signed, text_bytes, unsigned, word_spans
 
 EXAMPLES_A_CLASS = 4_000
 NEIGHBOURS = 15
@@ -95,33 +95,38 @@ def _told_apart(ones: np.ndarray, zeros: np.ndarray, n1: int, n0: int) -> np.nda
 
 @dataclass
 class Index:
-    """Block-max posting lists of the entries."""
+    """Block-max posting lists of the entries; numbers of entries and places take 32 bits."""
 
-    entries: Vectors
+    entries: Vectors  # only where the index is made: no search reads them, and they are not sent to tasks
     size: int  # of the vocabulary
 
+    def __getstate__(self) -> dict:
+        return {k: x for k, x in self.__dict__.items() if k != "entries"}
+
     def __post_init__(self) -> None:
         v, n = self.entries, len(self.entries.first) - 1
         self.n, self.blocks = n, -(-n // _BLOCK)
-        entry = np.repeat(np.arange(n), np.diff(v.first))
+        entry = np.repeat(np.arange(n, dtype=np.int32), np.diff(v.first))
         held = np.bincount(v.terms, minlength=self.size)
         head = np.flatnonzero(held > max(_HEAD * n, 1))
-        self.column = np.full(self.size, -1)
+        self.column = np.full(self.size, -1, np.int32)
         self.column[head] = np.arange(len(head))
         common = self.column[v.terms] >= 0
         self.head = np.zeros((self.blocks * _BLOCK, len(head)))
         self.head[entry[common], self.column[v.terms[common]]] = v.weights[common]
         self.head_peaks = self.head.reshape(self.blocks, _BLOCK, len(head)).max(axis=1) if n else np.zeros((0, len(head)))
-        term, entry, weight = v.terms[~common], entry[~common], v.weights[~common]
-        order = np.lexsort((entry, term))
-        term, self.entry, self.weight = term[order], entry[order], weight[order]
-        self.first = np.searchsorted(term, np.arange(self.size + 1))
+        order = np.flatnonzero(~common)
+        order = order[np.argsort(v.terms[order], kind="stable")]  # by term, then entry
+        term, self.entry, self.weight = v.terms[order], entry[order], v.weights[order]
+        del common, entry, order
+        places = np.arange(self.size + 1, dtype=term.dtype)
+        self.first = np.searchsorted(term, places).astype(np.int32)
         block = self.entry // _BLOCK
         new = np.ones(len(term), bool)
         new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
         new = np.flatnonzero(new)
         self.peak_block, self.peak = block[new], np.maximum.reduceat(self.weight, new) if len(new) else self.weight
-        self.peak_first = np.searchsorted(term[new], np.arange(self.size + 1))
+        self.peak_first = np.searchsorted(term[new], places).astype(np.int32)
 
     def _spread(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, first: np.ndarray, to: np.ndarray, value: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
         """Sums of query weight times value over the lists of all terms, by query and what the lists lead to."""
@@ -187,15 +192,18 @@ class Model:
         known = self.terms[place] == term if len(self.terms) else np.zeros(len(term), bool)
         weight = (1 + np.log(count)) * np.where(known, self.weight[place] if len(self.terms) else 0.0, self.unknown)
         length = np.sqrt(np.bincount(doc, weight * weight, len(column)))
-        return Vectors(place[known], (weight / length[doc])[known], np.searchsorted(doc[known], np.arange(len(column) + 1)))
+        return Vectors(place[known].astype(np.int32), (weight / length[doc])[known], np.searchsorted(doc[known], np.arange(len(column) + 1)))
 
     def votes(self, queries: Vectors, skip: np.ndarray | None = None, toxic: np.ndarray | None = None, mass: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The vote, the best entry (-1: none shares a word) and its cosine of each query; skip: one example of this entry is left out."""
-        n = len(queries.first) - 1
+        """The vote, the best entry (-1: none shares a word) and its cosine of each query. skip: the queries are these entries, of which
+        queries has the vectors, and one example of each is left out.
+        """
+        n = len(queries.first) - 1 if skip is None else len(skip)
         value, entry, cosine = np.full(n, self.prior), np.full(n, -1), np.zeros(n)
-        for a in range(0, n if self.index else 0, _QUERIES):
-            rows = np.arange(a, min(n, a + _QUERIES))
-            near, least = self.index.search(queries.some(rows), NEIGHBOURS + (skip is not None))
+        step = _QUERIES if skip is None else _QUERIES // 4  # less room in the driver
+        for a in range(0, n if self.index else 0, step):
+            rows = np.arange(a, min(n, a + step))
+            near, least = self.index.search(queries.some(rows if skip is None else skip[rows]), NEIGHBOURS + (skip is not None))
             for k, own, low in zip(rows.tolist(), near, least.tolist(), strict=True):
                 found = np.flatnonzero(own >= max(low - _TIED, 1e-12))
                 if not len(found):
@@ -280,47 +288,59 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", examples_a_cla
     none = np.zeros(0)
     idf = lambda df: np.log((total + 1) / (df + 1)) + 1
     model = Model(terms, idf(df) * _told_apart(ones, zeros, n[1], n[0]), float(idf(0)), 0.0, None, np.zeros(0, np.int64), none, none, np.zeros(0, np.int64), (none, none))
-    sample = examples.select("doc_id", "text", "label").toArrow()  # at most 2 * examples_a_class texts
-    parts = [(b, model.vectors(b.column(1))) for b in by_bytes(iter(sample.to_batches()))]
+    del found, order, df, ones, zeros
+    texts = examples.select("doc_id", "text", "label")  # at most 2 * examples_a_class texts
+    return _indexed(model, _rows(model, texts.toArrow().to_batches()), {c: stands[c] / mean for c in (0, 1)}, totals[1] / total)
+
+
+def _rows(model: Model, batches: list[pa.RecordBatch]) -> list[tuple]:
+    """Terms, weights, doc_id, label of each example: alike vectors near each other, equal ones in a row."""
     rows = []
-    for b, v in parts:
+    for b in by_bytes(iter(batches)):
+        v = model.vectors(b.column(1))
         for k, (key, label) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True)):
-            t, w = v.row(k)
-            rows.append((t, w, key, label))
-    rows.sort(key=lambda r: (r[0][np.argsort(-r[1], kind="stable")[:4]].tolist(), r[0].tolist(), r[1].tolist(), r[2], r[3]))
-    return _indexed(model, rows, {c: stands[c] / mean for c in (0, 1)}, totals[1] / total)
+            rows.append((*v.row(k), key, label))
+    # big-endian bytes are in the order of the numbers, and take a tenth of the room of lists of them
+    rows.sort(key=lambda r: (r[0][np.argsort(-r[1], kind="stable")[:4]].tolist(), r[0].astype(">i4").tobytes(), r[1].astype(">f8").tobytes(), r[2], r[3]))
+    return rows
 
 
 def _indexed(model: Model, rows: list[tuple], stands: dict[int, float], share: float) -> Model:
-    """rows: terms, weights, doc_id, label of each example, sorted, so that alike vectors are near each other; stands: each label's
-    weight, 1 on average; share: of toxic ones among all labelled documents.
+    """rows: as _rows() gives them; stands: each label's weight, 1 on average; share: of toxic ones among all labelled documents.
+
+    The driver holds few copies of all vectors at a time.
     """
     none = [r for r in rows if not len(r[0])]
     mass = {c: stands[c] * sum(r[3] == c for r in none) for c in (0, 1)}
     model.prior = (mass[1] + share) / (mass[0] + mass[1] + 1)
-    entries: dict[bytes, list] = {}
+    made: list[list] = []
     for terms, weights, key, label in rows:
         if len(terms):
-            e = entries.setdefault(terms.tobytes() + weights.tobytes(), [key, 0.0, 0.0, 0, terms, weights])
+            if not (made and np.array_equal(made[-1][4], terms) and np.array_equal(made[-1][5], weights)):
+                made.append([key, 0.0, 0.0, 0, terms, weights])
+            e = made[-1]
             e[0] = min(e[0], key)
             e[1] += label * stands[label]
             e[2] += stands[label]
             e[3] += 1
-    made = list(entries.values())
     model.keys, model.heads = np.array([e[0] for e in made], np.int64), np.array([e[3] for e in made], np.int64)
     model.ones, model.alls = np.array([e[1] for e in made]), np.array([e[2] for e in made])
     if not made:
         return model
     vectors = Vectors(np.concatenate([e[4] for e in made]), np.concatenate([e[5] for e in made]), np.concatenate([[0], np.cumsum([len(e[4]) for e in made])]))
+    del rows, made, none, terms, weights, e
+    give_back()
     model.index = Index(vectors, len(model.terms))
+    give_back()
     # what each kind of example is told by the others
-    entry, label = np.repeat(np.arange(len(made)), 2), np.tile([1, 0], len(made))
+    entry, label = np.repeat(np.arange(len(model.keys)), 2), np.tile([1, 0], len(model.keys))
     weight = np.where(label == 1, model.ones[entry], model.alls[entry] - model.ones[entry])
     some = weight > 1e-12
     entry, label, weight = entry[some], label[some], weight[some]
     own = np.array([stands[c] for c in label.tolist()])
-    votes = model.votes(vectors.some(entry), entry, own * label, own)[0]
+    votes = model.votes(vectors, entry, own * label, own)[0]
     model.steps = _isotonic(votes, label.astype(float), weight)
+    give_back()
     return model
 
 

@@ -158,3 +158,21 @@ def test_search_is_that_of_a_scan(monkeypatch, texts, block, head):
         assert np.allclose(got[near], all_[near])
     if texts == 300 and head == 2.0:
         assert (cosines == -1).mean() > 0.02  # some blocks were passed over
+
+
+def test_the_driver_holds_few_copies_of_the_examples(spark):
+    """What fitting takes there at most, and what is sent to tasks, in multiples of the terms and weights of all examples."""
+    import pickle
+    import tracemalloc
+
+    rnd = random.Random(3)
+    rows = [(k, " ".join(f"w{x}" for x in rnd.choices(range(100_000), k=600)), int(k % 3 == 0)) for k in range(1_500)]
+    docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(d, x) for d, _, x in rows], "doc_id long, toxic int")
+    vectors = 16 * sum(len(set(t.split())) for _, t, _ in rows)
+    tracemalloc.start()
+    model = toxicity.fit(docs, labels)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5 * vectors, most / vectors
+    assert len(pickle.dumps(model)) < 2 * vectors, len(pickle.dumps(model)) / vectors

@@ -26,10 +26,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = ngram_join.similarity_components(docs.where("doc_id is not null"), ngram_join.Similarity(grams=5, percent=80))
-    kept = materialize(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    ids = materialize(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows")), "ids")
+    gone = ids.where("doc_id != component_id").select("doc_id")
+    # up to so many ids are sent to the texts; beyond, these are shuffled once
+    gone = F.broadcast(gone) if gone.limit(ngram_join.MAX_NAMED + 1).count() <= ngram_join.MAX_NAMED else gone
     every = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*every)
-    if not kept.where("rows > 1").isEmpty():
+    out = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*every)
+    if not ids.where("rows > 1 and doc_id = component_id").isEmpty():
         # as strings, since maps have no hash
         line = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), F.xxhash64(*(c.cast("string") for c in every)))
         out = out.withColumn("row among rows", F.row_number().over(line)).where("`row among rows` = 1").select(*every)

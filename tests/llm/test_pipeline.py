@@ -51,3 +51,22 @@ def test_run_has_all_columns(spark, folder):
 
 def test_every_operator_has_a_query():
     assert {int(q[2:].split("_")[0]) for q in QUERIES if q.startswith("op")} == set(range(1, 14))
+
+
+def test_texts_are_not_shuffled_to_drop_near_duplicates(spark, capsys, monkeypatch):
+    """Whatever Spark's own limit on broadcasts; with more ids than are sent, the same rows stay."""
+    texts = [" ".join(f"w{k * 100 + j}" for j in range(40)) for k in range(6)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(10, texts[2]), (11, texts[4] + " more"), (12, None), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.one_of_each_group(spark, docs, "")
+        capsys.readouterr()
+        out.explain()
+        assert "SortMergeJoin" not in capsys.readouterr().out
+        want = sorted([(k, t) for k, t in enumerate(texts)] + [(12, None), (None, texts[0])], key=repr)
+        assert sorted(map(tuple, out.collect()), key=repr) == want
+        monkeypatch.setattr(corpus_pipeline.ngram_join, "MAX_NAMED", 1)
+        assert sorted(map(tuple, corpus_pipeline.one_of_each_group(spark, docs, "").collect()), key=repr) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

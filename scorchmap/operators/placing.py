@@ -60,11 +60,22 @@ def points_in(points: DataFrame, scenes: DataFrame, cell: float = 6000.0) -> Dat
 
 
 def point_stack(points: DataFrame, scenes: DataFrame, looks: DataFrame, columns: list[str]) -> DataFrame:
-    """point_id, scene_id and the columns of the look that each point has in each scene that holds it."""
-    found = scenes_at(points, scenes).select("point_id", "scene_id", "y", "x")
+    """point_id, scene_id and the columns of the look that each point has in each scene that holds it.
+
+    Points get one row for each different bounds that hold them, never one for each scene; looks take the bounds of their scene and meet
+    the points by bounds and pixel.
+    """
+    bounds = ["west", "north", "east", "south", "dx", "dy"]
+    keys = ["_bounds", "y", "x"]
+    found = points_in(points, scenes.select(*bounds).distinct()).select("point_id", F.struct(*bounds).alias("_bounds"), "y", "x")
+    of = scenes.select("scene_id", F.struct(*bounds).alias("_bounds"))
+    placed = looks.select("scene_id", "y", "x", *columns).join(F.broadcast(of) if _small(of) else of, "scene_id")
+    spots = found.select(*keys).distinct()
+    if _small(spots):
+        placed = placed.join(F.broadcast(spots), keys, "left_semi")  # points at few pixels: other looks stay where they are
     if _small(found):
-        found = F.broadcast(found)  # few points: looks stay where they are
-    return found.join(looks.select("scene_id", "y", "x", *columns), ["scene_id", "y", "x"])
+        found = F.broadcast(found)
+    return found.join(placed, keys).select("point_id", "scene_id", "y", "x", *columns)
 
 
 def line_slice(looks: DataFrame, columns: list[str], line: int | None = None, map_y: float | None = None, north: float = 0.0, south: float = 0.0, dy: float = 30.0) -> DataFrame:

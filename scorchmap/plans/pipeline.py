@@ -92,7 +92,9 @@ def job(
     A stack without a model is an error, and so is a model that is not in probabilities: a column of the featured looks for each model, or
     a function that adds burn_prob to them, as trees.score_looks() with a trained model does.
     """
-    dated = catalogue(scenes)
+    # written first: it is read several times, and tests of dates would otherwise move down to the rows that the list is made of
+    listed = [c for c in ("scene_id", "path", "row", "acq_date", "data_type", "rmse", "cloud_cover") if c in scenes.columns]
+    dated = catalogue(materialize(scenes.select(*listed), "scenes"))
     years = stack_years(dated, start, end)
     kept = screen(dated, screening).where("exclude_reason is null")
     known = lookup_models(kept, models, required=True).select("scene_id", "path", "row", "model").distinct()

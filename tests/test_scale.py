@@ -1,6 +1,15 @@
 """Work that must not grow faster than what is read or returned."""
 
-from scorchmap.operators import placing
+from pyspark.sql import functions as F
+
+from scorchmap.functions.quality import qa_code
+from scorchmap.operators import placing, screening, trees
+from scorchmap.plans import pipeline, views
+from scorchmap.plans.queries import ENSEMBLE
+from scorchmap.settings import RegionOptions
+from scorchmap.storage import materialize
+
+SMALL = "/root/testdata/sf0.001"
 
 
 def _nodes(plan):
@@ -34,3 +43,18 @@ def test_points_do_not_meet_scenes_without_a_look(spark, monkeypatch):
     assert most < 10_000
     monkeypatch.setattr(placing, "_small", lambda *_: False)  # as with many points, pixels and scenes
     assert sorted(map(tuple, placing.point_stack(points, scenes, looks, ["v"]).select(*columns).collect())) == want
+
+
+def test_job_makes_the_list_of_scenes_once(spark):
+    two = views.two_stacks(views.OBS)
+    looks = views.view(spark, SMALL, two, "obs").withColumns({"qa": qa_code(), "half_year": F.expr("year * 10 + CAST(floor((month - 1) / 6) AS INT)")})
+    shots, seen = materialize(views.view(spark, SMALL, f"{two},\n{views.SHOTS}", "shots"), "shots"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    models = {m: trees.tree_probability(ENSEMBLE) for m in (screening.USUAL_MODEL, "gbt_gp_west_model.xml")}
+    out = pipeline.job(shots.mapInArrow(counted, shots.schema), looks, screening.default_models(spark), models, options=RegionOptions(80, 2, 70), scene="half_year", tile_side=16)
+    assert out.count() > 1000 and seen.value == shots.count()

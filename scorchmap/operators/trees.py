@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -102,8 +102,44 @@ def tree_probability(ensemble: Ensemble, wanted: int = 1) -> Column:
 
 #: Nodes (40 bytes each) of a forest that is sent to all tasks; more are scored in several passes, each with the models that fit.
 MAX_NODES = 1 << 21
-#: Rows times trees that are walked at once.
-_WALKED = 1 << 20
+#: Rows times trees that are walked at once, or looked up at once.
+_WALKED, _LOOKED_UP = 1 << 20, 1 << 16
+#: Bytes of the table by which some trees are looked up together, and of all tables of a forest in a worker; leaves of such a tree.
+_TABLE, _TABLES, _LEAVES = 1 << 22, 1 << 27, 64
+
+
+@dataclass
+class Masks:
+    """Some trees of at most 64 leaves, as bit masks of the leaves that a row can still reach.
+
+    A test that fails leaves those outside its left branch. Which tests on a feature fail follows from how many of their different
+    thresholds are below the row's value, so all of them together are one row of a table: reach[feature][number]. What is left after all
+    features, its first leaf, is where a walk from the root ends. value: by tree and leaf.
+    """
+
+    trees: np.ndarray
+    cuts: dict[int, np.ndarray]
+    reach: dict[int, np.ndarray]
+    value: np.ndarray
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """The value of the leaf of each row (first axis) in each tree."""
+        some = np.full((len(x), len(self.trees)), ~np.uint64(0)).astype(self.dtype) if not self.reach else None
+        part = None
+        for f, cuts in self.cuts.items():
+            below = np.searchsorted(cuts, x[:, f])  # NaN is above all thresholds, as no test on it holds
+            if some is None:
+                some = np.take(self.reach[f], below, axis=0)
+            else:
+                part = np.take(self.reach[f], below, axis=0, out=part, mode="clip")
+                np.bitwise_and(some, part, out=some)
+        first = np.bitwise_count(~some & (some - some.dtype.type(1))).astype(np.intp)
+        first += np.arange(len(self.trees)) * self.value.shape[1]
+        return self.value.ravel()[first]
+
+    @property
+    def dtype(self) -> np.dtype:
+        return np.dtype(f"u{max(1, self.value.shape[1] // 8)}")
 
 
 @dataclass
@@ -118,6 +154,8 @@ class Forest:
     roots: dict[str, np.ndarray]
     classes: dict[str, np.ndarray]
     settings: dict[str, tuple[float, float]]
+    _plans: dict[str, tuple[list[Masks], np.ndarray]] = field(default_factory=dict, repr=False, compare=False)
+    _work: tuple[np.ndarray, np.ndarray, np.ndarray] | None = field(default=None, repr=False, compare=False)
 
     def probability(self, model: str, x: np.ndarray, wanted: int) -> np.ndarray:
         """Of rows of features; a model that is not there gives NaN, an unknown class 0."""
@@ -128,16 +166,87 @@ class Forest:
         if wanted >= max(2, k):
             return np.zeros(len(x))
         member = (of[:, None] == np.arange(k)).astype(float)
-        out, step = np.zeros(len(x)), max(1, _WALKED // len(roots))
-        for a in range(0, len(x), step):
-            part = x[a : a + step]
-            sums = base + shrinkage * (self._leaves(roots, part) @ member)
-            if k == 1:
-                out[a : a + step] = sums[:, 0]
-            else:
-                e = np.exp(sums - sums.max(axis=1, keepdims=True))
-                out[a : a + step] = e[:, wanted] / e.sum(axis=1)
-        return out
+        if model not in self._plans:
+            self._plans[model] = self._masks(roots)
+        masks, walked = self._plans[model]
+        total = np.zeros((len(x), k))
+        for m in masks:
+            step = max(1, _LOOKED_UP // len(m.trees))
+            for a in range(0, len(x), step):
+                total[a : a + step] += m.leaves(x[a : a + step]) @ member[m.trees]
+        step = max(1, _WALKED // max(1, len(walked)))
+        for a in range(0, len(x) if len(walked) else 0, step):
+            total[a : a + step] += self._leaves(roots[walked], x[a : a + step]) @ member[walked]
+        sums = base + shrinkage * total
+        if k == 1:
+            return sums[:, 0]
+        e = np.exp(sums - sums.max(axis=1, keepdims=True))
+        return e[:, wanted] / e.sum(axis=1)
+
+    def _masks(self, roots: np.ndarray) -> tuple[list[Masks], np.ndarray]:
+        """Tables for groups of some trees, and the places of those that are walked: with too many leaves, a threshold that is no number, a
+        node with two parents, or beyond the model's share of _TABLES."""
+        levels, nodes, of = [], roots, np.arange(len(roots))
+        if self._work is None:
+            self._work = np.zeros(len(self.feature), bool), np.zeros(len(self.feature), np.int64), np.zeros(len(self.feature), np.int64)
+        (seen, count, start), walk = self._work, np.zeros(len(roots), bool)  # no two models have a node in common
+        while len(nodes):
+            order = np.argsort(nodes, kind="stable")
+            again = seen[nodes]
+            again[order[1:]] |= nodes[order[1:]] == nodes[order[:-1]]
+            walk[of[again]] = True
+            keep = ~walk[of]
+            nodes, of = nodes[keep], of[keep]
+            seen[nodes] = True
+            inner = self.feature[nodes] >= 0
+            walk[of[inner & np.isnan(self.threshold[nodes])]] = True
+            levels.append((nodes, of))
+            nodes, of = np.concatenate([self.left[nodes[inner]], self.right[nodes[inner]]]), np.tile(of[inner], 2)
+        for nodes, _ in reversed(levels):
+            inner = self.feature[nodes] >= 0
+            count[nodes[~inner]] = 1
+            count[nodes[inner]] = count[self.left[nodes[inner]]] + count[self.right[nodes[inner]]]
+        walk |= count[roots] > _LEAVES
+        for nodes, _ in levels:
+            n = nodes[self.feature[nodes] >= 0]
+            start[self.left[n]], start[self.right[n]] = start[n], start[n] + count[self.left[n]]
+        nodes, of = (np.concatenate([v[k] for v in levels]) for k in (0, 1))
+        nodes, of = nodes[~walk[of]], of[~walk[of]]
+        order = np.argsort(of, kind="stable")
+        nodes, of, out = nodes[order], of[order], []
+        room = _TABLES * len(nodes) / len(self.feature)
+        usual = np.flatnonzero(~walk)
+        bits = np.maximum(8, 1 << np.ceil(np.log2(count[roots[usual]])).astype(np.int64))  # 8, 16, 32 or 64
+        inner = np.bincount(of[self.feature[nodes] >= 0], minlength=len(roots))
+        for size in np.unique(bits):
+            own = usual[bits == size]
+            step = max(1, int((_TABLE / (max(1.0, inner[own].mean()) * size / 8)) ** 0.5))
+            for a in range(0, len(own), step):
+                trees = own[a : a + step]
+                room -= len(trees) * int(inner[trees].sum() + 1) * int(size) // 8
+                if room < 0:
+                    walk[own[a:]] = True
+                    break
+                low, high = np.searchsorted(of, trees), np.searchsorted(of, trees, "right")
+                at = np.concatenate([np.arange(p, q) for p, q in zip(low, high, strict=True)])
+                out.append(self._table(trees, nodes[at], np.searchsorted(trees, of[at]), count, start, int(size)))
+        return out, np.flatnonzero(walk)
+
+    def _table(self, trees: np.ndarray, nodes: np.ndarray, of: np.ndarray, count: np.ndarray, start: np.ndarray, bits: int) -> Masks:
+        kind, inner = np.dtype(f"u{bits // 8}"), self.feature[nodes] >= 0
+        value = np.zeros((len(trees), bits))
+        value[of[~inner], start[nodes[~inner]]] = self.value[nodes[~inner]]
+        nodes, of = nodes[inner], of[inner]
+        n = count[self.left[nodes]].astype(np.uint64)  # leaves of the left branch, 63 at most
+        fails = ~(((np.uint64(1) << n) - np.uint64(1)) << start[nodes].astype(np.uint64))
+        cuts, reach = {}, {}
+        for f in np.unique(self.feature[nodes]).tolist():
+            own = np.flatnonzero(self.feature[nodes] == f)
+            cuts[f], place = np.unique(self.threshold[nodes[own]], return_inverse=True)
+            table = np.full((len(cuts[f]) + 1, len(trees)), np.iinfo(kind).max, kind)
+            np.bitwise_and.at(table, (place + 1, of[own]), fails[own].astype(kind))
+            reach[f] = np.bitwise_and.accumulate(table, axis=0)
+        return Masks(trees, cuts, reach, value)
 
     def _leaves(self, roots: np.ndarray, x: np.ndarray) -> np.ndarray:
         """The value of the leaf of each row (first axis) in each tree; all trees go down a level at a time."""

@@ -1,5 +1,9 @@
 """Work that must not grow faster than what is read or returned."""
 
+import random
+
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from scorchmap.functions.quality import qa_code
@@ -58,3 +62,50 @@ def test_job_makes_the_list_of_scenes_once(spark):
     models = {m: trees.tree_probability(ENSEMBLE) for m in (screening.USUAL_MODEL, "gbt_gp_west_model.xml")}
     out = pipeline.job(shots.mapInArrow(counted, shots.schema), looks, screening.default_models(spark), models, options=RegionOptions(80, 2, 70), scene="half_year", tile_side=16)
     assert out.count() > 1000 and seen.value == shots.count()
+
+
+def _forest(rnd, depth, features, odd=0.0):
+    """40 trees of many shapes, their thresholds among few numbers; odd: the share of thresholds that are no number."""
+    feature, threshold, left, right, value, roots = [], [], [], [], [], []
+    for _ in range(40):
+        roots.append(base := len(feature))
+        tree, open_nodes = [None], [(0, 0)]
+        while open_nodes:
+            n, d = open_nodes.pop()
+            if d < depth and rnd.random() < 0.9:
+                kids = [len(tree), len(tree) + 1]
+                rnd.shuffle(kids)
+                tree += [None, None]
+                tree[n] = (rnd.randrange(features), float("nan") if rnd.random() < odd else float(rnd.randint(-5, 5)), *kids, 0.0)
+                open_nodes += [(k, d + 1) for k in kids]
+            else:
+                tree[n] = (-1, 0.0, -1, -1, rnd.uniform(-1, 1))
+        for f, c, a, b, v in tree:
+            for column, x in ((feature, f), (threshold, c), (left, base + a), (right, base + b), (value, v)):
+                column.append(x)
+    return trees.Forest(np.array(feature), np.array(threshold), np.array(left), np.array(right), np.array(value), {"m": np.array(roots)}, {"m": np.arange(40) % 2}, {"m": (0.1, 0.05)})
+
+
+@pytest.mark.parametrize("depth, odd, tables", [(0, 0, 1 << 27), (2, 0, 1 << 27), (3, 0.02, 1 << 27), (5, 0, 1 << 27), (6, 0.005, 1 << 27), (9, 0, 1 << 27), (2, 0, 0), (6, 0, 20_000)])
+def test_trees_are_looked_up_not_walked(monkeypatch, depth, odd, tables):
+    """The same probabilities as from walks; no walk but for trees of more than 64 leaves, odd thresholds, or without room for tables."""
+    monkeypatch.setattr(trees, "_TABLES", tables)
+    rnd = random.Random(depth)
+    forest = _forest(rnd, depth, 5, odd)
+    special = [float("nan"), float("inf"), -float("inf")]
+    x = np.array([[rnd.choice(special) if rnd.random() < 0.1 else float(rnd.randint(-6, 6)) for _ in range(5)] for _ in range(300)])
+    roots, walk, walked = forest.roots["m"], trees.Forest._leaves, []
+
+    def one_by_one(n, row):
+        while forest.feature[n] >= 0:
+            n = forest.left[n] if row[forest.feature[n]] <= forest.threshold[n] else forest.right[n]
+        return forest.value[n]
+
+    sums = np.array([[0.1 + 0.05 * sum(one_by_one(r, row) for r in roots[k::2]) for k in (0, 1)] for row in x])
+    want = np.exp(sums[:, 1]) / np.exp(sums).sum(axis=1)
+    monkeypatch.setattr(trees.Forest, "_leaves", lambda self, r, part: walked.append(len(r)) or walk(self, r, part))
+    assert np.allclose(forest.probability("m", x, 1), want, rtol=0, atol=1e-12)
+    if depth < 6 and not odd and tables:
+        assert not walked
+    elif depth < 9 and tables:
+        assert all(n < 40 for n in walked)

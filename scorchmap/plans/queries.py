@@ -13,7 +13,7 @@ from ..functions.quality import product_code, qa_code
 from ..functions.scenes import date_parts, scene_id_parts, season
 from ..operators import annual, boosting, features, placing, regions, screening, temporal, trees
 from ..settings import BANDS, FILL, INDICES, MEASURES, PIXEL, SEASONS, RegionOptions
-from ..sources.metadata import EXTENT, STACK, mtl_values, read_extent, read_scene_xml, read_stack, read_training, write_extent, write_stack
+from ..sources.metadata import EXTENT, STACK, mtl_values, read_extent, read_scene_xml, read_stack, read_training, write_extent, write_stack, write_training
 from ..sources.rasters import read_envi, read_spots, write_envi, write_products
 from ..storage import materialize, new_path, release
 from . import pipeline, views
@@ -791,5 +791,5 @@ def product_round_trip(spark: SparkSession, d: str) -> DataFrame:
 def training_round_trip(spark: SparkSession, d: str) -> DataFrame:
     folder = new_path(spark, "training")
     rows = _featured(spark, d).where("qa >= 0").select(*features.FEATURES, F.expr("CAST(nbr < -100 AND dnbr < -300 AS INT)").alias("fire"))
-    rows.write.csv(folder, header=False)
+    write_training(rows, folder)
     return read_training(spark, folder, features.FEATURES)

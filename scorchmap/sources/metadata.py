@@ -92,6 +92,15 @@ def read_extent(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, EXTENT)
 
 
+#: Rows of a compressed file of training rows, which one task reads.
+TRAINING_ROWS = 500_000
+
+
+def write_training(rows: DataFrame, path: str) -> None:
+    """Headerless training rows as compressed text, a third of its size or less."""
+    rows.write.option("maxRecordsPerFile", TRAINING_ROWS).csv(path, header=False, compression="gzip")
+
+
 def read_training(spark: SparkSession, path: str, features: tuple[str, ...], label: str = "fire") -> DataFrame:
     """Headerless training rows: the features, then the label. A row with another number of columns is an error."""
     schema = T.StructType([*(T.StructField(f, T.DoubleType()) for f in features), T.StructField(label, T.DoubleType())])

@@ -1,6 +1,8 @@
 """Work that must not grow faster than what is read or returned."""
 
+import os
 import random
+from urllib.parse import urlparse
 
 import numpy as np
 import pytest
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 from scorchmap.functions.quality import qa_code
 from scorchmap.operators import placing, screening, trees
 from scorchmap.plans import pipeline, views
-from scorchmap.plans.queries import ENSEMBLE
+from scorchmap.plans.queries import ENSEMBLE, QUERIES
 from scorchmap.settings import RegionOptions
+from scorchmap.sources import metadata
 from scorchmap.storage import materialize
 
 SMALL = "/root/testdata/sf0.001"
@@ -109,3 +112,12 @@ def test_trees_are_looked_up_not_walked(monkeypatch, depth, odd, tables):
         assert not walked
     elif depth < 9 and tables:
         assert all(n < 40 for n in walked)
+
+
+def test_training_rows_are_kept_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(metadata, "TRAINING_ROWS", 1000, raising=False)
+    rows = QUERIES["training_round_trip"](spark, SMALL)
+    size = [os.path.getsize(urlparse(f).path) for f in rows.inputFiles()]
+    rows.write.csv(f"file://{tmp_path}/plain")
+    assert 3 * sum(size) < sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
+    assert len(size) >= rows.count() / 1000

@@ -28,21 +28,27 @@ def co_locate(looks: DataFrame, side: int = 256) -> DataFrame:
     return looks.select("*", *tile(side)).repartition("path", "row", "tile_y", "tile_x")
 
 
+#: Joins take up a partitioning by stack and tile. The 50 features of a row are more code than the JVM compiles as one method (8000 bytes);
+#: above that, Spark then uses its operators one by one, which are compiled.
+IN_PLACE = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def keep_in_place(spark: SparkSession) -> None:
-    """From now on, joins of this session on a pixel use a partitioning by its stack and tile."""
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    """From now on, joins of this session on a pixel use a partitioning by its stack and tile, and features are made by compiled code."""
+    for name, value in IN_PLACE.items():
+        spark.conf.set(name, value)
 
 
 @contextmanager
 def kept_in_place(spark: SparkSession) -> Iterator[None]:
     """The same for what runs within it."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    old = spark.conf.get(name)
+    old = {name: spark.conf.get(name) for name in IN_PLACE}
     keep_in_place(spark)
     try:
         yield
     finally:
-        spark.conf.set(name, old)
+        for name, value in old.items():
+            spark.conf.set(name, value)
 
 
 def featured_looks(looks: DataFrame, years: DataFrame | None = None, tile_side: int | None = None) -> DataFrame:

@@ -121,3 +121,21 @@ def test_training_rows_are_kept_compressed(spark, tmp_path, monkeypatch):
     rows.write.csv(f"file://{tmp_path}/plain")
     assert 3 * sum(size) < sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
     assert len(size) >= rows.count() / 1000
+
+
+def test_features_are_made_by_compiled_code(spark):
+    """While the job makes and scores features, methods that the JVM does not compile are not used; afterwards the session is as before."""
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+    looks = materialize(views.view(spark, SMALL, views.OBS, "obs").withColumn("qa", qa_code()).where("y < 2"), "looks")
+
+    def score(featured):
+        seen.append(int(spark.conf.get(name)))
+        return featured.withColumn("burn_prob", F.col("raw_prob").cast("short"))
+
+    spark.conf.set(name, "65535")
+    try:
+        assert pipeline.burned_pipeline(looks, score, RegionOptions(80, 2, 70), tile_side=16).count() > 100
+        assert seen == [8000] and spark.conf.get(name) == "65535"
+    finally:
+        spark.conf.set(name, before)
